@@ -211,3 +211,251 @@ def q_ioc_match(spark, sf):
           + IOC_MATCH_SELECT + "\nUNION ALL" + PORT_SCAN_SELECT + "\nUNION ALL" + EXFIL_SELECT)
 def q_alerts_union(spark, sf):
     return detect.alerts(fx.net(spark, sf), fx.iocs(spark, sf), exact=True)
+
+
+# ------------------------------------------------------- indicator pipeline
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidewatch.operators import iocs as ops  # noqa: E402
+from tidewatch.plans.ioc_refresh import run_ioc_refresh  # noqa: E402
+from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_ENTRY  # noqa: E402
+from tidewatch.session import work_dir  # noqa: E402
+from tidewatch.sinks.outputs import land_raw  # noqa: E402
+from tidewatch.sources.iocs import read_iocs, read_raw  # noqa: E402
+
+# Landing days up to MARKER form the initial table; later days the increment.
+MARKER = _dt.date(2024, 1, 2)
+MARKER_SQL = "DATE '2024-01-02'"
+_CLEAN_NAMES = [f.name for f in CLEAN_IOC_SCHEMA.fields]
+_PICK = [n for n in _CLEAN_NAMES if n not in ("id", "first_seen")]
+
+
+def _entries(spark, sf):
+    docs = fx.raw_documents(spark, sf)
+    return ops.explode_raw(docs).withColumn("folder_date", F.make_date("year", "month", "day"))
+
+
+def _clean_all(spark, sf):
+    return ops.clean_iocs(_entries(spark, sf), keep=("folder_date",))
+
+
+def _current(spark, sf):
+    return ops.merge_iocs(None, _clean_all(spark, sf).filter(F.col("folder_date") <= F.lit(MARKER)))
+
+
+def _increment(spark, sf):
+    return _clean_all(spark, sf).filter(F.col("folder_date") > F.lit(MARKER))
+
+
+def _feed_time_sql(expr: str) -> str:
+    return f"try_strptime(trim(regexp_replace({expr}, 'UTC', '', 'g')), '%Y-%m-%d %H:%M:%S') + INTERVAL 3 HOUR"
+
+
+_ENTRY_SQL = ", ".join(
+    f"CAST(NULL AS {'VARCHAR' if f.name != 'tags' else 'VARCHAR'}) AS {f.name}"
+    if f.name in ("threat_type", "malware", "malware_printable", "tags") else f.name
+    for f in RAW_IOC_ENTRY.fields
+)
+_YMD_SQL = ("CAST(year(folder_date) AS INTEGER) AS year, CAST(month(folder_date) AS INTEGER) AS month, "
+            "CAST(day(folder_date) AS INTEGER) AS day")
+
+CLEAN_CTE = f"""
+clean AS (
+  SELECT sha256(ioc) AS id, ioc, CAST(NULL AS VARCHAR) AS threat_type, ioc_type,
+         CAST(NULL AS VARCHAR) AS malware, CAST(NULL AS VARCHAR) AS malware_printable,
+         TRY_CAST(confidence_level AS INTEGER) AS confidence_level,
+         {_feed_time_sql('first_seen')} AS first_seen,
+         {_feed_time_sql('coalesce(last_seen, first_seen)')} AS last_seen,
+         nullif(reference, '') AS reference, nullif(reporter, 'anonymous') AS reporter,
+         CAST(NULL AS VARCHAR[]) AS tags, is_compromised, folder_date
+  FROM raw_iocs WHERE ioc IS NOT NULL
+)"""
+
+
+def _fold_sql(src: str) -> str:
+    order = "_src, " + ", ".join(f"{c} ASC NULLS FIRST" for c in ["first_seen"] + _PICK)
+    cols = ", ".join("_mx AS last_seen" if c == "last_seen" else c for c in _CLEAN_NAMES)
+    return (f"SELECT {cols} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY {order}) AS _rn, "
+            f"max(last_seen) OVER (PARTITION BY id) AS _mx FROM ({src})) WHERE _rn = 1")
+
+
+_CLEAN_COLS_SQL = ", ".join(_CLEAN_NAMES)
+_CLEAN_OUT_SQL = ", ".join(sql_text(c) + " AS tags" if c == "tags" else c for c in _CLEAN_NAMES)
+CUR_CTE = f"cur AS ({_fold_sql(f'SELECT {_CLEAN_COLS_SQL}, 0 AS _src FROM clean WHERE folder_date <= {MARKER_SQL}')})"
+INC_CTE = f"inc AS (SELECT * FROM clean WHERE folder_date > {MARKER_SQL})"
+MERGE_SQL = _with(fx.RAW_IOCS_SQL, CLEAN_CTE, CUR_CTE, INC_CTE) + f"SELECT {_CLEAN_OUT_SQL} FROM (" + _fold_sql(
+    f"SELECT {_CLEAN_COLS_SQL}, 0 AS _src FROM cur UNION ALL SELECT {_CLEAN_COLS_SQL}, 1 AS _src FROM inc") + ")"
+
+
+@register("raw_explode", _with(fx.RAW_IOCS_SQL) + f"SELECT {_ENTRY_SQL}, {_YMD_SQL} FROM raw_iocs")
+def q_raw_explode(spark, sf):
+    """Raw feed documents -> one row per indicator."""
+    return ops.explode_raw(fx.raw_documents(spark, sf))
+
+
+@register("clean_iocs", _with(fx.RAW_IOCS_SQL, CLEAN_CTE) + f"SELECT {_CLEAN_OUT_SQL} FROM clean")
+def q_clean_iocs(spark, sf):
+    return ops.clean_iocs(_entries(spark, sf))
+
+
+@register("ioc_incremental", _with(fx.RAW_IOCS_SQL) + (
+    f"SELECT {_ENTRY_SQL}, {_YMD_SQL}, folder_date FROM raw_iocs WHERE folder_date > {MARKER_SQL}"))
+def q_ioc_incremental(spark, sf):
+    """Land the feed in the Hive layout, then read only days after the marker
+    (partition-pruned scan)."""
+    base = work_dir(spark, "raw")
+    land_raw(fx.raw_documents(spark, sf), base)
+    return ops.explode_raw(read_raw(spark, base, after=MARKER))
+
+
+@register("max_folder_date", _with(fx.RAW_IOCS_SQL) + (
+    f"SELECT max(folder_date) AS max_folder_date FROM raw_iocs WHERE folder_date > {MARKER_SQL}"))
+def q_max_folder_date(spark, sf):
+    return _entries(spark, sf).filter(F.col("folder_date") > F.lit(MARKER)).agg(
+        F.max("folder_date").alias("max_folder_date"))
+
+
+@register("new_iocs", _with(fx.RAW_IOCS_SQL, CLEAN_CTE, CUR_CTE, INC_CTE) + (
+    f"SELECT {_CLEAN_OUT_SQL} FROM ({_fold_sql(f'SELECT {_CLEAN_COLS_SQL}, 1 AS _src FROM inc')}) n "
+    "WHERE NOT EXISTS (SELECT 1 FROM cur WHERE cur.id = n.id)"))
+def q_new_iocs(spark, sf):
+    return ops.new_iocs(_current(spark, sf), _increment(spark, sf))
+
+
+@register("refresh_last_seen", _with(fx.RAW_IOCS_SQL, CLEAN_CTE, CUR_CTE, INC_CTE) + "SELECT " + ", ".join(
+    "greatest(cur.last_seen, l._inc) AS last_seen" if c == "last_seen" else
+    (sql_text("cur.tags") + " AS tags" if c == "tags" else f"cur.{c}") for c in _CLEAN_NAMES
+) + " FROM cur LEFT JOIN (SELECT id, max(last_seen) AS _inc FROM inc GROUP BY id) l ON cur.id = l.id")
+def q_refresh_last_seen(spark, sf):
+    return ops.refresh_last_seen(_current(spark, sf), _increment(spark, sf))
+
+
+@register("merge_iocs", MERGE_SQL)
+def q_merge_iocs(spark, sf):
+    return ops.merge_iocs(_current(spark, sf), _increment(spark, sf))
+
+
+@register("ioc_refresh_job", MERGE_SQL)
+def q_ioc_refresh_job(spark, sf):
+    """The scheduled job end to end: land days up to the marker, refresh,
+    land the later days, refresh again, refresh once more (a no-op); read
+    the committed table."""
+    raw, table = work_dir(spark, "raw"), work_dir(spark, "iocs")
+    docs = fx.raw_documents(spark, sf)
+    day = F.make_date("year", "month", "day")
+    land_raw(docs.filter(day <= F.lit(MARKER)), raw)
+    run_ioc_refresh(spark, raw, table)
+    land_raw(docs.filter(day > F.lit(MARKER)), raw)
+    run_ioc_refresh(spark, raw, table)
+    run_ioc_refresh(spark, raw, table)
+    return read_iocs(spark, table)
+
+
+# --------------------------------------------------------- dedup, documents
+
+from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts, log_documents  # noqa: E402
+from tidewatch.operators import enrich  # noqa: E402
+
+_ALERTS_SQL = (_with(fx.NET_SQL, fx.IOCS_SQL, KEYS_CTE, EVENTS_CTE, CANDIDATES_CTE, PAIRS_CTE)
+               + IOC_MATCH_SELECT + "\nUNION ALL" + PORT_SCAN_SELECT + "\nUNION ALL" + EXFIL_SELECT)
+
+
+@register("dedup_events", _with(fx.NET_SQL, """
+ev AS (
+  SELECT uid, ts, id_orig_h AS orig_ip, id_resp_h AS resp_ip, query,
+         unnest(CASE WHEN answers IS NULL OR len(answers) = 0 THEN [NULL::VARCHAR] ELSE answers END) AS answer, host
+  FROM (SELECT * FROM net UNION ALL SELECT * FROM net)
+)""") + "SELECT DISTINCT * FROM ev")
+def q_dedup_events(spark, sf):
+    """Every record delivered twice; the dedup step keeps one."""
+    n = fx.net(spark, sf)
+    return detect.ioc_events(n.unionByName(n), dedup=True)
+
+
+@register("alert_json_roundtrip", _ALERTS_SQL)
+def q_alert_json_roundtrip(spark, sf):
+    """Alerts -> JSON records (null fields left out) -> typed alerts again."""
+    a = detect.alerts(fx.net(spark, sf), fx.iocs(spark, sf), exact=True)
+    return decode_alerts(alert_json(a))
+
+
+@register("alert_documents", "SELECT alert_id AS doc_id, * FROM (" + _ALERTS_SQL + ")")
+def q_alert_documents(spark, sf):
+    return alert_documents(detect.alerts(fx.net(spark, sf), fx.iocs(spark, sf), exact=True))
+
+
+_DOC_KEY_SQL = ("sha256(concat_ws('|', coalesce(uid, ''), coalesce(log_path, ''), coalesce(CAST(epoch_us(ts) AS VARCHAR), ''), "
+                "coalesce(id_orig_h, ''), coalesce(id_resp_h, ''), coalesce(CAST(id_resp_p AS VARCHAR), '')))")
+
+
+@register("log_documents", _with(fx.NET_SQL) + _wide_select_sql().replace("SELECT ", f"SELECT {_DOC_KEY_SQL} AS doc_id, ", 1))
+def q_log_documents(spark, sf):
+    return log_documents(fx.net(spark, sf))
+
+
+def _ipv4_sql(c: str) -> str:
+    parts = " + ".join(f"CAST(split_part({c}, '.', {i + 1}) AS BIGINT) * {256 ** (3 - i)}" for i in range(4))
+    return f"CASE WHEN regexp_full_match({c}, '(\\d{{1,3}})\\.(\\d{{1,3}})\\.(\\d{{1,3}})\\.(\\d{{1,3}})') THEN {parts} END"
+
+
+def _local_sql(c: str) -> str:
+    nets = " OR ".join(f"({_ipv4_sql(c)}) // 256 = {int(__import__('ipaddress').ip_network(cidr).network_address) // 256}"
+                       for _, cidr in enrich.SEGMENTS)
+    return f"coalesce({nets}, false)"
+
+
+@register("locality", _with(fx.NET_SQL) + (
+    f"SELECT ts, uid, id_orig_h, id_resp_h, {_local_sql('id_orig_h')} AS local_orig, "
+    f"{_local_sql('id_resp_h')} AS local_resp FROM net"))
+def q_locality(spark, sf):
+    return enrich.with_locality(fx.net(spark, sf)).select("ts", "uid", "id_orig_h", "id_resp_h", "local_orig", "local_resp")
+
+
+@register("service_name", _with(fx.NET_SQL) + (
+    "SELECT ts, uid, id_resp_p, CASE id_resp_p " + " ".join(
+        f"WHEN {p} THEN '{s}'" for p, s in enrich.SERVICE_BY_PORT.items()) + " ELSE '-' END AS service FROM net"))
+def q_service_name(spark, sf):
+    return enrich.with_service(fx.net(spark, sf)).select("ts", "uid", "id_resp_p", "service")
+
+
+# Status codes for the fixture's http rows: the known ten plus one unknown.
+_FIXTURE_CODES = list(enrich.STATUS_TEXT) + [418]
+
+
+@register("status_message", _with(fx.NET_SQL) + (
+    f"SELECT ts, uid, code AS status_code, CASE code " + " ".join(
+        f"WHEN {c} THEN '{m}'" for c, m in enrich.STATUS_TEXT.items()) + " END AS status_msg "
+    f"FROM (SELECT ts, uid, {_FIXTURE_CODES}[id_resp_p % {len(_FIXTURE_CODES)} + 1] AS code FROM net WHERE log_path = 'http')"))
+def q_status_message(spark, sf):
+    n = fx.net(spark, sf).filter(F.col("log_path") == "http")
+    codes = F.array(*[F.lit(c) for c in _FIXTURE_CODES])
+    n = n.withColumn("status_code", F.element_at(codes, (F.col("id_resp_p") % len(_FIXTURE_CODES) + 1).cast("int")))
+    return enrich.with_status_message(n).select("ts", "uid", "status_code", "status_msg")
+
+
+# ---------------------------------------------------------------- streaming
+
+from tidewatch.streaming.feed import replay_alerts  # noqa: E402
+
+_IOC_MATCH_SQL = _with(fx.NET_SQL, fx.IOCS_SQL, KEYS_CTE, EVENTS_CTE, CANDIDATES_CTE) + IOC_MATCH_SELECT
+_PAIRS_SQL = _with(fx.NET_SQL, PAIRS_CTE) + PORT_SCAN_SELECT + "\nUNION ALL" + EXFIL_SELECT
+
+
+@register("stream_alerts", _ALERTS_SQL)
+def q_stream_alerts(spark, sf):
+    """The streaming job (sensor JSON files -> decode -> watermark -> three
+    detectors -> file sink), replayed over the whole table."""
+    return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), exact=True)
+
+
+@register("stream_ioc_match", _IOC_MATCH_SQL)
+def q_stream_ioc_match(spark, sf):
+    return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), detectors=("ioc",))
+
+
+@register("stream_pair_activity", _PAIRS_SQL)
+def q_stream_pair_activity(spark, sf):
+    return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), detectors=("scan", "exfil"), exact=True)
