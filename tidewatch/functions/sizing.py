@@ -71,3 +71,13 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> tuple[DataFra
     (Spark then plans a shuffle join, which AQE may still convert at runtime)."""
     m = measure(df)
     return (F.broadcast(df) if m.bytes <= broadcast_limit(df, limit) else df), m
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan gives
+    fewer splits than cores (one small file, one row group). A large input
+    already has many splits and is returned unchanged, with no shuffle."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -172,11 +172,20 @@ def ioc_match(
     equi-join never fans a log row out, and it is broadcast only when its
     measured size fits (else a shuffle join). Every aggregate here is
     duplicate-insensitive (sets, max, or), so batch runs skip the dedup
-    shuffle without changing the result.
+    shuffle without changing the result; streams dedup the (few) hits.
     """
     keys = match_table(iocs, strict=strict_keys, broadcast_limit=broadcast_limit)
-    cand = ioc_candidates(df, dedup).select("uid", "ts", "orig_ip", "resp_ip", "match_value")
+    cand = ioc_candidates(df, dedup=False).select("uid", "ts", "orig_ip", "resp_ip", "match_value")
     hit = cand.join(keys, cand["match_value"] == keys["ioc_for_match"], "inner")
+    if dedup is None:
+        dedup = df.isStreaming
+    if dedup:
+        # Redelivered records are dropped after the join, on hits only: the
+        # aggregates below ignore duplicates anyway, and on a stream the
+        # dedup keeps dropping rows older than the watermark, as before the
+        # join, while its state holds matched rows instead of every row.
+        key = ["uid", "ts", "orig_ip", "resp_ip", "match_value"]
+        hit = hit.dropDuplicatesWithinWatermark(key) if hit.isStreaming else hit.dropDuplicates(key)
     g = hit.groupBy(F.window("ts", t.ioc_window).alias("window"), "uid").agg(
         F.min(F.struct("ts", "resp_ip", "orig_ip")).alias("first"),
         F.flatten(F.collect_set("ioc_values")).alias("ioc_value"),

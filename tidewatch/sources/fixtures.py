@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.columns import url_host
-from tidewatch.functions.sizing import broadcast_if_small
+from tidewatch.functions.sizing import broadcast_if_small, spread
 
 # Fixed values of the adapters.
 EPOCH_MS = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC, start of the timeline
@@ -35,7 +35,7 @@ def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def net(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide network-log rows (flat names) built from `events` and `pages`."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props"))
     hosts, size = broadcast_if_small(page_hosts(spark, sf_dir))
     n_pages = size.rows
     kind = F.col("event_id") % 3
