@@ -40,6 +40,11 @@ DEFAULT = Thresholds()
 ALERT_COLUMNS = [f.name for f in ALERT_SCHEMA.fields]
 
 
+def conform_alerts(df: DataFrame) -> DataFrame:
+    """Cast to the declared alert column types (order and element nullability)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ALERT_SCHEMA.fields])
+
+
 def _alert_ts(alert_ts: Column | None) -> Column:
     return F.current_timestamp() if alert_ts is None else alert_ts
 
@@ -112,7 +117,7 @@ def pair_activity(
                 F.concat_ws(":", F.lit("data_exfiltration_mb"), (b / 1_000_000).cast("string")),
             ).alias("tags"),
         )))
-    return g.select(F.inline(F.array_compact(F.array(*candidates)))).select(*ALERT_COLUMNS)
+    return conform_alerts(g.select(F.inline(F.array_compact(F.array(*candidates)))))
 
 
 def port_scan(df: DataFrame, exact: bool = False, t: Thresholds = DEFAULT, alert_ts: Column | None = None) -> DataFrame:
@@ -194,7 +199,7 @@ def ioc_match(
         F.flatten(F.collect_set("tag_list")).alias("tags"),
         F.bool_or("compromised").alias("compromised"),
     )
-    return g.select(
+    return conform_alerts(g.select(
         alert_id(IOC_MATCH, "window", "uid").alias("alert_id"),
         F.col("uid").alias("log_uid"),
         F.lit(IOC_MATCH).alias("alert_type"),
@@ -207,7 +212,7 @@ def ioc_match(
         sorted_set("ioc_source").alias("ioc_source"),
         sorted_set("ioc_value").alias("ioc_value"),
         sorted_set("tags").alias("tags"),
-    )
+    ))
 
 
 def alerts(
