@@ -50,11 +50,15 @@ def _alert_ts(alert_ts: Column | None) -> Column:
 
 
 def _port_count(df: DataFrame, exact: bool) -> Column:
+    """Distinct destination ports of a group.
+
+    Exact counting keeps the set of ports (at most 65,536 per group) rather
+    than `count(DISTINCT)`: the set partial-aggregates map-side, needs one
+    shuffle instead of two, and is also allowed on streams.
+    """
     if not exact:
         return F.approx_count_distinct("id_resp_p")
-    if df.isStreaming:  # distinct aggregates are not allowed on streams
-        return F.size(F.collect_set("id_resp_p"))
-    return F.count_distinct("id_resp_p")
+    return F.size(F.collect_set("id_resp_p"))
 
 
 def pair_activity(
@@ -164,12 +168,13 @@ def ioc_candidates(df: DataFrame, dedup: bool | None = None) -> DataFrame:
 
 def ioc_match(
     df: DataFrame,
-    iocs: DataFrame,
+    iocs: DataFrame | None,
     t: Thresholds = DEFAULT,
     alert_ts: Column | None = None,
     strict_keys: bool = False,
     broadcast_limit: int | None = None,
     dedup: bool | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Alert per (5-second window, uid) whose log rows hit an indicator.
 
@@ -178,8 +183,10 @@ def ioc_match(
     measured size fits (else a shuffle join). Every aggregate here is
     duplicate-insensitive (sets, max, or), so batch runs skip the dedup
     shuffle without changing the result; streams dedup the (few) hits.
+    `keys` takes a prepared `match_table` (a stream reuses one per run).
     """
-    keys = match_table(iocs, strict=strict_keys, broadcast_limit=broadcast_limit)
+    if keys is None:
+        keys = match_table(iocs, strict=strict_keys, broadcast_limit=broadcast_limit)
     cand = ioc_candidates(df, dedup=False).select("uid", "ts", "orig_ip", "resp_ip", "match_value")
     hit = cand.join(keys, cand["match_value"] == keys["ioc_for_match"], "inner")
     if dedup is None:
@@ -217,11 +224,12 @@ def ioc_match(
 
 def alerts(
     df: DataFrame,
-    iocs: DataFrame,
+    iocs: DataFrame | None,
     exact: bool = False,
     t: Thresholds = DEFAULT,
     alert_ts: Column | None = None,
     broadcast_limit: int | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """All three detectors as one alert stream (union by name).
 
@@ -229,6 +237,6 @@ def alerts(
     per batch/trigger, not three times.
     """
     ts = _alert_ts(alert_ts)
-    return ioc_match(df, iocs, t, ts, broadcast_limit=broadcast_limit).unionByName(
+    return ioc_match(df, iocs, t, ts, broadcast_limit=broadcast_limit, keys=keys).unionByName(
         pair_activity(df, ("scan", "exfil"), exact, t, ts)
     )

@@ -25,14 +25,13 @@ def with_match_key(iocs: DataFrame, strict: bool = False) -> DataFrame:
     return iocs.withColumn("ioc_for_match", match_key("ioc", "ioc_type", strict))
 
 
-def match_table(iocs: DataFrame, strict: bool = False, broadcast_limit: int | None = None) -> DataFrame:
+def fold_indicators(iocs: DataFrame, strict: bool = False) -> DataFrame:
     """One row per match key with everything an alert needs from indicators.
 
     Many indicators can share a key (all URLs of one host); folding them here
-    keeps the detector's join one-to-one. The result is broadcast only when
-    its measured size fits the limit.
+    keeps the detector's join one-to-one.
     """
-    folded = (
+    return (
         with_match_key(iocs, strict)
         .filter(F.col("ioc_for_match").isNotNull())
         .groupBy("ioc_for_match")
@@ -44,7 +43,12 @@ def match_table(iocs: DataFrame, strict: bool = False, broadcast_limit: int | No
             F.bool_or(F.coalesce(F.col("is_compromised"), F.lit(False))).alias("compromised"),
         )
     )
-    table, _ = broadcast_if_small(folded, broadcast_limit)
+
+
+def match_table(iocs: DataFrame, strict: bool = False, broadcast_limit: int | None = None) -> DataFrame:
+    """The folded indicator side, broadcast only when its measured size fits
+    the limit (else left for a shuffle join)."""
+    table, _ = broadcast_if_small(fold_indicators(iocs, strict), broadcast_limit)
     return table
 
 

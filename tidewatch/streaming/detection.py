@@ -9,11 +9,14 @@ so a lost executor or a restarted driver resumes where it stopped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidewatch.functions.sizing import broadcast_if_small
 from tidewatch.operators.detect import DEFAULT, Thresholds, alerts, ioc_match, pair_activity
+from tidewatch.operators.iocs import fold_indicators
 from tidewatch.sinks.outputs import alert_json
 from tidewatch.sources.iocs import read_iocs
 from tidewatch.sources.logs import decode_logs, with_event_time
@@ -23,6 +26,23 @@ TRIGGER = "15 seconds"
 REFRESH_SECONDS = 3 * 60 * 60
 
 
+@contextmanager
+def indicator_keys(iocs: DataFrame, broadcast_limit: int | None = None):
+    """The folded indicator side for one run of a stream.
+
+    A stream-static join re-evaluates its static side every trigger; folding
+    once and persisting avoids re-reading and re-shuffling the indicator
+    table each time. The cache is recomputed from its source if an executor
+    is lost, and released when the run ends.
+    """
+    folded = fold_indicators(iocs).persist()
+    try:
+        keys, _ = broadcast_if_small(folded, broadcast_limit)
+        yield keys
+    finally:
+        folded.unpersist()
+
+
 def detection_stream(
     records: DataFrame,
     iocs: DataFrame,
@@ -30,15 +50,16 @@ def detection_stream(
     exact: bool = False,
     watermark: str = WATERMARK,
     t: Thresholds = DEFAULT,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Raw log records (`value` column) -> alert rows, as a stream."""
     logs = with_event_time(decode_logs(records), watermark)
     pair_kinds = tuple(k for k in ("scan", "exfil") if k in detectors)
     if "ioc" in detectors and pair_kinds == ("scan", "exfil"):
-        return alerts(logs, iocs, exact, t)
+        return alerts(logs, iocs, exact, t, keys=keys)
     out = None
     if "ioc" in detectors:
-        out = ioc_match(logs, iocs, t)
+        out = ioc_match(logs, iocs, t, keys=keys)
     if pair_kinds:
         pa = pair_activity(logs, pair_kinds, exact, t)
         out = pa if out is None else out.unionByName(pa)
@@ -93,12 +114,14 @@ def run_detection(
         iocs = read_iocs(spark, ioc_table)
         if iocs is None:
             raise RuntimeError(f"no committed indicator table at {ioc_table}")
-        q = start_sink(detection_stream(source(spark), iocs, exact=exact), checkpoint, fmt, path, options, trigger)
-        if trigger and trigger.get("availableNow"):
-            q.awaitTermination()
-        else:
-            q.awaitTermination(timeout=refresh_seconds)
-            q.stop()
-        if q.exception() is not None:
-            raise q.exception()
+        with indicator_keys(iocs) as keys:
+            q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys),
+                           checkpoint, fmt, path, options, trigger)
+            if trigger and trigger.get("availableNow"):
+                q.awaitTermination()
+            else:
+                q.awaitTermination(timeout=refresh_seconds)
+                q.stop()
+            if q.exception() is not None:
+                raise q.exception()
         n += 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.schemas import ALERT_SCHEMA
 from tidewatch.session import work_dir
 from tidewatch.sources.logs import encode_logs, file_stream
-from tidewatch.streaming.detection import detection_stream, start_sink
+from tidewatch.streaming.detection import detection_stream, indicator_keys, start_sink
 
 # Fixed value: a record far past the data that moves the watermark beyond
 # every real window, so append mode emits all of them (it raises no alert).
@@ -34,9 +34,10 @@ def replay_alerts(
     alerts its file sink committed."""
     base = work_dir(spark, "replay")
     write_feed(spark, logs, f"{base}/in")
-    out = detection_stream(file_stream(spark, f"{base}/in", max_files), iocs, detectors, exact)
-    q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    with indicator_keys(iocs) as keys:
+        out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
+        q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
     return spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
