@@ -95,3 +95,26 @@ def test_run_detection_against_committed_table(spark):
                   trigger={"availableNow": True}, cycles=1, exact=True)
     out = spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
     assert sorted(r.alert_type for r in out.collect()) == ["Data Exfiltration", "IOC Match", "Port Scanning"]
+
+
+def test_document_streams_resume_without_duplicates(spark):
+    from tidewatch.sinks.outputs import alert_json
+    from tidewatch.streaming.detection import start_documents
+
+    rows = scenario(spark)
+    logs_in, alerts_in, base = work_dir(spark, "test-feed"), work_dir(spark, "test-feed"), work_dir(spark, "test-docs")
+    write_files(spark, logs_in, [lines(spark, rows[:5])])
+    once = {"availableNow": True}
+    start_documents(file_stream(spark, logs_in), "logs", f"{base}/ck", f"{base}/out", trigger=once).awaitTermination()
+    write_files(spark, logs_in, [lines(spark, rows[5:])])  # restart on the same checkpoint
+    start_documents(file_stream(spark, logs_in), "logs", f"{base}/ck", f"{base}/out", trigger=once).awaitTermination()
+    docs = spark.read.parquet(f"{base}/out")
+    assert docs.count() == len(rows) == docs.select("doc_id").distinct().count()
+
+    a = alerts(log_rows(spark, rows), base_iocs(spark), exact=True)
+    write_files(spark, alerts_in, [[r.value for r in alert_json(a).collect()]])
+    q = start_documents(file_stream(spark, alerts_in), "alerts", f"{base}/ack", f"{base}/aout", trigger=once)
+    q.awaitTermination()
+    got = spark.read.parquet(f"{base}/aout")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.alert_id for r in a.collect())
+    assert got.filter("alert_type = 'Port Scanning'").first().log_uid is None

@@ -77,7 +77,10 @@ def pair_activity(
     `exact=False` keeps the approximate distinct count of the original
     detector; `exact=True` counts ports exactly.
     """
-    aggs = [F.min(F.struct("ts", "uid")).alias("first")]
+    # Exfiltration alerts name the earliest record's uid; a scan needs only
+    # the earliest time, which keeps the aggregate hash-based.
+    aggs = [(F.min(F.struct("ts", "uid")) if "exfil" in kinds else F.struct(
+        F.min("ts").alias("ts"), F.lit(None).cast("string").alias("uid"))).alias("first")]
     if "scan" in kinds:
         aggs.append(_port_count(df, exact).alias("port_count"))
     if "exfil" in kinds:

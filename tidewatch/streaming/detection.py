@@ -125,3 +125,36 @@ def run_detection(
             if q.exception() is not None:
                 raise q.exception()
         n += 1
+
+
+def document_stream(records: DataFrame, kind: str) -> DataFrame:
+    """Raw records -> typed documents for indexing, keyed for idempotent
+    upserts: `kind="logs"` decodes sensor JSON (65 typed fields, content
+    key), `kind="alerts"` decodes alert JSON (missing fields read as null,
+    keyed by alert id)."""
+    from tidewatch.sinks.outputs import alert_documents, decode_alerts, log_documents
+
+    if kind == "logs":
+        return log_documents(decode_logs(records))
+    if kind == "alerts":
+        return alert_documents(decode_alerts(records))
+    raise ValueError(f"unknown document kind {kind!r}")
+
+
+def start_documents(
+    records: DataFrame,
+    kind: str,
+    checkpoint: str,
+    path: str,
+    fmt: str = "parquet",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Copy a record stream into a document table. Offsets and the file
+    sink's commit log live under `checkpoint`, so a restart neither loses
+    nor repeats documents (unlike a consumer loop without committed offsets)."""
+    return (
+        document_stream(records, kind).writeStream.outputMode("append").format(fmt)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": TRIGGER}))
+        .start(path)
+    )
