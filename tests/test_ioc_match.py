@@ -127,7 +127,6 @@ def test_indicator_side_is_one_row_per_key_and_broadcast(spark):
 
 
 def test_oversized_indicator_side_is_not_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         r = dict(ts=at(1), uid="C1", log_path="http", id_orig_h="o", id_resp_h="r", host="bad.example")
@@ -135,5 +134,4 @@ def test_oversized_indicator_side_is_not_broadcast(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and df.count() == 1
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")

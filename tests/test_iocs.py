@@ -125,3 +125,14 @@ def test_uncommitted_snapshot_is_invisible(spark):
     land_raw(documents(spark, "2024-01-02", ["b"]), raw)
     run_ioc_refresh(spark, raw, table)  # re-does version 1 over the debris
     assert sorted(r.ioc for r in read_iocs(spark, table).collect()) == ["a", "b"]
+
+
+def test_reread_marker_day_picks_up_late_files(spark):
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    land_raw(documents(spark, "2024-01-01", ["a"]), raw)
+    run_ioc_refresh(spark, raw, table)
+    land_raw(documents(spark, "2024-01-01", ["late"]), raw)  # lands after the run, same day
+    assert not run_ioc_refresh(spark, raw, table).changed  # default: day is closed
+    r = run_ioc_refresh(spark, raw, table, reread_marker_day=True)
+    assert r.changed and r.marker == dt.date(2024, 1, 1)
+    assert sorted(x.ioc for x in read_iocs(spark, table).collect()) == ["a", "late"]

@@ -118,3 +118,27 @@ def test_document_streams_resume_without_duplicates(spark):
     got = spark.read.parquet(f"{base}/aout")
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.alert_id for r in a.collect())
     assert got.filter("alert_type = 'Port Scanning'").first().log_uid is None
+
+
+def test_state_survives_restart(spark):
+    """Half of a scan arrives before a restart, half after: the alert needs
+    the aggregation state carried over in the checkpoint."""
+    from tidewatch.plans.ioc_refresh import run_ioc_refresh
+    from tidewatch.sinks.outputs import land_raw
+    from tests.test_iocs import documents
+
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    land_raw(documents(spark, "2024-01-01", ["unused.example"]), raw)
+    run_ioc_refresh(spark, raw, table)
+    scan = [dict(ts=at(1 + i), uid=f"S{i}", log_path="conn", id_orig_h="10.10.10.5",
+                 id_resp_h="203.0.113.9", id_resp_p=1000 + i) for i in range(10)]
+    folder, base = work_dir(spark, "test-feed"), work_dir(spark, "test-run")
+    once = {"availableNow": True}
+    write_files(spark, folder, [lines(spark, scan[:5])])
+    run_detection(spark, lambda s: file_stream(s, folder, 1), table, f"{base}/ck", path=f"{base}/out",
+                  trigger=once, cycles=1, exact=True)
+    write_files(spark, folder, [lines(spark, scan[5:]), [SENTINEL]])
+    run_detection(spark, lambda s: file_stream(s, folder, 1), table, f"{base}/ck", path=f"{base}/out",
+                  trigger=once, cycles=1, exact=True)
+    out = spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out").collect()
+    assert [(r.alert_type, r.tags) for r in out] == [("Port Scanning", ["port_scan", "ports_count:10"])]

@@ -40,10 +40,20 @@ class RefreshResult:
     changed: bool
 
 
-def run_ioc_refresh(spark: SparkSession, raw_base: str, table: str, shift_hours: int = 3) -> RefreshResult:
+def run_ioc_refresh(
+    spark: SparkSession,
+    raw_base: str,
+    table: str,
+    shift_hours: int = 3,
+    reread_marker_day: bool = False,
+) -> RefreshResult:
+    """One incremental run. `reread_marker_day=True` also re-reads the last
+    merged day, picking up files that landed in it after the previous run
+    (safe: merging the same rows again changes nothing; such a run always
+    commits a new snapshot)."""
     prior = last_commit(spark, table)
     marker = None if prior is None else prior["marker"]
-    batch = read_raw(spark, raw_base, after=marker)
+    batch = read_raw(spark, raw_base, after=marker, inclusive=reread_marker_day)
     # Latest landing day in the increment; partition columns only, so this
     # job reads the listing and the (small) increment once.
     new_marker = batch.agg(F.max("folder_date")).first()[0]
@@ -62,3 +72,4 @@ def run_ioc_refresh(spark: SparkSession, raw_base: str, table: str, shift_hours:
     )
     commit.coalesce(1).write.mode("append").parquet(f"{table}/{COMMITS}")
     return RefreshResult(version, new_marker, True)
+

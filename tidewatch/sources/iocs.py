@@ -27,23 +27,27 @@ def folder_date() -> Column:
     return F.to_date(F.try_to_timestamp(text, F.lit("y-M-d")))
 
 
-def read_raw(spark: SparkSession, base: str, after: dt.date | None = None) -> DataFrame:
-    """Raw feed documents with `folder_date`; only days after `after`.
+def read_raw(spark: SparkSession, base: str, after: dt.date | None = None, inclusive: bool = False) -> DataFrame:
+    """Raw feed documents with `folder_date`; only days after `after` (or
+    from `after` on, with `inclusive=True`).
 
     The day filter references partition columns only, so it is applied to
     the directory listing (PartitionFilters): skipped days are never opened.
     """
     raw = spark.read.schema(RAW_SCHEMA).json(base).withColumn("folder_date", folder_date())
     if after is not None:
-        raw = raw.filter(F.col("folder_date") > F.lit(after))
+        day = F.col("folder_date")
+        raw = raw.filter(day >= F.lit(after) if inclusive else day > F.lit(after))
     return raw
 
 
 def read_commits(spark: SparkSession, table: str) -> DataFrame | None:
     try:
         return spark.read.parquet(f"{table}/{COMMITS}")
-    except AnalysisException:
-        return None
+    except AnalysisException as e:  # only a missing log means "new table"
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
 
 
 def last_commit(spark: SparkSession, table: str):
