@@ -29,15 +29,25 @@ def replay_alerts(
     detectors: tuple[str, ...] = ("ioc", "scan", "exfil"),
     exact: bool = False,
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run the streaming detector over `logs` (availableNow) and return the
     alerts its file sink committed."""
     base = work_dir(spark, "replay")
     write_feed(spark, logs, f"{base}/in")
-    with indicator_keys(iocs) as keys:
-        out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
-        q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    # A replay is a bounded run on a fresh checkpoint: size its state
+    # partitions to the cluster's cores, not to the session's (possibly
+    # default) shuffle setting. The stream keeps the value it started with.
+    conf = spark.conf
+    prior = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        with indicator_keys(iocs) as keys:
+            out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
+            q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", prior)
     return spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
