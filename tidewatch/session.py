@@ -56,3 +56,27 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the shared root for one run of one job."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tidewatch/{purpose}/{uuid.uuid4().hex}"
+
+
+def with_object_store(
+    builder: SparkSession.Builder,
+    endpoint: str,
+    access_key: str,
+    secret_key: str,
+    path_style: bool = True,
+    ssl: bool = False,
+) -> SparkSession.Builder:
+    """Bind `s3a://` paths to an S3-compatible object store (needs the
+    hadoop-aws jar on the classpath). Configuration only: every reader and
+    writer then takes `s3a://bucket/...` paths unchanged."""
+    conf = {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+    for k, v in conf.items():
+        builder = builder.config(k, v)
+    return builder

@@ -54,3 +54,22 @@ def land_raw(documents: DataFrame, base: str) -> None:
         F.lpad(F.col("day").cast("string"), 2, "0").alias("day"),
     )
     padded.write.mode("append").partitionBy(*RAW_PARTITIONS).json(base)
+
+
+def ensure_table(spark, path: str, schema) -> None:
+    """Create an empty Parquet table with `schema` if `path` holds none;
+    if it exists, fail unless every declared column is there with its type
+    (a document table is created once and then only appended to)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        existing = spark.read.parquet(path).schema
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+        return
+    have = {f.name: f.dataType for f in existing.fields}
+    wrong = [f.name for f in schema.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"table at {path} does not match the mapping for columns {wrong}")
