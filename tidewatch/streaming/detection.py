@@ -19,7 +19,7 @@ from tidewatch.operators.detect import DEFAULT, Thresholds, alerts, ioc_match, p
 from tidewatch.operators.iocs import fold_indicators
 from tidewatch.sinks.outputs import alert_json
 from tidewatch.sources.iocs import read_iocs
-from tidewatch.sources.logs import decode_logs, with_event_time
+from tidewatch.sources.logs import DETECTOR_FIELDS, decode_logs, with_event_time
 
 WATERMARK = "5 seconds"
 TRIGGER = "15 seconds"
@@ -53,7 +53,7 @@ def detection_stream(
     keys: DataFrame | None = None,
 ) -> DataFrame:
     """Raw log records (`value` column) -> alert rows, as a stream."""
-    logs = with_event_time(decode_logs(records), watermark)
+    logs = with_event_time(decode_logs(records, fields=DETECTOR_FIELDS), watermark)
     pair_kinds = tuple(k for k in ("scan", "exfil") if k in detectors)
     if "ioc" in detectors and pair_kinds == ("scan", "exfil"):
         return alerts(logs, iocs, exact, t, keys=keys)
