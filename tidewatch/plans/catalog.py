@@ -459,3 +459,23 @@ def q_stream_ioc_match(spark, sf):
 @register("stream_pair_activity", _PAIRS_SQL)
 def q_stream_pair_activity(spark, sf):
     return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), detectors=("scan", "exfil"), exact=True)
+
+
+# ------------------------------------------------------ strict match keys
+
+from tidewatch.functions.columns import STRICT_HOST_PATTERN  # noqa: E402
+
+_P = STRICT_HOST_PATTERN.replace("'", "''")
+_V6 = r"^\[([^\]]+)\]"
+
+
+@register("ioc_match_key_strict", _with(fx.IOCS_SQL) + (
+    "SELECT ioc, ioc_type, reporter, confidence_level, " + sql_text("tags") + " AS tags, is_compromised, "
+    f"CASE WHEN ioc_type = 'ip:port' THEN CASE WHEN regexp_extract(ioc, '{_V6}', 1) <> '' "
+    f"THEN lower(regexp_extract(ioc, '{_V6}', 1)) ELSE split_part(ioc, ':', 1) END "
+    f"WHEN ioc_type = 'url' THEN lower(CASE WHEN regexp_extract(ioc, '{_P}', 1) <> '' "
+    f"THEN regexp_extract(ioc, '{_P}', 1) ELSE regexp_extract(ioc, '{_P}', 2) END) "
+    "ELSE lower(trim(ioc)) END AS ioc_for_match FROM iocs"))
+def q_ioc_match_key_strict(spark, sf):
+    """The stricter key rule (case, user info, port, IPv6 brackets)."""
+    return with_match_key(fx.iocs(spark, sf), strict=True)
