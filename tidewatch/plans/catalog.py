@@ -7,18 +7,27 @@ Oracle SQL runs on DuckDB views named like the driver tables.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.operators import detect
+from tidewatch.functions.columns import STRICT_HOST_PATTERN
+from tidewatch.operators import detect, enrich
+from tidewatch.operators import iocs as ops
 from tidewatch.operators.iocs import with_match_key
 from tidewatch.plans.checkable import checkable, sql_text
-from tidewatch.schemas import WIDE_SCHEMA
+from tidewatch.plans.ioc_refresh import run_ioc_refresh
+from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_ENTRY, WIDE_SCHEMA
+from tidewatch.session import work_dir
+from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts, land_raw, log_documents
 from tidewatch.sources import fixtures as fx
+from tidewatch.sources.iocs import read_iocs, read_raw
 from tidewatch.sources.logs import conform_wide, decode_logs, encode_logs
+from tidewatch.streaming.feed import replay_alerts
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -215,16 +224,8 @@ def q_alerts_union(spark, sf):
 
 # ------------------------------------------------------- indicator pipeline
 
-import datetime as _dt  # noqa: E402
 
-from pyspark.sql import functions as F  # noqa: E402
 
-from tidewatch.operators import iocs as ops  # noqa: E402
-from tidewatch.plans.ioc_refresh import run_ioc_refresh  # noqa: E402
-from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_ENTRY  # noqa: E402
-from tidewatch.session import work_dir  # noqa: E402
-from tidewatch.sinks.outputs import land_raw  # noqa: E402
-from tidewatch.sources.iocs import read_iocs, read_raw  # noqa: E402
 
 # Landing days up to MARKER form the initial table; later days the increment.
 MARKER = _dt.date(2024, 1, 2)
@@ -356,8 +357,6 @@ def q_ioc_refresh_job(spark, sf):
 
 # --------------------------------------------------------- dedup, documents
 
-from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts, log_documents  # noqa: E402
-from tidewatch.operators import enrich  # noqa: E402
 
 _ALERTS_SQL = (_with(fx.NET_SQL, fx.IOCS_SQL, KEYS_CTE, EVENTS_CTE, CANDIDATES_CTE, PAIRS_CTE)
                + IOC_MATCH_SELECT + "\nUNION ALL" + PORT_SCAN_SELECT + "\nUNION ALL" + EXFIL_SELECT)
@@ -438,7 +437,6 @@ def q_status_message(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 
-from tidewatch.streaming.feed import replay_alerts  # noqa: E402
 
 _IOC_MATCH_SQL = _with(fx.NET_SQL, fx.IOCS_SQL, KEYS_CTE, EVENTS_CTE, CANDIDATES_CTE) + IOC_MATCH_SELECT
 _PAIRS_SQL = _with(fx.NET_SQL, PAIRS_CTE) + PORT_SCAN_SELECT + "\nUNION ALL" + EXFIL_SELECT
@@ -463,7 +461,6 @@ def q_stream_pair_activity(spark, sf):
 
 # ------------------------------------------------------ strict match keys
 
-from tidewatch.functions.columns import STRICT_HOST_PATTERN  # noqa: E402
 
 _P = STRICT_HOST_PATTERN.replace("'", "''")
 _V6 = r"^\[([^\]]+)\]"
