@@ -135,3 +135,17 @@ def test_oversized_indicator_side_is_not_broadcast(spark):
         assert "BroadcastHashJoin" not in plan and df.count() == 1
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_salted_shuffle_join_equals_broadcast(spark):
+    """A hot match value (the same answer in every DNS row) through the
+    salted shuffle join gives the same alerts as the broadcast join."""
+    rows = [dict(ts=at(i * 0.7), uid=f"C{i // 3}", log_path="dns", id_orig_h=f"10.10.10.{i % 7}",
+                 id_resp_h="10.0.0.53", query=f"q{i}.example", answers=["7.7.7.7"]) for i in range(60)]
+    df = log_rows(spark, rows)
+    key = lambda d: sorted(tuple(r) for r in d.drop("alert_ts").collect())
+    base = ioc_match(df, base_iocs(spark))
+    salted = ioc_match(df, base_iocs(spark), broadcast_limit=1, salt_buckets=4)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert key(salted) == key(base) and len(key(base)) > 1

@@ -169,6 +169,22 @@ def ioc_candidates(df: DataFrame, dedup: bool | None = None) -> DataFrame:
     ).filter(F.col("match_value").isNotNull())
 
 
+def salted_join(cand: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
+    """Shuffle equi-join on the match value, with every key spread over
+    `buckets` reducers.
+
+    One match value can carry a third of all candidates (a resolver address
+    in every DNS answer). Each candidate gets a salt from a hash of its
+    (uid, ts) and each folded indicator row (one per key) is replicated once
+    per salt, so a hot value is split `buckets` ways; the indicator side
+    grows by `buckets` rows per key, never with the log volume.
+    """
+    salted = cand.withColumn("_salt", F.pmod(F.xxhash64("uid", "ts"), F.lit(buckets)).cast("int"))
+    fanned = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    cond = (salted["match_value"] == fanned["ioc_for_match"]) & (salted["_salt"] == fanned["_salt"])
+    return salted.join(fanned, cond, "inner").drop(salted["_salt"]).drop(fanned["_salt"])
+
+
 def ioc_match(
     df: DataFrame,
     iocs: DataFrame | None,
@@ -178,6 +194,7 @@ def ioc_match(
     broadcast_limit: int | None = None,
     dedup: bool | None = None,
     keys: DataFrame | None = None,
+    salt_buckets: int = 0,
 ) -> DataFrame:
     """Alert per (5-second window, uid) whose log rows hit an indicator.
 
@@ -187,11 +204,14 @@ def ioc_match(
     duplicate-insensitive (sets, max, or), so batch runs skip the dedup
     shuffle without changing the result; streams dedup the (few) hits.
     `keys` takes a prepared `match_table` (a stream reuses one per run).
+    `salt_buckets > 1` salts the shuffle join (for indicator tables too big
+    to broadcast, see `salted_join`).
     """
     if keys is None:
         keys = match_table(iocs, strict=strict_keys, broadcast_limit=broadcast_limit)
     cand = ioc_candidates(df, dedup=False).select("uid", "ts", "orig_ip", "resp_ip", "match_value")
-    hit = cand.join(keys, cand["match_value"] == keys["ioc_for_match"], "inner")
+    hit = salted_join(cand, keys, salt_buckets) if salt_buckets > 1 else (
+        cand.join(keys, cand["match_value"] == keys["ioc_for_match"], "inner"))
     if dedup is None:
         dedup = df.isStreaming
     if dedup:
@@ -233,6 +253,7 @@ def alerts(
     alert_ts: Column | None = None,
     broadcast_limit: int | None = None,
     keys: DataFrame | None = None,
+    salt_buckets: int = 0,
 ) -> DataFrame:
     """All three detectors as one alert stream (union by name).
 
@@ -240,6 +261,6 @@ def alerts(
     per batch/trigger, not three times.
     """
     ts = _alert_ts(alert_ts)
-    return ioc_match(df, iocs, t, ts, broadcast_limit=broadcast_limit, keys=keys).unionByName(
+    return ioc_match(df, iocs, t, ts, broadcast_limit=broadcast_limit, keys=keys, salt_buckets=salt_buckets).unionByName(
         pair_activity(df, ("scan", "exfil"), exact, t, ts)
     )
