@@ -74,3 +74,14 @@ def test_object_store_binding_is_configuration():
     b = with_object_store(SparkSession.builder, "http://store:9000", "k", "s")
     assert b._options["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
     assert b._options["spark.hadoop.fs.s3a.path.style.access"] == "true"
+
+
+def test_watermark_accepts_ntz_time(spark):
+    from pyspark.sql import functions as F
+
+    from tidewatch.sources.logs import with_event_time
+
+    df = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    df = df.withColumn("ts", F.col("timestamp").cast("timestamp_ntz"))
+    out = with_event_time(df)
+    assert out.schema["ts"].dataType.typeName() == "timestamp"
