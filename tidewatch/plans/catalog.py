@@ -27,7 +27,7 @@ from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts,
 from tidewatch.sources import fixtures as fx
 from tidewatch.sources.iocs import read_iocs, read_raw
 from tidewatch.sources.logs import conform_wide, decode_logs, encode_logs
-from tidewatch.streaming.feed import replay_alerts
+from tidewatch.streaming.feed import replay_alerts, replay_alerts_resumed
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -476,3 +476,10 @@ _V6 = r"^\[([^\]]+)\]"
 def q_ioc_match_key_strict(spark, sf):
     """The stricter key rule (case, user info, port, IPv6 brackets)."""
     return with_match_key(fx.iocs(spark, sf), strict=True)
+
+
+@register("stream_alerts_resumed", _ALERTS_SQL)
+def q_stream_alerts_resumed(spark, sf):
+    """The whole table in three event-time slices, the stream restarted on
+    one checkpoint per slice: state and watermark must carry over."""
+    return replay_alerts_resumed(spark, fx.net(spark, sf), fx.iocs(spark, sf), runs=3, exact=True)
