@@ -46,7 +46,8 @@ def test_measure_and_broadcast_decision(spark):
     m = measure(df)
     assert m.rows == 3 and m.bytes >= 3 + 3 * 8
     hinted, _ = broadcast_if_small(df, limit=10 ** 9)
-    plain, _ = broadcast_if_small(df, limit=1)
+    plain, m1 = broadcast_if_small(df, limit=1)
+    assert not m1.exact and m1.rows == 3  # ruled out by the row count alone
     assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
 

@@ -51,10 +51,21 @@ def row_bytes(df: DataFrame) -> Column:
 class Measured:
     rows: int
     bytes: int
+    exact: bool = True  # False: `bytes` is only a lower bound
 
 
-def measure(df: DataFrame) -> Measured:
-    """Exact row count and byte estimate of `df` (one partial+final aggregate)."""
+def measure(df: DataFrame, limit: int | None = None) -> Measured:
+    """Row count and byte size of `df`, each a partial+final aggregate.
+
+    With a `limit`, the row count comes first (for a file-backed side it
+    reads no column data); if rows times the fixed per-row size already
+    exceeds the limit, the byte scan is skipped and a lower bound returned.
+    """
+    if limit is not None:
+        n = df.count()
+        floor = n * (_ROW_OVERHEAD + _FIELD_BYTES * len(df.schema.fields))
+        if floor > limit:
+            return Measured(n, floor, exact=False)
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return Measured(int(r["n"]), int(r["b"] or 0))
 
@@ -69,8 +80,9 @@ def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, Measured]:
     """`broadcast(df)` when its measured size fits `limit`, else `df` unchanged
     (Spark then plans a shuffle join, which AQE may still convert at runtime)."""
-    m = measure(df)
-    return (F.broadcast(df) if m.bytes <= broadcast_limit(df, limit) else df), m
+    cap = broadcast_limit(df, limit)
+    m = measure(df, cap)
+    return (F.broadcast(df) if m.exact and m.bytes <= cap else df), m
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
