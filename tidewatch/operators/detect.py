@@ -88,14 +88,13 @@ def pair_activity(
     g = df.groupBy(F.window("ts", t.pair_window).alias("window"), "id_orig_h", "id_resp_h").agg(*aggs)
 
     ts = _alert_ts(alert_ts)
-    candidates = []
-    if "scan" in kinds:
-        n = F.col("port_count")
-        candidates.append(F.when(n >= t.min_ports, F.struct(
-            alert_id(PORT_SCAN, "window", "id_orig_h", "id_resp_h").alias("alert_id"),
-            F.lit(None).cast("string").alias("log_uid"),
-            F.lit(PORT_SCAN).alias("alert_type"),
-            F.when(n > t.min_ports * t.high_ports_factor, HIGH).otherwise(MEDIUM).alias("severity"),
+
+    def alert(alert_type: str, severity: Column, log_uid: Column, tags: Column) -> Column:
+        return F.struct(
+            alert_id(alert_type, "window", "id_orig_h", "id_resp_h").alias("alert_id"),
+            log_uid.alias("log_uid"),
+            F.lit(alert_type).alias("alert_type"),
+            severity.alias("severity"),
             ts.alias("alert_ts"),
             F.col("first.ts").alias("event_ts"),
             F.col("id_orig_h").alias("orig_ip"),
@@ -103,26 +102,26 @@ def pair_activity(
             F.lit(None).cast("int").alias("ioc_score"),
             empty_strings().alias("ioc_source"),
             empty_strings().alias("ioc_value"),
-            F.array(F.lit("port_scan"), F.concat_ws(":", F.lit("ports_count"), n.cast("string"))).alias("tags"),
+            tags.alias("tags"),
+        )
+
+    candidates = []
+    if "scan" in kinds:
+        n = F.col("port_count")
+        candidates.append(F.when(n >= t.min_ports, alert(
+            PORT_SCAN,
+            F.when(n > t.min_ports * t.high_ports_factor, HIGH).otherwise(MEDIUM),
+            F.lit(None).cast("string"),
+            F.array(F.lit("port_scan"), F.concat_ws(":", F.lit("ports_count"), n.cast("string"))),
         )))
     if "exfil" in kinds:
         b = F.col("total_bytes")
-        candidates.append(F.when(b > t.min_bytes, F.struct(
-            alert_id(EXFILTRATION, "window", "id_orig_h", "id_resp_h").alias("alert_id"),
-            F.col("first.uid").alias("log_uid"),
-            F.lit(EXFILTRATION).alias("alert_type"),
-            F.when(b > t.min_bytes * t.high_bytes_factor, HIGH).otherwise(MEDIUM).alias("severity"),
-            ts.alias("alert_ts"),
-            F.col("first.ts").alias("event_ts"),
-            F.col("id_orig_h").alias("orig_ip"),
-            F.col("id_resp_h").alias("resp_ip"),
-            F.lit(None).cast("int").alias("ioc_score"),
-            empty_strings().alias("ioc_source"),
-            empty_strings().alias("ioc_value"),
-            F.array(
-                F.lit("data_exfiltration"),
-                F.concat_ws(":", F.lit("data_exfiltration_mb"), (b / 1_000_000).cast("string")),
-            ).alias("tags"),
+        candidates.append(F.when(b > t.min_bytes, alert(
+            EXFILTRATION,
+            F.when(b > t.min_bytes * t.high_bytes_factor, HIGH).otherwise(MEDIUM),
+            F.col("first.uid"),
+            F.array(F.lit("data_exfiltration"),
+                    F.concat_ws(":", F.lit("data_exfiltration_mb"), (b / 1_000_000).cast("string"))),
         )))
     return conform_alerts(g.select(F.inline(F.array_compact(F.array(*candidates)))))
 
