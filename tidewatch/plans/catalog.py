@@ -483,3 +483,13 @@ def q_stream_alerts_resumed(spark, sf):
     """The whole table in three event-time slices, the stream restarted on
     one checkpoint per slice: state and watermark must carry over."""
     return replay_alerts_resumed(spark, fx.net(spark, sf), fx.iocs(spark, sf), runs=3, exact=True)
+
+
+@register("stream_port_scan", _with(fx.NET_SQL, PAIRS_CTE) + PORT_SCAN_SELECT)
+def q_stream_port_scan(spark, sf):
+    return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), detectors=("scan",), exact=True)
+
+
+@register("stream_exfil", _with(fx.NET_SQL, PAIRS_CTE) + EXFIL_SELECT)
+def q_stream_exfil(spark, sf):
+    return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), detectors=("exfil",))

@@ -3,6 +3,8 @@ read back by the file source exactly as the broker feed would be."""
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.schemas import ALERT_SCHEMA
@@ -88,7 +90,7 @@ def replay_alerts(
     prior = conf.get("spark.sql.shuffle.partitions")
     conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     try:
-        with indicator_keys(iocs) as keys:
+        with (indicator_keys(iocs) if "ioc" in detectors else nullcontext()) as keys:
             out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
             q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
             q.awaitTermination()
