@@ -142,3 +142,19 @@ def test_state_survives_restart(spark):
                   trigger=once, cycles=1, exact=True)
     out = spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out").collect()
     assert [(r.alert_type, r.tags) for r in out] == [("Port Scanning", ["port_scan", "ports_count:10"])]
+
+
+def test_job_entry_points(spark):
+    from tidewatch.jobs import main
+    from tidewatch.sinks.outputs import land_raw
+    from tests.test_iocs import documents
+
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    land_raw(documents(spark, "2024-01-01", ["bad.example"]), raw)
+    main(["refresh", "--raw", raw, "--table", table], spark)
+    folder, base = work_dir(spark, "test-feed"), work_dir(spark, "test-run")
+    write_files(spark, folder, [lines(spark, scenario(spark)), [SENTINEL]])
+    main(["detect", "--table", table, "--files", folder, "--sink", f"{base}/out",
+          "--checkpoint", f"{base}/ck", "--once", "--exact"], spark)
+    out = spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
+    assert sorted(r.alert_type for r in out.collect()) == ["Data Exfiltration", "IOC Match", "Port Scanning"]
