@@ -85,3 +85,21 @@ def test_watermark_accepts_ntz_time(spark):
     df = df.withColumn("ts", F.col("timestamp").cast("timestamp_ntz"))
     out = with_event_time(df)
     assert out.schema["ts"].dataType.typeName() == "timestamp"
+
+
+def test_alert_json_wire_format(spark):
+    import json
+
+    from tidewatch.operators.detect import port_scan
+    from tidewatch.sinks.outputs import alert_json, decode_alerts
+
+    rows = [dict(ts=at(i * 0.1), uid=f"S{i}", log_path="conn", id_orig_h="a", id_resp_h="b", id_resp_p=100 + i)
+            for i in range(9)]
+    alerts = port_scan(log_rows(spark, rows), exact=True)
+    rec = alert_json(alerts).first()
+    doc = json.loads(rec.value)
+    assert rec.key == doc["alert_id"]
+    assert "log_uid" not in doc and "ioc_score" not in doc  # null fields left out
+    assert doc["ioc_source"] == [] and doc["ioc_value"] == []  # empty arrays kept
+    back = decode_alerts(alert_json(alerts)).first()
+    assert back.log_uid is None and back.tags == ["port_scan", "ports_count:9"]
