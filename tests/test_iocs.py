@@ -30,9 +30,12 @@ def test_clean_rules(spark):
         e("b.example", last="2024-01-02 11:00:00 UTC"),
         e(None),
         e("c.example", first="garbage"),
+        e("d.example", conf="50.7"),
+        e("e.example", conf="1e12"),
     ]
     out = {r.ioc: r for r in clean_iocs(entries(spark, rows)).collect()}
-    assert set(out) == {"a.example", "b.example", "c.example"}  # null ioc dropped
+    assert set(out) == {"a.example", "b.example", "c.example", "d.example", "e.example"}  # null ioc dropped
+    assert out["d.example"].confidence_level == 50 and out["e.example"].confidence_level is None
     a, b, c = out["a.example"], out["b.example"], out["c.example"]
     assert a.reporter is None and a.reference is None and a.confidence_level is None
     assert a.id == hashlib.sha256(b"a.example").hexdigest()

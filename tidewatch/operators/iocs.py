@@ -85,7 +85,9 @@ def clean_iocs(entries: DataFrame, shift_hours: int = FEED_SHIFT_HOURS, keep: tu
         "ioc_type": c("ioc_type"),
         "malware": c("malware"),
         "malware_printable": c("malware_printable"),
-        "confidence_level": c("confidence_level").cast("string").try_cast("int"),
+        # numeric text -> int, truncating like a numeric cast; junk or an
+        # out-of-range value -> null
+        "confidence_level": c("confidence_level").cast("string").try_cast("double").try_cast("int"),
         "first_seen": parse_feed_time(c("first_seen"), shift_hours),
         "last_seen": parse_feed_time(F.coalesce(c("last_seen"), c("first_seen")), shift_hours),
         "reference": F.nullif(c("reference"), F.lit("")),

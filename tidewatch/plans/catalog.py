@@ -267,7 +267,7 @@ CLEAN_CTE = f"""
 clean AS (
   SELECT sha256(ioc) AS id, ioc, CAST(NULL AS VARCHAR) AS threat_type, ioc_type,
          CAST(NULL AS VARCHAR) AS malware, CAST(NULL AS VARCHAR) AS malware_printable,
-         TRY_CAST(confidence_level AS INTEGER) AS confidence_level,
+         TRY_CAST(trunc(TRY_CAST(confidence_level AS DOUBLE)) AS INTEGER) AS confidence_level,
          {_feed_time_sql('first_seen')} AS first_seen,
          {_feed_time_sql('coalesce(last_seen, first_seen)')} AS last_seen,
          nullif(reference, '') AS reference, nullif(reporter, 'anonymous') AS reporter,
