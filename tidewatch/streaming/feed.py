@@ -56,7 +56,10 @@ def replay_alerts_resumed(
                 if i < runs and bounds["lo"] is not None:
                     lo = F.lit(bounds["lo"]) + (F.lit(bounds["hi"]) - F.lit(bounds["lo"])) * (i / runs)
                     hi = F.lit(bounds["lo"]) + (F.lit(bounds["hi"]) - F.lit(bounds["lo"])) * ((i + 1) / runs)
-                    part = logs.filter((F.col("ts") >= lo) & ((F.col("ts") < hi) if i < runs - 1 else F.lit(True)))
+                    in_slice = (F.col("ts") >= lo) & ((F.col("ts") < hi) if i < runs - 1 else F.lit(True))
+                    if i == 0:  # every record is delivered; untimed ones with the first slice
+                        in_slice = in_slice | F.col("ts").isNull()
+                    part = logs.filter(in_slice)
                     write_feed(spark, part, f"{base}/in", sentinel=False)
                 elif i == runs:
                     write_sentinel(spark, f"{base}/in")
