@@ -39,7 +39,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     would vanish with the executor that wrote it. Only a local-mode session
     (tests, bench) without the setting gets a fresh scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running jobs")
+        return root
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root
@@ -115,3 +121,12 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 4, state_parti
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (SparkContext default parallelism, or
+    `spark.default.parallelism` where there is no SparkContext)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", "200"))

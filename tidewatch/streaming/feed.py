@@ -8,7 +8,7 @@ from contextlib import nullcontext
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.schemas import ALERT_SCHEMA
-from tidewatch.session import work_dir
+from tidewatch.session import parallelism, work_dir
 from tidewatch.sources.logs import encode_logs, file_stream
 from tidewatch.streaming.detection import detection_stream, indicator_keys, start_sink
 
@@ -49,7 +49,7 @@ def replay_alerts_resumed(
     bounds = logs.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     conf = spark.conf
     prior = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
     try:
         with indicator_keys(iocs) as keys:
             for i in range(runs + 1):
@@ -91,7 +91,7 @@ def replay_alerts(
     # default) shuffle setting. The stream keeps the value it started with.
     conf = spark.conf
     prior = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
     try:
         with (indicator_keys(iocs) if "ioc" in detectors else nullcontext()) as keys:
             out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
