@@ -4,6 +4,7 @@
     spark-submit --py-files tidewatch.zip tidewatch/jobs.py detect --table s3a://b/iocs \\
         --kafka-servers host:9092 --topic logs --alerts-topic alerts
     python -m tidewatch.jobs detect --table T --files IN --sink OUT --once
+    python -m tidewatch.jobs scan --table T --logs ARCHIVE --out OUT
 
 Checkpoints default to a per-query folder under `spark.checkpoint.dir`.
 """
@@ -16,7 +17,9 @@ from pyspark.sql import SparkSession
 
 from tidewatch.plans.ioc_refresh import run_ioc_refresh
 from tidewatch.session import checkpoint_root
-from tidewatch.sources.logs import file_stream, kafka_stream
+from tidewatch.operators.detect import alerts
+from tidewatch.sources.iocs import read_iocs
+from tidewatch.sources.logs import DETECTOR_FIELDS, file_stream, kafka_stream, read_logs
 from tidewatch.streaming.detection import REFRESH_SECONDS, TRIGGER, run_detection
 
 
@@ -28,6 +31,11 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--table", required=True)
     r.add_argument("--shift-hours", type=int, default=3)
     r.add_argument("--reread-marker-day", action="store_true")
+    b = sub.add_parser("scan", help="run the detectors over a landed log archive (batch)")
+    b.add_argument("--table", required=True, help="clean indicator table")
+    b.add_argument("--logs", required=True, help="folder of JSON-lines log files")
+    b.add_argument("--out", required=True, help="alert table folder (written once)")
+    b.add_argument("--exact", action="store_true")
     d = sub.add_parser("detect", help="run the detection stream")
     d.add_argument("--table", required=True, help="clean indicator table")
     d.add_argument("--kafka-servers")
@@ -51,6 +59,13 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         res = run_ioc_refresh(spark, args.raw, args.table, args.shift_hours, args.reread_marker_day)
         print(f"refresh: changed={res.changed} version={res.version} marker={res.marker}")
         return
+    if args.job == "scan":
+        iocs = read_iocs(spark, args.table)
+        if iocs is None:
+            raise SystemExit(f"no committed indicator table at {args.table}")
+        logs = read_logs(spark, args.logs, DETECTOR_FIELDS)
+        alerts(logs, iocs, exact=args.exact).write.mode("errorifexists").parquet(args.out)
+        return
     if args.kafka_servers:
         def source(s):
             return kafka_stream(s, args.kafka_servers, args.topic, args.max_offsets)

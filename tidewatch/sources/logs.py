@@ -95,6 +95,6 @@ def file_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.load(path)
 
 
-def read_logs(spark: SparkSession, path: str) -> DataFrame:
+def read_logs(spark: SparkSession, path: str, fields: tuple[str, ...] | None = None) -> DataFrame:
     """Batch read of JSON-lines log files, decoded like the stream."""
-    return decode_logs(spark.read.format("text").load(path))
+    return decode_logs(spark.read.format("text").load(path), fields=fields)
