@@ -139,3 +139,18 @@ def test_reread_marker_day_picks_up_late_files(spark):
     r = run_ioc_refresh(spark, raw, table, reread_marker_day=True)
     assert r.changed and r.marker == dt.date(2024, 1, 1)
     assert sorted(x.ioc for x in read_iocs(spark, table).collect()) == ["a", "late"]
+
+
+def test_merge_paths_agree_and_table_is_not_shuffled(spark):
+    cur = merge_iocs(None, cleaned(spark, [e("a"), e("b", last="2024-01-03 00:00:00"), e("x")]))
+    batch = cleaned(spark, [e("b", last="2024-01-05 00:00:00"), e("c"), e("c", first="2023-12-30 10:00:00"),
+                            e("a", last="2023-01-01 00:00:00")])
+    fast = merge_iocs(cur, batch)
+    slow = merge_iocs(cur, batch, broadcast_limit=1)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = fast._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan

@@ -142,15 +142,38 @@ def refresh_last_seen(current: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def merge_iocs(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """New table = current table merged with a cleaned batch, one row per id.
-
-    Equals new_iocs(...) UNION refresh_last_seen(...), computed with one
-    shuffle on `id` and no join: union both sides, then pick per id the
-    current row if any (else the earliest batch row) and the max last_seen.
+def merge_iocs(current: DataFrame | None, batch: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
+    """New table = current table merged with a cleaned batch, one row per id:
+    the current row if the id is known (with `last_seen` raised to the
+    batch's latest), else the earliest batch row with the batch's latest
+    `last_seen`. Equals new_iocs(...) UNION refresh_last_seen(...).
     Idempotent: merging the same batch again changes nothing.
+
+    The table is much larger than a daily increment, so the increment is
+    folded per id first and, when that fold measures small, broadcast into
+    the table: the table streams through map-side joins and is never
+    shuffled. A large increment falls back to one shuffle of both sides on
+    `id` (union, then pick per id).
     """
-    tagged = batch.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(1))
-    if current is not None:
-        tagged = current.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(0)).unionByName(tagged)
-    return _fold(tagged)
+    if current is None:
+        return batch_per_id(batch)
+    folded = batch_per_id(batch)
+    latest, size = broadcast_if_small(folded.select("id", F.col("last_seen").alias("_inc")), broadcast_limit)
+    if not (size.exact and size.bytes <= _limit(folded, broadcast_limit)):
+        tagged = current.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(0)).unionByName(
+            batch.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(1)))
+        return _fold(tagged)
+    table = current.select(*CLEAN_COLUMNS)
+    refreshed = (
+        table.join(latest, "id", "left")
+        .withColumn("last_seen", F.greatest("last_seen", "_inc"))
+        .select(*CLEAN_COLUMNS)
+    )
+    known = table.select("id").join(latest.select("id"), "id", "left_semi")  # at most |increment| rows
+    return refreshed.unionByName(folded.join(known, "id", "left_anti"))
+
+
+def _limit(df: DataFrame, limit: int | None) -> int:
+    from tidewatch.functions.sizing import broadcast_limit
+
+    return broadcast_limit(df, limit)
