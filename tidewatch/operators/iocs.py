@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.columns import match_key, parse_feed_time
 from tidewatch.functions.sizing import broadcast_if_small
 from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_ENTRY
+from tidewatch.session import checkpoint_root
 
 CLEAN_COLUMNS = [f.name for f in CLEAN_IOC_SCHEMA.fields]
 # Fixed value: feed times are shifted by this many hours (feed-local offset).
@@ -157,11 +158,17 @@ def merge_iocs(current: DataFrame | None, batch: DataFrame, broadcast_limit: int
     """
     if current is None:
         return batch_per_id(batch)
-    folded = batch_per_id(batch)
+    # The folded increment feeds the size check and two joins: materialise
+    # it once in the shared checkpoint folder (reliable, lineage cut) rather
+    # than re-reading and re-folding the raw feed for each use.
+    checkpoint_root(batch.sparkSession)
+    folded = batch_per_id(batch).checkpoint(eager=True)
     latest, size = broadcast_if_small(folded.select("id", F.col("last_seen").alias("_inc")), broadcast_limit)
     if not (size.exact and size.bytes <= _limit(folded, broadcast_limit)):
+        # Picking per id over (table, folded increment) equals picking over
+        # (table, raw increment): the fold already holds each id's pick.
         tagged = current.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(0)).unionByName(
-            batch.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(1)))
+            folded.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(1)))
         return _fold(tagged)
     table = current.select(*CLEAN_COLUMNS)
     refreshed = (
