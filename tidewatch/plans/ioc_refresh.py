@@ -20,18 +20,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.operators.iocs import clean_iocs, explode_raw, merge_iocs
-from tidewatch.sources.iocs import COMMITS, SNAPSHOTS, last_commit, read_iocs, read_raw
-
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("snapshot", T.StringType()),
-    T.StructField("marker", T.DateType()),
-    T.StructField("committed_at", T.TimestampType()),
-])
-
+from tidewatch.sources.iocs import COMMIT_SCHEMA, COMMITS, SNAPSHOTS, last_commit, read_iocs, read_raw
 
 @dataclass(frozen=True)
 class RefreshResult:

@@ -18,6 +18,12 @@ RAW_SCHEMA = T.StructType(
 )
 COMMITS = "_commits"
 SNAPSHOTS = "snapshots"
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("snapshot", T.StringType()),
+    T.StructField("marker", T.DateType()),
+    T.StructField("committed_at", T.TimestampType()),
+])
 
 
 def folder_date() -> Column:
@@ -43,7 +49,7 @@ def read_raw(spark: SparkSession, base: str, after: dt.date | None = None, inclu
 
 def read_commits(spark: SparkSession, table: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{table}/{COMMITS}")
+        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{table}/{COMMITS}")
     except AnalysisException as e:  # only a missing log means "new table"
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
