@@ -222,7 +222,7 @@ def q_alerts_union(spark, sf):
     return detect.alerts(fx.net(spark, sf), fx.iocs(spark, sf), exact=True)
 
 
-# ------------------------------------------------------- indicator pipeline
+# --------------------------------------------------------- indicator table
 
 
 
