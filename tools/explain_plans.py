@@ -41,7 +41,9 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     out = ["# Physical plans of the headline queries", "",
            f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local[8], AQE on; "
-           "AQE may still re-plan at runtime).", ""]
+           "AQE may still re-plan at runtime). In `merge_iocs` and `new_iocs` the current table is itself "
+           "derived from the raw fixture (hence its aggregation); in the refresh job it is a Parquet "
+           "snapshot scan.", ""]
     for name in SHOW:
         df = REGISTRY[name].build(spark, sf_dir)
         out += [f"## {name}", "", "```", plan_text(df), "```", ""]
