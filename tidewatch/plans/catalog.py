@@ -27,7 +27,7 @@ from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts,
 from tidewatch.sources import fixtures as fx
 from tidewatch.sources.iocs import read_iocs, read_raw
 from tidewatch.sources.logs import conform_wide, decode_logs, encode_logs
-from tidewatch.streaming.feed import replay_alerts, replay_alerts_resumed
+from tidewatch.streaming.feed import replay_alerts, replay_alerts_resumed, replay_through
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -493,3 +493,28 @@ def q_stream_port_scan(spark, sf):
 @register("stream_exfil", _with(fx.NET_SQL, PAIRS_CTE) + EXFIL_SELECT)
 def q_stream_exfil(spark, sf):
     return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), detectors=("exfil",))
+
+
+@register("stream_dedup_events", _with(fx.NET_SQL, """
+ev AS (
+  SELECT uid, ts, id_orig_h AS orig_ip, id_resp_h AS resp_ip, query,
+         unnest(CASE WHEN answers IS NULL OR len(answers) = 0 THEN [NULL::VARCHAR] ELSE answers END) AS answer, host
+  FROM (SELECT * FROM net UNION ALL SELECT * FROM net)
+)""") + "SELECT DISTINCT * FROM ev")
+def q_stream_dedup_events(spark, sf):
+    """Every record delivered twice on the stream; dedup within the
+    watermark keeps one."""
+    from tidewatch.sources.logs import DETECTOR_FIELDS, with_event_time
+
+    n = fx.net(spark, sf)
+    return replay_through(spark, n.unionByName(n), lambda recs: detect.ioc_events(
+        with_event_time(decode_logs(recs, fields=DETECTOR_FIELDS)), dedup=True))
+
+
+@register("stream_log_documents", _with(fx.NET_SQL) + _wide_select_sql().replace(
+    "SELECT ", f"SELECT {_DOC_KEY_SQL} AS doc_id, ", 1))
+def q_stream_log_documents(spark, sf):
+    """The log-document copy stream over the whole table."""
+    from tidewatch.streaming.detection import document_stream
+
+    return replay_through(spark, fx.net(spark, sf), lambda recs: document_stream(recs, "logs"))

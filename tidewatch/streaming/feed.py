@@ -102,3 +102,23 @@ def replay_alerts(
     finally:
         conf.set("spark.sql.shuffle.partitions", prior)
     return spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
+
+
+def replay_through(spark: SparkSession, logs: DataFrame, build, state_partitions: int | None = None) -> DataFrame:
+    """Replay `logs` as sensor JSON files through `build(records) -> stream`
+    into a Parquet file sink; return what the sink committed."""
+    base = work_dir(spark, "replay")
+    write_feed(spark, logs, f"{base}/in", sentinel=False)
+    conf = spark.conf
+    prior = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
+    try:
+        out = build(file_stream(spark, f"{base}/in"))
+        q = (out.writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out"))
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", prior)
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
