@@ -406,11 +406,21 @@ def _local_sql(c: str) -> str:
     return f"coalesce({nets}, false)"
 
 
+def _segment_sql(c: str) -> str:
+    import ipaddress
+
+    whens = " ".join(f"WHEN ({_ipv4_sql(c)}) // 256 = {int(ipaddress.ip_network(cidr).network_address) // 256} "
+                     f"THEN '{name}'" for name, cidr in enrich.SEGMENTS)
+    return f"CASE {whens} END"
+
+
 @register("locality", _with(fx.NET_SQL) + (
     f"SELECT ts, uid, id_orig_h, id_resp_h, {_local_sql('id_orig_h')} AS local_orig, "
-    f"{_local_sql('id_resp_h')} AS local_resp FROM net"))
+    f"{_local_sql('id_resp_h')} AS local_resp, {_segment_sql('id_orig_h')} AS orig_segment FROM net"))
 def q_locality(spark, sf):
-    return enrich.with_locality(fx.net(spark, sf)).select("ts", "uid", "id_orig_h", "id_resp_h", "local_orig", "local_resp")
+    return enrich.with_locality(fx.net(spark, sf)).select(
+        "ts", "uid", "id_orig_h", "id_resp_h", "local_orig", "local_resp",
+        enrich.segment_of("id_orig_h").alias("orig_segment"))
 
 
 @register("service_name", _with(fx.NET_SQL) + (
