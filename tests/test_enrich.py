@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import ipv4_to_long
 from tidewatch.operators.enrich import segment_of, service_name, status_message, with_locality

@@ -1,7 +1,6 @@
 """Indicator match: candidates, key rules, severity, grouping."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import match_key
 from tidewatch.operators.detect import ioc_candidates, ioc_match
