@@ -161,3 +161,31 @@ def test_job_entry_points(spark):
     main(["scan", "--table", table, "--logs", folder, "--out", f"{base}/batch", "--exact"], spark)
     batch = spark.read.parquet(f"{base}/batch")
     assert key(batch) == key(out)
+
+
+def test_restart_picks_up_refreshed_indicators(spark):
+    """T8: the static side is resolved when the stream (re)starts."""
+    from tidewatch.plans.ioc_refresh import run_ioc_refresh
+    from tidewatch.sinks.outputs import land_raw
+    from tests.test_iocs import documents
+
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    land_raw(documents(spark, "2024-01-01", ["unused.example"]), raw)
+    run_ioc_refresh(spark, raw, table)
+    early = [dict(ts=at(1), uid="E1", log_path="http", id_orig_h="o", id_resp_h="r", host="bad.example")]
+    late = [dict(ts=at(100), uid="L1", log_path="http", id_orig_h="o", id_resp_h="r", host="bad.example")]
+    folder, base = work_dir(spark, "test-feed"), work_dir(spark, "test-run")
+    once = {"availableNow": True}
+
+    def cycle():
+        run_detection(spark, lambda s: file_stream(s, folder, 1), table, f"{base}/ck", path=f"{base}/out",
+                      trigger=once, cycles=1, exact=True)
+
+    write_files(spark, folder, [lines(spark, early)])
+    cycle()  # table does not list bad.example yet
+    land_raw(documents(spark, "2024-01-02", ["bad.example"]), raw)
+    assert run_ioc_refresh(spark, raw, table).changed
+    write_files(spark, folder, [lines(spark, late), [SENTINEL]])
+    cycle()  # restarted on the same checkpoint with the new snapshot
+    out = spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out").collect()
+    assert [(r.alert_type, r.log_uid, r.ioc_value) for r in out] == [("IOC Match", "L1", ["bad.example"])]
