@@ -158,7 +158,7 @@ def test_job_entry_points(spark):
           "--checkpoint", f"{base}/ck", "--once", "--exact"], spark)
     out = spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
     assert sorted(r.alert_type for r in out.collect()) == ["Data Exfiltration", "IOC Match", "Port Scanning"]
-    main(["scan", "--table", table, "--logs", folder, "--out", f"{base}/batch", "--exact"], spark)
+    main(["scan", "--table", table, "--logs", folder, "--out", f"{base}/batch", "--exact", "--salt-buckets", "4"], spark)
     batch = spark.read.parquet(f"{base}/batch")
     assert key(batch) == key(out)
 

@@ -36,6 +36,7 @@ def parse(argv=None) -> argparse.Namespace:
     b.add_argument("--logs", required=True, help="folder of JSON-lines log files")
     b.add_argument("--out", required=True, help="alert table folder (written once)")
     b.add_argument("--exact", action="store_true")
+    b.add_argument("--salt-buckets", type=int, default=0, help="salt the indicator join when it is not broadcast")
     d = sub.add_parser("detect", help="run the detection stream")
     d.add_argument("--table", required=True, help="clean indicator table")
     d.add_argument("--kafka-servers")
@@ -48,6 +49,7 @@ def parse(argv=None) -> argparse.Namespace:
     d.add_argument("--trigger", default=TRIGGER)
     d.add_argument("--refresh-seconds", type=float, default=REFRESH_SECONDS)
     d.add_argument("--exact", action="store_true", help="exact distinct port counts")
+    d.add_argument("--salt-buckets", type=int, default=0, help="salt the indicator join when it is not broadcast")
     d.add_argument("--once", action="store_true", help="process what is available, then stop")
     return p.parse_args(argv)
 
@@ -64,7 +66,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         if iocs is None:
             raise SystemExit(f"no committed indicator table at {args.table}")
         logs = read_logs(spark, args.logs, DETECTOR_FIELDS)
-        alerts(logs, iocs, exact=args.exact).write.mode("errorifexists").parquet(args.out)
+        alerts(logs, iocs, exact=args.exact, salt_buckets=args.salt_buckets).write.mode("errorifexists").parquet(args.out)
         return
     if args.kafka_servers:
         def source(s):
@@ -77,7 +79,8 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     checkpoint = args.checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tidewatch/detect"
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     run_detection(spark, source, args.table, checkpoint, fmt, path, options, trigger,
-                  args.refresh_seconds, cycles=1 if args.once else None, exact=args.exact)
+                  args.refresh_seconds, cycles=1 if args.once else None, exact=args.exact,
+                  salt_buckets=args.salt_buckets)
 
 
 if __name__ == "__main__":

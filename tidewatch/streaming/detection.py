@@ -51,15 +51,16 @@ def detection_stream(
     watermark: str = WATERMARK,
     t: Thresholds = DEFAULT,
     keys: DataFrame | None = None,
+    salt_buckets: int = 0,
 ) -> DataFrame:
     """Raw log records (`value` column) -> alert rows, as a stream."""
     logs = with_event_time(decode_logs(records, fields=DETECTOR_FIELDS), watermark)
     pair_kinds = tuple(k for k in ("scan", "exfil") if k in detectors)
     if "ioc" in detectors and pair_kinds == ("scan", "exfil"):
-        return alerts(logs, iocs, exact, t, keys=keys)
+        return alerts(logs, iocs, exact, t, keys=keys, salt_buckets=salt_buckets)
     out = None
     if "ioc" in detectors:
-        out = ioc_match(logs, iocs, t, keys=keys)
+        out = ioc_match(logs, iocs, t, keys=keys, salt_buckets=salt_buckets)
     if pair_kinds:
         pa = pair_activity(logs, pair_kinds, exact, t)
         out = pa if out is None else out.unionByName(pa)
@@ -102,6 +103,7 @@ def run_detection(
     refresh_seconds: float = REFRESH_SECONDS,
     cycles: int | None = None,
     exact: bool = False,
+    salt_buckets: int = 0,
 ) -> None:
     """Run detection, reloading the indicator table every `refresh_seconds`.
 
@@ -115,7 +117,7 @@ def run_detection(
         if iocs is None:
             raise RuntimeError(f"no committed indicator table at {ioc_table}")
         with indicator_keys(iocs) as keys:
-            q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys),
+            q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt_buckets),
                            checkpoint, fmt, path, options, trigger)
             if trigger and trigger.get("availableNow"):
                 q.awaitTermination()
