@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import alert_id, empty_strings, sorted_set
-from tidewatch.operators.iocs import match_table
+from tidewatch.functions.sizing import broadcast_if_small
+from tidewatch.functions.sizing import broadcast_limit as _bl
+from tidewatch.operators.iocs import fold_indicators
 from tidewatch.schemas import ALERT_SCHEMA
 
 # Alert type names and severities.
@@ -203,13 +205,15 @@ def ioc_match(
     duplicate-insensitive (sets, max, or), so batch runs skip the dedup
     shuffle without changing the result; streams dedup the (few) hits.
     `keys` takes a prepared `match_table` (a stream reuses one per run).
-    `salt_buckets > 1` salts the shuffle join (for indicator tables too big
-    to broadcast, see `salted_join`).
+    `salt_buckets > 1` salts the join when the indicator side is not
+    broadcast (too big to ship, see `salted_join`).
     """
+    shuffled = True  # caller-prepared keys: the caller chose the join
     if keys is None:
-        keys = match_table(iocs, strict=strict_keys, broadcast_limit=broadcast_limit)
+        keys, size = broadcast_if_small(fold_indicators(iocs, strict_keys), broadcast_limit)
+        shuffled = not (size.exact and size.bytes <= _bl(keys, broadcast_limit))
     cand = ioc_candidates(df, dedup=False).select("uid", "ts", "orig_ip", "resp_ip", "match_value")
-    hit = salted_join(cand, keys, salt_buckets) if salt_buckets > 1 else (
+    hit = salted_join(cand, keys, salt_buckets) if salt_buckets > 1 and shuffled else (
         cand.join(keys, cand["match_value"] == keys["ioc_for_match"], "inner"))
     if dedup is None:
         dedup = df.isStreaming

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions.sizing import broadcast_if_small
+from tidewatch.functions.sizing import broadcast_limit as broadcast_limit_of
 from tidewatch.operators.detect import DEFAULT, Thresholds, alerts, ioc_match, pair_activity
 from tidewatch.operators.iocs import fold_indicators
 from tidewatch.sinks.outputs import alert_json
@@ -28,7 +29,8 @@ REFRESH_SECONDS = 3 * 60 * 60
 
 @contextmanager
 def indicator_keys(iocs: DataFrame, broadcast_limit: int | None = None):
-    """The folded indicator side for one run of a stream.
+    """The folded indicator side for one run of a stream, and whether it is
+    broadcast.
 
     A stream-static join re-evaluates its static side every trigger; folding
     once and persisting avoids re-reading and re-shuffling the indicator
@@ -37,8 +39,8 @@ def indicator_keys(iocs: DataFrame, broadcast_limit: int | None = None):
     """
     folded = fold_indicators(iocs).persist()
     try:
-        keys, _ = broadcast_if_small(folded, broadcast_limit)
-        yield keys
+        keys, size = broadcast_if_small(folded, broadcast_limit)
+        yield keys, size.exact and size.bytes <= broadcast_limit_of(folded, broadcast_limit)
     finally:
         folded.unpersist()
 
@@ -116,8 +118,9 @@ def run_detection(
         iocs = read_iocs(spark, ioc_table)
         if iocs is None:
             raise RuntimeError(f"no committed indicator table at {ioc_table}")
-        with indicator_keys(iocs) as keys:
-            q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt_buckets),
+        with indicator_keys(iocs) as (keys, broadcast):
+            salt = 0 if broadcast else salt_buckets
+            q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt),
                            checkpoint, fmt, path, options, trigger)
             if trigger and trigger.get("availableNow"):
                 q.awaitTermination()

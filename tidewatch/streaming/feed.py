@@ -51,7 +51,7 @@ def replay_alerts_resumed(
     prior = conf.get("spark.sql.shuffle.partitions")
     conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
     try:
-        with indicator_keys(iocs) as keys:
+        with indicator_keys(iocs) as (keys, _):
             for i in range(runs + 1):
                 if i < runs and bounds["lo"] is not None:
                     lo = F.lit(bounds["lo"]) + (F.lit(bounds["hi"]) - F.lit(bounds["lo"])) * (i / runs)
@@ -93,7 +93,7 @@ def replay_alerts(
     prior = conf.get("spark.sql.shuffle.partitions")
     conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
     try:
-        with (indicator_keys(iocs) if "ioc" in detectors else nullcontext()) as keys:
+        with (indicator_keys(iocs) if "ioc" in detectors else nullcontext((None, False))) as (keys, _):
             out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
             q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
             q.awaitTermination()
