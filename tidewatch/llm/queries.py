@@ -69,3 +69,21 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.decontaminate import contamination
 
     return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@_query(r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)),
+o AS (SELECT t, min(doc_id) AS first_doc FROM g GROUP BY t),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT g.doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN o USING (t) WHERE first_doc < g.doc_id)),
+each AS (SELECT doc_id, p, w[p] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM w)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.substrings import repeat_digest
+
+    return repeat_digest(read(spark, sf_dir, "documents"))
