@@ -87,3 +87,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.substrings import repeat_digest
 
     return repeat_digest(read(spark, sf_dir, "documents"))
+
+
+@_query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, i, l[i] AS t FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM d)),
+f AS (SELECT doc_id, i, t, len(regexp_extract_all(t, '[^ \t-\r]+')) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM x
+      WHERE regexp_matches(t, '[^ \t-\r]')),
+p AS (SELECT a.doc_id, a.k, a.t AS t1, b.t AS t2 FROM f a JOIN f b ON a.doc_id = b.doc_id AND b.k = a.k + 1),
+pair AS (SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY t1, t2 ORDER BY doc_id, k) AS c FROM p) WHERE c > 1),
+long AS (SELECT doc_id, k FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, k) AS c FROM f WHERE n >= 20) WHERE c > 1),
+gone AS (SELECT doc_id, k FROM pair UNION SELECT doc_id, k + 1 FROM pair UNION SELECT doc_id, k FROM long),
+cut AS (SELECT f.doc_id, f.i FROM f JOIN gone USING (doc_id, k)),
+kept AS (SELECT doc_id, string_agg(t, chr(10) ORDER BY i) AS t FROM x ANTI JOIN cut USING (doc_id, i) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id), r AS (SELECT doc_id, count(*) AS r FROM cut GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(r, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.lines import line_digest
+
+    return line_digest(read(spark, sf_dir, "documents"))
