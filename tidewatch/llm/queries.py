@@ -108,3 +108,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.lines import line_digest
 
     return line_digest(read(spark, sf_dir, "documents"))
+
+
+@_query()
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.neardup import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"))
