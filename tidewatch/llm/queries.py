@@ -115,3 +115,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.neardup import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@_query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.quality import quality_scores
+
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
