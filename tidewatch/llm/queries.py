@@ -122,3 +122,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.quality import quality_scores
 
     return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
