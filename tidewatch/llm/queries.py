@@ -7,11 +7,11 @@ table and returns the operator's full result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewatch.llm.textkit import read
+from tidewatch.llm.textkit import package_on_workers, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,10 +19,15 @@ SQL: dict[str, str] = {}
 
 def _query(sql: str | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            package_on_workers(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = query
         if sql:
             SQL[f.__name__] = sql
-        return f
+        return query
 
     return add
 
@@ -129,3 +134,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.toxicity import toxicity_scores
 
     return toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query()
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.mixing_lm import score_documents
+
+    return score_documents(read(spark, sf_dir, "documents"))

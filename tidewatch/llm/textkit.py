@@ -10,8 +10,10 @@ Null text counts as empty text throughout.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, as
+    in local mode or a shared installation; elsewhere ship it with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared folder (`spark.checkpoint.dir`)."""
     return f"{checkpoint_root(spark).rstrip('/')}/tidewatch-llm/{purpose}-{uuid.uuid4().hex}"
