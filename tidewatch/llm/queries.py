@@ -141,3 +141,25 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.mixing_lm import score_documents
 
     return score_documents(read(spark, sf_dir, "documents"))
+
+
+_PIECES = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]"
+
+
+@_query(rf"""
+WITH d AS (SELECT doc_id, source, lang AS language, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+t AS (SELECT *, array_to_string(list_distinct(l), chr(10)) AS once, len(list_distinct(l)) < len(l) AS repeats FROM d),
+c AS (SELECT doc_id, source, language, v, repeats,
+        CASE v WHEN 'words-1' THEN len(regexp_extract_all(text, '[^ \t-\r]+')) ELSE len(regexp_extract_all(text, '{_PIECES}')) END AS whole,
+        CASE v WHEN 'words-1' THEN len(regexp_extract_all(once, '[^ \t-\r]+')) ELSE len(regexp_extract_all(once, '{_PIECES}')) END AS slim
+      FROM t, (VALUES ('words-1'), ('pieces-1')) AS versions(v)),
+b AS (SELECT doc_id, bool_or(toxic = 0) AS again FROM labels WHERE quality = 0 GROUP BY doc_id),
+e AS (SELECT c.*, CASE WHEN b.doc_id IS NULL THEN 1 WHEN again THEN 1 ELSE 0 END AS alive,
+             CASE WHEN b.doc_id IS NULL THEN (CASE WHEN repeats THEN slim ELSE whole END) WHEN again THEN slim ELSE 0 END AS n
+      FROM c LEFT JOIN b USING (doc_id))
+SELECT source, language, v AS version, sum(alive)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM e GROUP BY ALL
+""")
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.token_rollups import corpus_history
+
+    return corpus_history(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
