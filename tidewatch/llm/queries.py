@@ -163,3 +163,10 @@ def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.token_rollups import corpus_history
 
     return corpus_history(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query()
+def op8_domain_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidewatch.llm.domain_mix import mix_rates
+
+    return mix_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
