@@ -316,13 +316,14 @@ def without_repeats(documents: DataFrame, width: int = WIDTH, filter_bits: int =
     """The documents with their repeats removed: texts that lose words become
     their kept words joined by one space, others stay as they are."""
     rows = _with_starts(documents, width=width, filter_bits=filter_bits, shard_rows=shard_rows)
-    at = documents.columns.index("text")
+    names, schema = documents.columns, documents.schema
+    at = names.index("text")
 
     def task(batches):
         for batch in batches:
             texts = [_kept(t.as_py(), s.values.to_numpy(), width)[2].decode() if s.is_valid else t.as_py() for t, s in zip(batch.column("text"), batch.column("__starts"))]
-            cols = [batch.column(c) for c in documents.columns]
+            cols = [batch.column(c) for c in names]
             cols[at] = pa.array(texts, batch.schema.field("text").type)
-            yield pa.RecordBatch.from_arrays(cols, documents.columns)
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    return rows.mapInArrow(task, documents.schema)
+    return rows.mapInArrow(task, schema)
