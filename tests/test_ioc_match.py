@@ -116,10 +116,11 @@ def test_duplicates_do_not_change_alerts(spark):
 
 
 def test_indicator_side_is_one_row_per_key_and_broadcast(spark):
-    from tidewatch.operators.iocs import match_table
+    from tidewatch.operators.iocs import prepared_keys
 
-    t = match_table(base_iocs(spark))
-    assert t.count() == t.select("ioc_for_match").distinct().count() == 3
+    keys = prepared_keys(base_iocs(spark))
+    t = keys.table
+    assert keys.small and t.count() == t.select("ioc_for_match").distinct().count() == 3
     r = dict(ts=at(1), uid="C1", log_path="http", id_orig_h="o", id_resp_h="r", host="bad.example")
     plan = ioc_match(log_rows(spark, [r]), base_iocs(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
@@ -148,3 +149,39 @@ def test_salted_shuffle_join_equals_broadcast(spark):
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
     assert key(salted) == key(base) and len(key(base)) > 1
+
+
+def test_lists_stay_out_of_the_aggregate_of_log_rows(spark):
+    """One explode of the log rows; the (window, uid) aggregate holds keys."""
+    r = dict(ts=at(1), uid="C1", log_path="dns", id_orig_h="o", id_resp_h="9.9.9.9", query="bad.example", answers=["9.9.9.9"] * 50)
+    df = ioc_match(log_rows(spark, [r]), base_iocs(spark))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    names = [x.lstrip(" :+-*()0123456789") for x in plan]
+    rows = [x for x in names if "partial_collect_set(match_value" in x]
+    assert rows and not any("ioc_values" in x for x in rows)
+    assert sum(x.startswith("Generate explode(array_distinct") for x in names) == 1
+    from tidewatch.operators.detect import match_values
+
+    assert sorted(x.match_value for x in match_values(log_rows(spark, [r])).collect()) == ["9.9.9.9", "bad.example"]
+
+
+def test_strict_matching_normalises_both_sides(spark):
+    rows = [dict(ts=at(i), uid=f"C{i}", log_path="http", id_orig_h="o", id_resp_h="r", host=h)
+            for i, h in enumerate(["BAD.Example:8080", "Bad.Example", " bad.example ", "bad.example.org"])]
+    rows.append(dict(ts=at(9), uid="C9", log_path="dns", id_orig_h="o", id_resp_h="[2001:DB8::1]:53"))
+    extra = spark.createDataFrame([("[2001:db8::1]:443", "ip:port", "r", 1, None, None), ("/", "url", "r", 1, None, None)], base_iocs(spark).schema)
+    iocs = base_iocs(spark).unionByName(extra)
+    strict = {r.log_uid for r in ioc_match(log_rows(spark, rows), iocs, strict_keys=True).collect()}
+    assert strict == {"C0", "C1", "C2", "C9"}
+    assert {r.log_uid for r in ioc_match(log_rows(spark, rows), iocs).collect()} == set()
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_an_indicator_without_host_matches_nothing(spark, strict):
+    iocs = spark.createDataFrame([("/", "url", "r", 1, None, None)], base_iocs(spark).schema)
+    r = dict(ts=at(1), uid="C1", log_path="http", id_orig_h="o", id_resp_h="r", host="")
+    assert ioc_match(log_rows(spark, [r]), iocs, strict_keys=strict).count() == 0

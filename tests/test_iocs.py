@@ -94,7 +94,7 @@ def test_raw_landing_layout_and_pruned_read(spark):
     land_raw(documents(spark, "2024-03-03", []), base)  # empty pull: nothing written
     import os
     assert sorted(os.listdir(base.removeprefix("file:") + "/year=2024")) == ["month=03"]
-    df = read_raw(spark, base, after=dt.date(2024, 3, 1))
+    df = read_raw(spark, base, after=dt.date(2024, 3, 1), inclusive=False)
     assert sorted(r.ioc for r in explode_raw(df).collect()) == ["y", "z"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
@@ -135,8 +135,8 @@ def test_reread_marker_day_picks_up_late_files(spark):
     land_raw(documents(spark, "2024-01-01", ["a"]), raw)
     run_ioc_refresh(spark, raw, table)
     land_raw(documents(spark, "2024-01-01", ["late"]), raw)  # lands after the run, same day
-    assert not run_ioc_refresh(spark, raw, table).changed  # default: day is closed
-    r = run_ioc_refresh(spark, raw, table, reread_marker_day=True)
+    assert not run_ioc_refresh(spark, raw, table, reread_marker_day=False).changed
+    r = run_ioc_refresh(spark, raw, table)
     assert r.changed and r.marker == dt.date(2024, 1, 1)
     assert sorted(x.ioc for x in read_iocs(spark, table).collect()) == ["a", "late"]
 
@@ -145,7 +145,7 @@ def test_merge_paths_agree_and_table_is_not_shuffled(spark):
     cur = merge_iocs(None, cleaned(spark, [e("a"), e("b", last="2024-01-03 00:00:00"), e("x")]))
     batch = cleaned(spark, [e("b", last="2024-01-05 00:00:00"), e("c"), e("c", first="2023-12-30 10:00:00"),
                             e("a", last="2023-01-01 00:00:00")])
-    fast = merge_iocs(cur, batch)
+    fast = merge_iocs(cur, batch, unique=True)
     slow = merge_iocs(cur, batch, broadcast_limit=1)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -154,3 +154,58 @@ def test_merge_paths_agree_and_table_is_not_shuffled(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_merge_folds_a_table_that_repeats_ids(spark):
+    cur = cleaned(spark, [e("a"), e("a", last="2024-01-02 00:00:00"), e("b")])
+    batch = cleaned(spark, [e("a", last="2024-01-03 00:00:00"), e("c")])
+    got = [sorted(map(tuple, merge_iocs(cur, batch, limit).collect())) for limit in (None, 0)]
+    assert got[0] == got[1] and len(got[0]) == 3
+
+
+def test_payload_fields_outside_the_schema_are_kept(spark):
+    from tidewatch.sinks.outputs import land_pulls
+
+    folder, raw, table = (work_dir(spark, x) for x in ("test-pulls", "test-raw", "test-table"))
+    payload = '{"query_status":"ok","data":[{"ioc":"a","asn":{"id":7},"note":"x","confidence_level":5},{"ioc":"b"}]}'
+    spark.createDataFrame([(payload,)], "value string").write.text(folder)
+    land_pulls(spark, folder, raw, dt.date(2024, 1, 1))
+    land_pulls(spark, folder, raw, dt.date(2024, 1, 1))  # the same pull twice
+    assert run_ioc_refresh(spark, raw, table).changed
+    assert {r.ioc: r.extra for r in read_iocs(spark, table).collect()} == {"a": '{"asn":"{\\"id\\":7}","note":"x"}', "b": None}
+
+
+def test_second_of_two_runs_from_one_version_fails(spark, monkeypatch):
+    import pytest
+
+    from tidewatch.plans import ioc_refresh as job
+
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    land_raw(documents(spark, "2024-01-01", ["a"]), raw)
+    run_ioc_refresh(spark, raw, table)
+    seen = job.last_commit(spark, table)
+    land_raw(documents(spark, "2024-01-02", ["b"]), raw)
+    run_ioc_refresh(spark, raw, table)
+    land_raw(documents(spark, "2024-01-02", ["c"]), raw)
+    monkeypatch.setattr(job, "last_commit", lambda *_: seen)  # the other run read version 0
+    with pytest.raises(Exception, match="(?i)exists"):
+        run_ioc_refresh(spark, raw, table)
+    assert sorted(r.ioc for r in read_iocs(spark, table).collect()) == ["a", "b"]
+
+
+def test_old_snapshots_go(spark):
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        land_raw(documents(spark, day, [day]), raw)
+        run_ioc_refresh(spark, raw, table, keep_snapshots=2)
+    import os
+    assert len(os.listdir(table.removeprefix("file:") + "/snapshots")) == 2 and read_iocs(spark, table).count() == 3
+
+
+def test_folder_without_a_day_is_found_by_any_run(spark):
+    raw, table = work_dir(spark, "test-raw"), work_dir(spark, "test-table")
+    land_raw(documents(spark, "2024-01-01", ["a"]), raw)
+    run_ioc_refresh(spark, raw, table)
+    odd = documents(spark, "2024-01-01", ["odd"]).withColumn("month", F.lit(13))
+    land_raw(odd, raw)
+    assert run_ioc_refresh(spark, raw, table).changed and read_iocs(spark, table).count() == 2

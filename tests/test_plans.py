@@ -51,7 +51,7 @@ def test_scan_only_pairs_stay_hash_based(spark):
 def test_merge_shuffle_is_pre_aggregated(spark):
     from tidewatch.plans.catalog import _current, _increment
 
-    plan = physical(merge_iocs(_current(spark, SF), _increment(spark, SF)))
+    plan = physical(merge_iocs(_current(spark, SF), _increment(spark, SF), unique=True))
     assert "LeftOuter" in plan and "LeftSemi" in plan  # table joins the broadcast increment map-side
     for child in hash_shuffle_children(plan):
         # the checkpointed increment (one row per id, increment-sized) may be
@@ -60,7 +60,6 @@ def test_merge_shuffle_is_pre_aggregated(spark):
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = physical(pair_activity(fx.net(spark, SF), exact=True))
-    assert "html" not in plan
-    assert "ReadSchema: struct<page_id:bigint>" in plan  # hosts are not needed by pair detectors
+    plan = physical(pair_activity(fx.net(spark, SF, hosts=False)))
+    assert "html" not in plan and "Join" not in plan and "RoundRobin" not in plan
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double,props:string>" in plan

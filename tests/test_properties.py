@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidewatch.functions.sizing import broadcast_if_small, measure, spread
+from tidewatch.functions.sizing import broadcast_if_small, measure
 from tidewatch.operators.iocs import merge_iocs
 from tests.test_iocs import cleaned, e
 
@@ -50,10 +50,3 @@ def test_measure_and_broadcast_decision(spark):
     assert not m1.exact and m1.rows == 3  # ruled out by the row count alone
     assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
-
-
-def test_spread_only_when_splits_are_few(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(16)
-    assert spread(many, 4) is many

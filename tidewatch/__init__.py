@@ -5,17 +5,17 @@ from tidewatch.operators.detect import (
     Thresholds, alerts, data_exfiltration, ioc_candidates, ioc_match, pair_activity, port_scan,
 )
 from tidewatch.operators.enrich import with_locality, with_service, with_status_message
-from tidewatch.operators.iocs import clean_iocs, explode_raw, match_table, merge_iocs, new_iocs, refresh_last_seen
+from tidewatch.operators.iocs import clean_iocs, explode_raw, merge_iocs, new_iocs, prepared_keys, refresh_last_seen
 from tidewatch.plans.ioc_refresh import run_ioc_refresh
 from tidewatch.sources.iocs import read_iocs, read_raw
 from tidewatch.sources.logs import decode_logs, file_stream, kafka_stream, read_logs, with_event_time
-from tidewatch.streaming.detection import detection_stream, run_detection, start_documents, start_sink
+from tidewatch.streaming.detection import detection_stream, read_documents, run_detection, start_documents, start_sink
 
 __all__ = [
     "Thresholds", "alerts", "data_exfiltration", "ioc_candidates", "ioc_match", "pair_activity", "port_scan",
     "with_locality", "with_service", "with_status_message",
-    "clean_iocs", "explode_raw", "match_table", "merge_iocs", "new_iocs", "refresh_last_seen",
+    "clean_iocs", "explode_raw", "merge_iocs", "new_iocs", "prepared_keys", "refresh_last_seen",
     "run_ioc_refresh", "read_iocs", "read_raw",
     "decode_logs", "file_stream", "kafka_stream", "read_logs", "with_event_time",
-    "detection_stream", "run_detection", "start_documents", "start_sink",
+    "detection_stream", "read_documents", "run_detection", "start_documents", "start_sink",
 ]

@@ -16,6 +16,11 @@ URL_HOST_PATTERN = r"(?:https?://)?([^/]+)"
 STRICT_HOST_PATTERN = r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?(?:\[([^\]]+)\]|([^/:?#]+))"
 
 
+# A bracketed IPv6 address, and a name or IPv4 address before a port.
+BRACKETED_PATTERN = r"^\[([^\]]+)\](?::[0-9]+)?$"
+NAME_PORT_PATTERN = r"^([^:]+):[0-9]+$"
+
+
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -51,10 +56,19 @@ def match_key(ioc: str | Column = "ioc", ioc_type: str | Column = "ioc_type", st
     return (
         F.when(ioc_type == "ip:port", ip_part)
         .when(ioc_type == "url", host)
-        .otherwise(F.lower(F.trim(ioc)))
+        .otherwise(normal_value(ioc))
     )
 
 
+def normal_value(value: str | Column) -> Column:
+    """A log value under the strict rule: lower case, trimmed, without a port
+    (`name:80`, `[v6]:80`) or IPv6 brackets; a bare IPv6 address stays."""
+    v = F.lower(F.trim(col(value)))
+    bracketed = F.regexp_extract(v, BRACKETED_PATTERN, 1)
+    named = F.regexp_extract(v, NAME_PORT_PATTERN, 1)
+    return F.when(bracketed != "", bracketed).when(named != "", named).otherwise(v)
+
+
 def window_epoch(window: str | Column = "window") -> Column:
     """Start of an event-time window as epoch seconds (time-zone free)."""
     return F.unix_seconds(col(window).getField("start"))

@@ -85,17 +85,8 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> tuple[DataFra
     return (F.broadcast(df) if m.exact and m.bytes <= cap else df), m
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan gives
-    fewer splits than cores (one small file, one row group). A large input
-    already has many splits and is returned unchanged, with no shuffle."""
-    from tidewatch.session import parallelism
-
-    if df.isStreaming:
-        return df
-    target = min_partitions or parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(target) if splits < target else df
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the measured size of `df` is within the broadcast limit."""
+    cap = broadcast_limit(df, limit)
+    m = measure(df, cap)
+    return m.exact and m.bytes <= cap

@@ -13,10 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import alert_id, empty_strings, sorted_set
-from tidewatch.functions.sizing import broadcast_if_small
-from tidewatch.functions.sizing import broadcast_limit as _bl
-from tidewatch.operators.iocs import fold_indicators
+from tidewatch.functions.columns import alert_id, empty_strings, normal_value, sorted_set
+from tidewatch.operators.iocs import MatchKeys, prepared_keys
 from tidewatch.schemas import ALERT_SCHEMA
 
 # Alert type names and severities.
@@ -51,7 +49,7 @@ def _alert_ts(alert_ts: Column | None) -> Column:
     return F.current_timestamp() if alert_ts is None else alert_ts
 
 
-def _port_count(df: DataFrame, exact: bool) -> Column:
+def port_count(exact: bool = True) -> Column:
     """Distinct destination ports of a group.
 
     Exact counting keeps the set of ports (at most 65,536 per group) rather
@@ -66,7 +64,7 @@ def _port_count(df: DataFrame, exact: bool) -> Column:
 def pair_activity(
     df: DataFrame,
     kinds: tuple[str, ...] = ("scan", "exfil"),
-    exact: bool = False,
+    exact: bool = True,
     t: Thresholds = DEFAULT,
     alert_ts: Column | None = None,
 ) -> DataFrame:
@@ -76,15 +74,15 @@ def pair_activity(
     one `groupBy` reads the input once and keeps one state store in a stream.
     Every aggregate is partial-aggregated before the shuffle, so a hot
     (orig, resp) pair collapses to one row per map task.
-    `exact=False` keeps the approximate distinct count of the original
-    detector; `exact=True` counts ports exactly.
+    Ports are counted exactly by default (a set of at most 65,536 ports a
+    group); `exact=False` is the approximate distinct count.
     """
     # Exfiltration alerts name the earliest record's uid; a scan needs only
     # the earliest time, which keeps the aggregate hash-based.
     aggs = [(F.min(F.struct("ts", "uid")) if "exfil" in kinds else F.struct(
         F.min("ts").alias("ts"), F.lit(None).cast("string").alias("uid"))).alias("first")]
     if "scan" in kinds:
-        aggs.append(_port_count(df, exact).alias("port_count"))
+        aggs.append(port_count(exact).alias("port_count"))
     if "exfil" in kinds:
         aggs.append(F.sum("orig_bytes").alias("total_bytes"))
     g = df.groupBy(F.window("ts", t.pair_window).alias("window"), "id_orig_h", "id_resp_h").agg(*aggs)
@@ -128,14 +126,14 @@ def pair_activity(
     return conform_alerts(g.select(F.inline(F.array_compact(F.array(*candidates)))))
 
 
-def port_scan(df: DataFrame, exact: bool = False, t: Thresholds = DEFAULT, alert_ts: Column | None = None) -> DataFrame:
+def port_scan(df: DataFrame, exact: bool = True, t: Thresholds = DEFAULT, alert_ts: Column | None = None) -> DataFrame:
     """Alert when one (orig, resp) pair touches >= `min_ports` distinct ports in a minute."""
     return pair_activity(df, ("scan",), exact, t, alert_ts)
 
 
 def data_exfiltration(df: DataFrame, t: Thresholds = DEFAULT, alert_ts: Column | None = None) -> DataFrame:
     """Alert when one (orig, resp) pair sends > `min_bytes` in a minute."""
-    return pair_activity(df, ("exfil",), False, t, alert_ts)
+    return pair_activity(df, ("exfil",), t=t, alert_ts=alert_ts)
 
 
 CANDIDATE_FIELDS = ("resp_ip", "query", "answer", "host")
@@ -170,15 +168,28 @@ def ioc_candidates(df: DataFrame, dedup: bool | None = None) -> DataFrame:
     ).filter(F.col("match_value").isNotNull())
 
 
+def match_values(df: DataFrame, strict: bool = False) -> DataFrame:
+    """(uid, ts, orig_ip, resp_ip, match_value): each distinct value of a log
+    row that an indicator may name, once. A row with n answers gives at most
+    n + 3 rows."""
+    values = F.concat(F.array("id_resp_h", "query", "host"), F.coalesce("answers", empty_strings()))
+    if strict:
+        values = F.transform(values, normal_value)
+    return df.select(
+        "uid", "ts", F.col("id_orig_h").alias("orig_ip"), F.col("id_resp_h").alias("resp_ip"),
+        F.explode(F.array_distinct(F.array_compact(values))).alias("match_value"),
+    )
+
+
 def salted_join(cand: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
     """Shuffle equi-join on the match value, with every key spread over
     `buckets` reducers.
 
     One match value can carry a third of all candidates (a resolver address
     in every DNS answer). Each candidate gets a salt from a hash of its
-    (uid, ts) and each folded indicator row (one per key) is replicated once
-    per salt, so a hot value is split `buckets` ways; the indicator side
-    grows by `buckets` rows per key, never with the log volume.
+    (uid, ts) and each indicator key (one row) is replicated once per salt,
+    so a hot value is split `buckets` ways; the indicator side grows by
+    `buckets` rows per key, never with the log volume.
     """
     salted = cand.withColumn("_salt", F.pmod(F.xxhash64("uid", "ts"), F.lit(buckets)).cast("int"))
     fanned = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
@@ -186,6 +197,10 @@ def salted_join(cand: DataFrame, keys: DataFrame, buckets: int) -> DataFrame:
     return salted.join(fanned, cond, "inner").drop(salted["_salt"]).drop(fanned["_salt"])
 
 
+#: Ways a match value is split when the indicator side is shuffled.
+SALT_BUCKETS = 32
+
+
 def ioc_match(
     df: DataFrame,
     iocs: DataFrame | None,
@@ -194,27 +209,31 @@ def ioc_match(
     strict_keys: bool = False,
     broadcast_limit: int | None = None,
     dedup: bool | None = None,
-    keys: DataFrame | None = None,
-    salt_buckets: int = 0,
+    keys: MatchKeys | None = None,
+    salt_buckets: int = SALT_BUCKETS,
 ) -> DataFrame:
     """Alert per (5-second window, uid) whose log rows hit an indicator.
 
-    The indicator side is first folded to one row per match key, so the
-    equi-join never fans a log row out, and it is broadcast only when its
-    measured size fits (else a shuffle join). Every aggregate here is
-    duplicate-insensitive (sets, max, or), so batch runs skip the dedup
-    shuffle without changing the result; streams dedup the (few) hits.
-    `keys` takes a prepared `match_table` (a stream reuses one per run).
-    `salt_buckets > 1` salts the join when the indicator side is not
-    broadcast (too big to ship, see `salted_join`).
+    The indicators are folded to one row per match key. Log values meet the
+    short part of that fold (key, score, flag) in an equi-join that never fans
+    a log row out; it is broadcast when its measured size fits, otherwise the
+    join is salted `salt_buckets` ways. The aggregate per (window, uid) keeps
+    the matched keys only; the lists of indicators, reporters and tags behind
+    them join the few alert rows afterwards. Every aggregate is
+    duplicate-insensitive, so batch runs skip the dedup shuffle without
+    changing the result; streams dedup the (few) hits. `keys` takes prepared
+    indicators (a stream reuses one per run).
     """
-    shuffled = True  # caller-prepared keys: the caller chose the join
     if keys is None:
-        keys, size = broadcast_if_small(fold_indicators(iocs, strict_keys), broadcast_limit)
-        shuffled = not (size.exact and size.bytes <= _bl(keys, broadcast_limit))
-    cand = ioc_candidates(df, dedup=False).select("uid", "ts", "orig_ip", "resp_ip", "match_value")
-    hit = salted_join(cand, keys, salt_buckets) if salt_buckets > 1 and shuffled else (
-        cand.join(keys, cand["match_value"] == keys["ioc_for_match"], "inner"))
+        keys = prepared_keys(iocs, strict_keys, broadcast_limit)
+    cand = match_values(df, keys.strict)
+    side = keys.table.select("ioc_for_match", "score", "compromised")
+    if keys.small:
+        hit = cand.join(F.broadcast(side), cand["match_value"] == side["ioc_for_match"])
+    elif salt_buckets > 1:
+        hit = salted_join(cand, side, salt_buckets)
+    else:
+        hit = cand.join(side, cand["match_value"] == side["ioc_for_match"])
     if dedup is None:
         dedup = df.isStreaming
     if dedup:
@@ -226,13 +245,21 @@ def ioc_match(
         hit = hit.dropDuplicatesWithinWatermark(key) if hit.isStreaming else hit.dropDuplicates(key)
     g = hit.groupBy(F.window("ts", t.ioc_window).alias("window"), "uid").agg(
         F.min(F.struct("ts", "resp_ip", "orig_ip")).alias("first"),
-        F.flatten(F.collect_set("ioc_values")).alias("ioc_value"),
-        F.flatten(F.collect_set("reporters")).alias("ioc_source"),
-        F.max("score").alias("ioc_score"),
-        F.flatten(F.collect_set("tag_list")).alias("tags"),
+        F.collect_set("match_value").alias("matched"),
+        F.max("score").alias("score"),
         F.bool_or("compromised").alias("compromised"),
     )
-    return conform_alerts(g.select(
+    # A stream groups a second time by the event time of its windows.
+    window = F.window(F.window_time("window"), t.ioc_window) if df.isStreaming else F.col("window")
+    lists = keys.table.select("ioc_for_match", "ioc_values", "reporters", "tag_list")
+    lists = F.broadcast(lists) if keys.small else lists
+    named = g.select("window", "uid", "first", "score", "compromised", F.explode("matched").alias("matched"))
+    named = named.join(lists, F.col("matched") == F.col("ioc_for_match"))
+    a = named.groupBy(window.alias("window"), "uid").agg(
+        F.min("first").alias("first"), F.max("score").alias("score"), F.bool_or("compromised").alias("compromised"),
+        *(F.flatten(F.collect_set(c)).alias(c) for c in ("ioc_values", "reporters", "tag_list")),
+    )
+    return conform_alerts(a.select(
         alert_id(IOC_MATCH, "window", "uid").alias("alert_id"),
         F.col("uid").alias("log_uid"),
         F.lit(IOC_MATCH).alias("alert_type"),
@@ -241,22 +268,23 @@ def ioc_match(
         F.col("first.ts").alias("event_ts"),
         F.col("first.orig_ip").alias("orig_ip"),
         F.col("first.resp_ip").alias("resp_ip"),
-        F.col("ioc_score").cast("int").alias("ioc_score"),
-        sorted_set("ioc_source").alias("ioc_source"),
-        sorted_set("ioc_value").alias("ioc_value"),
-        sorted_set("tags").alias("tags"),
+        F.col("score").cast("int").alias("ioc_score"),
+        sorted_set("reporters").alias("ioc_source"),
+        sorted_set("ioc_values").alias("ioc_value"),
+        sorted_set("tag_list").alias("tags"),
     ))
 
 
 def alerts(
     df: DataFrame,
     iocs: DataFrame | None,
-    exact: bool = False,
+    exact: bool = True,
     t: Thresholds = DEFAULT,
     alert_ts: Column | None = None,
     broadcast_limit: int | None = None,
-    keys: DataFrame | None = None,
-    salt_buckets: int = 0,
+    keys: MatchKeys | None = None,
+    salt_buckets: int = SALT_BUCKETS,
+    strict_keys: bool = False,
 ) -> DataFrame:
     """All three detectors as one alert stream (union by name).
 
@@ -264,6 +292,6 @@ def alerts(
     per batch/trigger, not three times.
     """
     ts = _alert_ts(alert_ts)
-    return ioc_match(df, iocs, t, ts, broadcast_limit=broadcast_limit, keys=keys, salt_buckets=salt_buckets).unionByName(
+    return ioc_match(df, iocs, t, ts, strict_keys, broadcast_limit, keys=keys, salt_buckets=salt_buckets).unionByName(
         pair_activity(df, ("scan", "exfil"), exact, t, ts)
     )

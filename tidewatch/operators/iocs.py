@@ -4,15 +4,20 @@ table used by the detector, and the incremental merge into one row per id.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.columns import match_key, parse_feed_time
-from tidewatch.functions.sizing import broadcast_if_small
+from tidewatch.functions.sizing import broadcast_if_small, fits
+from tidewatch.functions.sizing import broadcast_limit as limit_of
 from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_ENTRY
 from tidewatch.session import checkpoint_root
 
 CLEAN_COLUMNS = [f.name for f in CLEAN_IOC_SCHEMA.fields]
+_DECLARED = [f.name for f in RAW_IOC_ENTRY.fields]
 # Fixed value: feed times are shifted by this many hours (feed-local offset).
 FEED_SHIFT_HOURS = 3
 # Fixed value: reporter name the feed uses for "no reporter".
@@ -34,7 +39,7 @@ def fold_indicators(iocs: DataFrame, strict: bool = False) -> DataFrame:
     """
     return (
         with_match_key(iocs, strict)
-        .filter(F.col("ioc_for_match").isNotNull())
+        .filter(F.col("ioc_for_match") != "")  # no key, or a URL without a host
         .groupBy("ioc_for_match")
         .agg(
             F.collect_set("ioc").alias("ioc_values"),
@@ -46,20 +51,45 @@ def fold_indicators(iocs: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def match_table(iocs: DataFrame, strict: bool = False, broadcast_limit: int | None = None) -> DataFrame:
-    """The folded indicator side, broadcast only when its measured size fits
-    the limit (else left for a shuffle join)."""
-    table, _ = broadcast_if_small(fold_indicators(iocs, strict), broadcast_limit)
-    return table
+@dataclass(frozen=True)
+class MatchKeys:
+    """Indicators folded per match key; `small`: their measured size fits a
+    broadcast; `strict`: keys and log values follow the strict rule."""
+
+    table: DataFrame
+    small: bool
+    strict: bool = False
+
+
+def prepared_keys(iocs: DataFrame, strict: bool = False, limit: int | None = None) -> MatchKeys:
+    """Fold the indicators and measure the fold, which the join then reuses:
+    it is written once to the shared checkpoint folder."""
+    checkpoint_root(iocs.sparkSession)
+    folded = fold_indicators(iocs, strict).checkpoint(eager=True)
+    return MatchKeys(folded, fits(folded, limit), strict)
 
 
 # ----------------------------------------------------------------- cleaning
 
 def explode_raw(raw: DataFrame) -> DataFrame:
     """Raw feed documents -> one row per indicator (empty/null `data` gives
-    no rows). Partition columns and `folder_date` ride along if present."""
+    no rows). Payload fields outside `RAW_IOC_ENTRY` ride along as one JSON
+    object in `extra` (null if there are none). Partition columns and
+    `folder_date` ride along if present."""
     keep = [c for c in ("year", "month", "day", "folder_date") if c in raw.columns]
-    return raw.select(F.explode("data").alias("_e"), *keep).select("_e.*", *keep)
+    one = raw.select(F.explode("data").alias("_e"), *keep)
+    if isinstance(one.schema["_e"].dataType, T.StructType):
+        names = one.schema["_e"].dataType.names
+        more = [F.col(f"_e.`{n}`") for n in names if n not in _DECLARED]
+        extra = F.to_json(F.struct(*more)) if more else F.lit("{}")
+        entry = [F.col(f"_e.`{n}`") for n in names if n in _DECLARED]
+    else:
+        one = one.select("*", F.from_json("_e", RAW_IOC_ENTRY).alias("_p"))
+        # Numbers, lists and objects stay as their JSON text in the map.
+        pairs = F.map_filter(F.from_json("_e", "map<string,string>"), lambda k, v: ~k.isin(*_DECLARED) & v.isNotNull())
+        extra = F.coalesce(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(pairs)))), F.lit("{}"))
+        entry = [F.col("_p.*")]
+    return one.select(*entry, F.nullif(extra, F.lit("{}")).alias("extra"), *keep)
 
 
 def clean_iocs(entries: DataFrame, shift_hours: int = FEED_SHIFT_HOURS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -70,6 +100,7 @@ def clean_iocs(entries: DataFrame, shift_hours: int = FEED_SHIFT_HOURS, keep: tu
       null, then shifted by `shift_hours`
     - `id` := sha256(ioc), replacing any feed id; rows without `ioc` dropped
     - `confidence_level` -> int (junk -> null)
+    - payload fields outside the schema stay as JSON in `extra`
     """
     present = set(entries.columns)
 
@@ -95,6 +126,7 @@ def clean_iocs(entries: DataFrame, shift_hours: int = FEED_SHIFT_HOURS, keep: tu
         "reporter": F.nullif(c("reporter"), F.lit(ANONYMOUS)),
         "tags": c("tags"),
         "is_compromised": c("is_compromised"),
+        "extra": F.col("extra") if "extra" in present else F.lit(None).cast("string"),
     }
     cols = [out[n].cast(CLEAN_IOC_SCHEMA[n].dataType).alias(n) for n in CLEAN_COLUMNS]
     return entries.filter(c("ioc").isNotNull()).select(*cols, *keep)
@@ -143,28 +175,28 @@ def refresh_last_seen(current: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
-def merge_iocs(current: DataFrame | None, batch: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
+def merge_iocs(current: DataFrame | None, batch: DataFrame, broadcast_limit: int | None = None, unique: bool = False) -> DataFrame:
     """New table = current table merged with a cleaned batch, one row per id:
     the current row if the id is known (with `last_seen` raised to the
     batch's latest), else the earliest batch row with the batch's latest
-    `last_seen`. Equals new_iocs(...) UNION refresh_last_seen(...).
-    Idempotent: merging the same batch again changes nothing.
-
-    The table is much larger than a daily increment, so the increment is
-    folded per id first and, when that fold measures small, broadcast into
-    the table: the table streams through map-side joins and is never
-    shuffled. A large increment falls back to one shuffle of both sides on
-    `id` (union, then pick per id).
+    `last_seen`. Equals new_iocs(...) UNION refresh_last_seen(...) on a table
+    without repeated ids. Idempotent: merging the same batch again changes
+    nothing.
+
+    `unique=True` states that `current` holds each id once, as every snapshot
+    of the refresh job does. The increment, folded per id, is then broadcast
+    when it measures small and the table is never shuffled. Otherwise table
+    and increment are folded together with one shuffle on `id`. Both give the
+    same rows.
     """
     if current is None:
         return batch_per_id(batch)
-    # The folded increment feeds the size check and two joins: materialise
-    # it once in the shared checkpoint folder (reliable, lineage cut) rather
-    # than re-reading and re-folding the raw feed for each use.
+    # The folded increment feeds the size check and the joins: materialise
+    # it once in the shared checkpoint folder (reliable, lineage cut).
     checkpoint_root(batch.sparkSession)
     folded = batch_per_id(batch).checkpoint(eager=True)
     latest, size = broadcast_if_small(folded.select("id", F.col("last_seen").alias("_inc")), broadcast_limit)
-    if not (size.exact and size.bytes <= _limit(folded, broadcast_limit)):
+    if not unique or not (size.exact and size.bytes <= limit_of(folded, broadcast_limit)):
         # Picking per id over (table, folded increment) equals picking over
         # (table, raw increment): the fold already holds each id's pick.
         tagged = current.select(*CLEAN_COLUMNS).withColumn("_src", F.lit(0)).unionByName(
@@ -176,11 +208,5 @@ def merge_iocs(current: DataFrame | None, batch: DataFrame, broadcast_limit: int
         .withColumn("last_seen", F.greatest("last_seen", "_inc"))
         .select(*CLEAN_COLUMNS)
     )
-    known = table.select("id").join(latest.select("id"), "id", "left_semi")  # at most |increment| rows
+    known = table.select("id").join(latest.select("id"), "id", "left_semi")  # reads the id column only; at most |increment| rows
     return refreshed.unionByName(folded.join(known, "id", "left_anti"))
-
-
-def _limit(df: DataFrame, limit: int | None) -> int:
-    from tidewatch.functions.sizing import broadcast_limit
-
-    return broadcast_limit(df, limit)

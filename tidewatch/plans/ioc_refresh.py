@@ -2,27 +2,33 @@
 
 Layout of a table folder:
 
-    snapshots/<version>/part-*.parquet   immutable, one per successful run
-    _commits/part-*.parquet              one row per run: version, snapshot,
-                                         marker (last landing day merged)
-
-A run reads only landing days after the marker, merges them into the current
-snapshot (one row per indicator id), writes a NEW snapshot and only then
-appends its commit row. A run that dies before the commit leaves the table
-as it was; re-running repeats the same work (the merge is idempotent).
-Readers resolve the latest commit, so they never see a half-written table.
+    snapshots/<version>-<run>/part-*.parquet  immutable, one per run
+    _commits/version=<version>/part-*.parquet the commit of that version:
+                                              snapshot, marker (last landing
+                                              day merged)
+
+A run reads the landing days from the marker on (files may land late in the
+marked day; merging rows again changes nothing), merges them into the current
+snapshot (one row per indicator id), writes a NEW snapshot under a name of its
+own and only then its commit. A commit folder is created once: of two runs
+that read the same version the second fails and leaves the first's table as
+it is. A run that dies before the commit changes nothing either. Readers
+resolve the latest commit, so they never see a half-written table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.iocs import clean_iocs, explode_raw, merge_iocs
-from tidewatch.sources.iocs import COMMIT_SCHEMA, COMMITS, SNAPSHOTS, last_commit, read_iocs, read_raw
+from tidewatch.operators.iocs import batch_per_id, clean_iocs, explode_raw, merge_iocs
+from tidewatch.session import checkpoint_root
+from tidewatch.sources.iocs import COMMITS, SNAPSHOTS, last_commit, read_commits, read_iocs, read_raw
+
 
 @dataclass(frozen=True)
 class RefreshResult:
@@ -36,31 +42,49 @@ def run_ioc_refresh(
     raw_base: str,
     table: str,
     shift_hours: int = 3,
-    reread_marker_day: bool = False,
+    reread_marker_day: bool = True,
+    keep_snapshots: int | None = None,
 ) -> RefreshResult:
-    """One incremental run. `reread_marker_day=True` also re-reads the last
-    merged day, picking up files that landed in it after the previous run
-    (safe: merging the same rows again changes nothing; such a run always
-    commits a new snapshot)."""
+    """One incremental run. `reread_marker_day=False` skips files that landed
+    in the last merged day after its run. `keep_snapshots` deletes older
+    snapshots after the commit (readers of those lose their files)."""
     prior = last_commit(spark, table)
     marker = None if prior is None else prior["marker"]
     batch = read_raw(spark, raw_base, after=marker, inclusive=reread_marker_day)
-    # Latest landing day in the increment; partition columns only, so this
-    # job reads the listing and the (small) increment once.
-    new_marker = batch.agg(F.max("folder_date")).first()[0]
-    if new_marker is None:  # nothing landed after the marker: no-op
-        return RefreshResult(None if prior is None else prior["version"], marker, False)
-
+    # The latest landing day is observed in the pass that folds the increment.
+    seen = Observation("increment")
+    batch = batch.observe(seen, F.max("folder_date").alias("marker"), F.count(F.lit(1)).alias("documents"))
     cleaned = clean_iocs(explode_raw(batch), shift_hours)
+    checkpoint_root(spark)
+    folded = batch_per_id(cleaned).checkpoint(eager=True)  # reads the increment once
+    new_marker = max((d for d in (marker, seen.get["marker"]) if d is not None), default=None)
     current = read_iocs(spark, table)
-    merged = merge_iocs(current, cleaned)
+    if not seen.get["documents"] or (new_marker == marker and current is not None and not changes(current, folded)):
+        return RefreshResult(None if prior is None else prior["version"], marker, False)
 
+    merged = merge_iocs(current, folded, unique=True)
     version = 0 if prior is None else prior["version"] + 1
-    snapshot = f"{version:010d}"
-    merged.write.mode("overwrite").parquet(f"{table}/{SNAPSHOTS}/{snapshot}")
-    commit = spark.createDataFrame(
-        [(version, snapshot, new_marker, dt.datetime.now(dt.timezone.utc))], COMMIT_SCHEMA
-    )
-    commit.coalesce(1).write.mode("append").parquet(f"{table}/{COMMITS}")
+    snapshot = f"{version:010d}-{uuid.uuid4().hex[:8]}"
+    path = f"{table}/{SNAPSHOTS}/{snapshot}"
+    merged.write.mode("errorifexists").parquet(path)
+    commit = spark.range(1).select(
+        F.lit(snapshot).alias("snapshot"), F.lit(new_marker).cast("date").alias("marker"), F.current_timestamp().alias("committed_at"))
+    commit.write.mode("errorifexists").parquet(f"{table}/{COMMITS}/version={version}")
+    if keep_snapshots:
+        rows = read_commits(spark, table).orderBy(F.desc("version")).select("snapshot").collect()
+        for r in rows[max(1, keep_snapshots):]:
+            _delete(spark, f"{table}/{SNAPSHOTS}/{r['snapshot']}")
     return RefreshResult(version, new_marker, True)
 
+
+def changes(current: DataFrame, folded: DataFrame) -> bool:
+    """Whether a folded increment has an id the table lacks or saw later."""
+    held = current.select("id", F.col("last_seen").alias("held"), F.lit(True).alias("known"))
+    both = folded.select("id", "last_seen").join(held, "id", "left")
+    later = F.col("last_seen").isNotNull() & (F.col("held").isNull() | (F.col("last_seen") > F.col("held")))
+    return bool(both.where(F.col("known").isNull() | later).limit(1).count())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

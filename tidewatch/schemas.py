@@ -101,8 +101,10 @@ RAW_IOC_ENTRY = _struct(
     ("last_seen", _S), ("reference", _S), ("reporter", _S), ("tags", _AS),
     ("is_compromised", _B),
 )
-# One raw feed document as pulled from the indicator service.
+# One raw feed document as pulled from the indicator service. On read the
+# indicators stay JSON text, so that fields outside the entry above survive.
 RAW_IOC_DOCUMENT = _struct(("query_status", _S), ("data", T.ArrayType(RAW_IOC_ENTRY)))
+RAW_IOC_TEXT_DOCUMENT = _struct(("query_status", _S), ("data", T.ArrayType(_S)))
 # Hive partition columns of the raw landing area.
 RAW_PARTITIONS = ("year", "month", "day")
 
@@ -110,12 +112,5 @@ CLEAN_IOC_SCHEMA = _struct(
     ("id", _S), ("ioc", _S), ("threat_type", _S), ("ioc_type", _S), ("malware", _S),
     ("malware_printable", _S), ("confidence_level", _I), ("first_seen", _TS),
     ("last_seen", _TS), ("reference", _S), ("reporter", _S), ("tags", _AS),
-    ("is_compromised", _B),
+    ("is_compromised", _B), ("extra", _S),
 )
-
-
-def null_row(schema: T.StructType, present: set[str]):
-    """Columns of `schema` missing from `present`, as typed null literals."""
-    from pyspark.sql import functions as F
-
-    return [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in present]

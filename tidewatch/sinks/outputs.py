@@ -3,11 +3,14 @@ indexes, and the raw indicator landing area."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewatch.schemas import ALERT_SCHEMA, RAW_PARTITIONS, WIDE_SCHEMA
-from tidewatch.sources.logs import conform_wide
+from tidewatch.schemas import ALERT_SCHEMA, RAW_IOC_TEXT_DOCUMENT, RAW_PARTITIONS, WIDE_SCHEMA
+from tidewatch.sources.logs import conform_wide, decode_logs
 
 
 def alert_json(alerts: DataFrame) -> DataFrame:
@@ -29,16 +32,31 @@ def alert_documents(alerts: DataFrame) -> DataFrame:
     return alerts.select(F.col("alert_id").alias("doc_id"), *[F.col(f.name).cast(f.dataType) for f in ALERT_SCHEMA.fields])
 
 
-def log_documents(logs: DataFrame) -> DataFrame:
-    """Typed log documents (65 wide fields) with a content key.
+def _record_json() -> Column:
+    """A wide row as JSON, null fields left out, times in microseconds."""
+    return F.to_json(F.struct(*[
+        F.unix_micros(f"`{f.name}`").alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f"`{f.name}`")
+        for f in WIDE_SCHEMA.fields]))
 
-    The key hashes (uid, @path, ts as epoch micros, orig, resp, resp port), so a record
-    delivered twice maps to the same document.
-    """
+
+def log_documents(logs: DataFrame) -> DataFrame:
+    """Typed log documents (65 wide fields) keyed by the whole record: the
+    hash of its JSON form, times in microseconds. A record delivered twice is
+    one document; records that differ in any field are two."""
     wide = conform_wide(logs)
-    parts = [F.col("uid"), F.col("`@path`"), F.unix_micros("ts"), F.col("id_orig_h"), F.col("id_resp_h"), F.col("id_resp_p")]
-    key = F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
-    return wide.select(key.alias("doc_id"), *[F.col(f"`{f.name}`") for f in WIDE_SCHEMA.fields])
+    return wide.select(F.sha2(_record_json(), 256).alias("doc_id"), *[F.col(f"`{f.name}`") for f in WIDE_SCHEMA.fields])
+
+
+def raw_log_documents(records: DataFrame, value: str = "value") -> DataFrame:
+    """Log documents of raw records. Text that decodes to nothing becomes a
+    document keyed by that text, which `raw_text` keeps."""
+    text = F.col(value).cast("string")
+    rows = decode_logs(records.withColumn("_text", text), "_text", keep=("_text",))
+    wide = [f"`{f.name}`" for f in WIDE_SCHEMA.fields]
+    empty = F.coalesce(*[F.col(c).cast("string") for c in wide]).isNull()
+    kept = conform_wide(rows, keep=("_text",))
+    key = F.sha2(F.when(empty, F.concat(F.lit("text:"), "_text")).otherwise(_record_json()), 256)
+    return kept.select(key.alias("doc_id"), *[F.col(c) for c in wide], F.when(empty, F.col("_text")).alias("raw_text"))
 
 
 def land_raw(documents: DataFrame, base: str) -> None:
@@ -47,13 +65,30 @@ def land_raw(documents: DataFrame, base: str) -> None:
     Documents without indicators are skipped (an empty pull writes nothing).
     """
     keep = documents.filter(F.col("data").isNotNull() & (F.size("data") > 0))
-    padded = keep.select(
-        "query_status", "data",
+    if documents.schema["data"].dataType == T.ArrayType(T.StringType()):  # indicators as JSON text
+        status = F.coalesce(F.to_json(F.struct("query_status")), F.lit("{}"))
+        body = F.concat(F.expr("substring(s, 1, length(s) - 1)"), F.when(F.col("s") == "{}", "").otherwise(","), F.lit('"data":['), F.array_join("data", ","), F.lit("]}"))
+        lines = keep.withColumn("s", status).withColumn("value", body)
+        _partitioned(lines, "value").write.mode("append").partitionBy(*RAW_PARTITIONS).text(base)
+        return
+    _partitioned(keep, "query_status", "data").write.mode("append").partitionBy(*RAW_PARTITIONS).json(base)
+
+
+def _partitioned(documents: DataFrame, *columns: str) -> DataFrame:
+    return documents.select(
+        *columns,
         F.col("year").cast("int").alias("year"),
         F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
         F.lpad(F.col("day").cast("string"), 2, "0").alias("day"),
     )
-    padded.write.mode("append").partitionBy(*RAW_PARTITIONS).json(base)
+
+
+def land_pulls(spark: SparkSession, pulls: str, base: str, day: dt.date) -> None:
+    """Land payload files as they were pulled, one JSON document a file, under
+    the day's folder; documents without indicators are skipped."""
+    text = spark.read.option("wholetext", True).text(pulls)
+    docs = text.select(F.from_json("value", RAW_IOC_TEXT_DOCUMENT).alias("d")).select("d.*")
+    land_raw(docs.withColumns({"year": F.lit(day.year), "month": F.lit(day.month), "day": F.lit(day.day)}), base)
 
 
 def ensure_table(spark, path: str, schema) -> None:

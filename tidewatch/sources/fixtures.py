@@ -2,8 +2,8 @@
 
 `net` is one wide log row per `events` row (conn/dns/http in turn, 50 ms
 apart); `raw_iocs` is one raw indicator per `pages` row spread over four
-feed days; `iocs` is a clean indicator table covering all three match-key
-rules. Each view has a Spark builder and the same definition as DuckDB SQL
+feed days, with the dirt a feed has; `iocs` is a clean indicator table from
+all page hosts covering all three match-key rules. Each view has a Spark builder and the same definition as DuckDB SQL
 (used by the oracles), so both engines start from identical rows.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.columns import url_host
-from tidewatch.functions.sizing import broadcast_if_small, spread
+from tidewatch.functions.sizing import broadcast_if_small
 
 # Fixed values of the adapters.
 EPOCH_MS = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC, start of the timeline
@@ -33,22 +33,23 @@ def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", url_host("url").alias("page_host"))
 
 
-def net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide network-log rows (flat names) built from `events` and `pages`."""
-    events = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props"))
-    hosts, size = broadcast_if_small(page_hosts(spark, sf_dir))
-    n_pages = size.rows
+def net(spark: SparkSession, sf_dir: str, hosts: bool = True) -> DataFrame:
+    """Wide network-log rows (flat names) built from `events` and `pages`.
+    `hosts=False` leaves `query` and `host` null and does not read `pages`."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
     kind = F.col("event_id") % 3
     resp_octet = F.coalesce(
         *[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_HOST.items()], F.lit(5)
     )
     resp_ip = F.concat(F.lit(RESP_NET), resp_octet.cast("string"))
-    ev = events.select(
-        "*",
-        (F.col("event_id") % F.lit(n_pages)).alias("page_key") if n_pages else F.lit(None).cast("long").alias("page_key"),
-    )
-    joined = ev.join(hosts, ev["page_key"] == hosts["page_id"], "left")
-    return joined.select(
+    if hosts:
+        named, size = broadcast_if_small(page_hosts(spark, sf_dir))
+        key = (F.col("event_id") % F.lit(size.rows)) if size.rows else F.lit(None).cast("long")
+        ev = ev.withColumn("page_key", key)
+        ev = ev.join(named, ev["page_key"] == named["page_id"], "left")
+    else:
+        ev = ev.withColumn("page_host", F.lit(None).cast("string"))
+    return ev.select(
         F.timestamp_millis(F.lit(EPOCH_MS) + F.col("event_id") * STEP_MS).alias("ts"),
         F.concat(F.lit("C"), F.expr("event_id div 3").cast("string")).alias("uid"),
         F.when(kind == 0, "conn").when(kind == 1, "dns").otherwise("http").alias("log_path"),
@@ -62,24 +63,43 @@ def net(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def net_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`net` as careless sensors write it: names in upper case, hosts with a
+    port, a bracketed IPv6 answer."""
+    return net(spark, sf_dir).withColumns({
+        "query": F.upper("query"),
+        "host": F.concat("host", F.lit(":8080")),
+        "answers": F.when(F.col("answers").isNotNull(), F.concat("answers", F.array(F.lit("[2001:DB8::7]:53")))),
+    })
+
+
 def raw_iocs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat raw indicators (feed text fields) with their landing day."""
+    """Flat raw indicators (feed text fields) with their landing day. Some
+    have no `ioc`, unreadable times, a confidence that is no number, tags, or
+    fields of their own (`asn`, `note`)."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")
-    day = (F.col("page_id") % 4 + 1).cast("int")
+    n = F.col("page_id")
+    day = (n % 4 + 1).cast("int")
     day_text = F.concat(F.lit("2024-01-0"), day.cast("string"))
     return p.select(
-        F.col("page_id").cast("string").alias("id"),
-        url_host("url").alias("ioc"),
+        n.cast("string").alias("id"),
+        F.when(n % 23 != 0, url_host("url")).alias("ioc"),
+        F.when(n % 4 == 0, F.lit("botnet")).alias("threat_type"),
         F.lit("domain").alias("ioc_type"),
-        F.when(F.col("page_id") % 7 == 0, F.lit("anonymous"))
-        .otherwise(F.concat(F.lit("rep"), (F.col("page_id") % 5).cast("string"))).alias("reporter"),
-        F.concat(day_text, F.lit(" 10:00:00 UTC")).alias("first_seen"),
-        F.when(F.col("page_id") % 3 == 0, F.concat(day_text, F.lit(" 11:00:00 UTC"))).alias("last_seen"),
-        F.when(F.col("page_id") % 5 == 0, F.lit("")).otherwise(F.col("url")).alias("reference"),
-        (F.col("page_id") % 100).cast("string").alias("confidence_level"),
-        (F.col("page_id") % 40 == 0).alias("is_compromised"),
+        F.when(n % 6 == 0, F.concat(F.lit("fam."), (n % 3).cast("string"))).alias("malware"),
+        F.when(n % 7 == 0, F.lit("anonymous"))
+        .otherwise(F.concat(F.lit("rep"), (n % 5).cast("string"))).alias("reporter"),
+        F.when(n % 17 == 0, F.lit("soon")).otherwise(F.concat(day_text, F.lit(" 10:00:00 UTC"))).alias("first_seen"),
+        F.when(n % 3 == 0, F.concat(day_text, F.lit(" 11:00:00 UTC"))).alias("last_seen"),
+        F.when(n % 5 == 0, F.lit("")).otherwise(F.col("url")).alias("reference"),
+        F.when(n % 13 == 0, F.lit("high")).when(n % 11 == 0, F.concat((n % 100).cast("string"), F.lit(".9")))
+        .otherwise((n % 100).cast("string")).alias("confidence_level"),
+        F.when(n % 2 == 0, F.array(F.lit("c2"), F.concat(F.lit("t"), (n % 9).cast("string")))).alias("tags"),
+        (n % 40 == 0).alias("is_compromised"),
+        F.when(n % 8 == 0, F.concat(F.lit("AS"), n.cast("string"))).alias("asn"),
+        F.when(n % 16 == 0, F.lit("seen twice")).alias("note"),
         F.make_date(F.lit(2024), F.lit(1), day).alias("folder_date"),
-        F.col("page_id"),
+        n,
     )
 
 
@@ -91,7 +111,8 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw feed documents `{query_status, data: [...]}` with year/month/day.
 
     Indicators of one day are packed `DOCUMENT_SIZE` to a document, so no
-    document (and no group) grows with the table.
+    document (and no group) grows with the table. Every day also has a
+    document without indicators.
     """
     from tidewatch.schemas import RAW_IOC_ENTRY
 
@@ -99,9 +120,9 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct(*[
         (F.col(f.name) if f.name in flat.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in RAW_IOC_ENTRY.fields
-    ])
+    ], "asn", "note")
     seq = F.expr(f"page_id div {4 * DOCUMENT_SIZE}")
-    return (
+    full = (
         flat.groupBy("folder_date", seq.alias("doc"))
         .agg(F.array_sort(F.collect_list(F.struct(F.col("page_id"), entry.alias("e")))).alias("items"))
         .select(
@@ -112,16 +133,17 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.dayofmonth("folder_date").alias("day"),
         )
     )
+    none = full.select("year", "month", "day").distinct().select(
+        F.lit("no_result").alias("query_status"), F.lit(None).cast(full.schema["data"].dataType).alias("data"), "year", "month", "day")
+    return full.unionByName(none)
 
 
 def iocs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean-side indicator table: URL indicators from pages plus feed rows.
-
-    One page in twenty is listed as an indicator (the feed definition, not a
-    row cap); two literal feed rows cover the `ip:port` and plain-ip rules.
-    """
+    """Clean-side indicator table: one URL indicator per distinct page host
+    (that of its first page) plus feed rows for the `ip:port` and plain rules."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")
-    from_pages = p.filter(F.col("page_id") % 20 == 0).select(
+    p = p.groupBy(url_host("url").alias("page_host")).agg(F.min(F.struct("page_id", "url")).alias("p")).select("p.*")
+    from_pages = p.select(
         F.col("url").alias("ioc"),
         F.lit("url").alias("ioc_type"),
         F.when(F.col("page_id") % 7 == 0, F.lit(None).cast("string"))
@@ -133,6 +155,7 @@ def iocs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     feed = spark.createDataFrame(
         [("203.0.113.3:443", "ip:port", "rep9", 90, ["feed"], False),
+         ("[2001:db8::7]:443", "ip:port", "rep9", 91, ["feed", "v6"], False),
          (RESOLVER_ANSWER, "ip", "rep8", 55, ["feed"], None)],
         "ioc string, ioc_type string, reporter string, confidence_level int, tags array<string>, is_compromised boolean",
     )
@@ -161,16 +184,31 @@ net AS (
     ON e.event_id % (SELECT count(*) FROM pages) = h.page_id
 )"""
 
+NET_UNTIDY_SQL = NET_SQL.replace("net AS (", "tidy AS (") + """,
+net AS (
+  SELECT ts, uid, log_path, id_orig_h, id_resp_h, id_resp_p, orig_bytes, upper(query) AS query,
+         CASE WHEN answers IS NOT NULL THEN list_append(answers, '[2001:DB8::7]:53') END AS answers,
+         host || ':8080' AS host
+  FROM tidy
+)"""
+
 RAW_IOCS_SQL = """
 raw_iocs AS (
   SELECT CAST(page_id AS VARCHAR) AS id,
-         regexp_extract(url, '(?:https?://)?([^/]+)', 1) AS ioc, 'domain' AS ioc_type,
+         CASE WHEN page_id % 23 <> 0 THEN regexp_extract(url, '(?:https?://)?([^/]+)', 1) END AS ioc,
+         CASE WHEN page_id % 4 = 0 THEN 'botnet' END AS threat_type, 'domain' AS ioc_type,
+         CASE WHEN page_id % 6 = 0 THEN 'fam.' || CAST(page_id % 3 AS VARCHAR) END AS malware,
+         CAST(NULL AS VARCHAR) AS malware_printable,
          CASE WHEN page_id % 7 = 0 THEN 'anonymous' ELSE 'rep' || CAST(page_id % 5 AS VARCHAR) END AS reporter,
-         '2024-01-0' || CAST(1 + page_id % 4 AS VARCHAR) || ' 10:00:00 UTC' AS first_seen,
+         CASE WHEN page_id % 17 = 0 THEN 'soon' ELSE '2024-01-0' || CAST(1 + page_id % 4 AS VARCHAR) || ' 10:00:00 UTC' END AS first_seen,
          CASE WHEN page_id % 3 = 0 THEN '2024-01-0' || CAST(1 + page_id % 4 AS VARCHAR) || ' 11:00:00 UTC' END AS last_seen,
          CASE WHEN page_id % 5 = 0 THEN '' ELSE url END AS reference,
-         CAST(page_id % 100 AS VARCHAR) AS confidence_level,
+         CASE WHEN page_id % 13 = 0 THEN 'high' WHEN page_id % 11 = 0 THEN CAST(page_id % 100 AS VARCHAR) || '.9'
+              ELSE CAST(page_id % 100 AS VARCHAR) END AS confidence_level,
+         CASE WHEN page_id % 2 = 0 THEN ['c2', 't' || CAST(page_id % 9 AS VARCHAR)] END AS tags,
          page_id % 40 = 0 AS is_compromised,
+         CASE WHEN page_id % 16 = 0 THEN '{"asn":"AS' || CAST(page_id AS VARCHAR) || '","note":"seen twice"}'
+              WHEN page_id % 8 = 0 THEN '{"asn":"AS' || CAST(page_id AS VARCHAR) || '"}' END AS extra,
          make_date(2024, 1, CAST(1 + page_id % 4 AS INT)) AS folder_date,
          page_id
   FROM pages
@@ -183,7 +221,9 @@ iocs AS (
          CAST(page_id % 100 AS INT) AS confidence_level,
          CASE WHEN page_id % 60 = 0 THEN NULL ELSE ['pages', 't' || CAST(page_id % 3 AS VARCHAR)] END AS tags,
          page_id % 40 = 0 AS is_compromised
-  FROM pages WHERE page_id % 20 = 0
+  FROM (SELECT *, row_number() OVER (PARTITION BY regexp_extract(url, '(?:https?://)?([^/]+)', 1) ORDER BY page_id, url) AS k FROM pages)
+  WHERE k = 1
   UNION ALL SELECT '203.0.113.3:443', 'ip:port', 'rep9', 90, ['feed'], false
+  UNION ALL SELECT '[2001:db8::7]:443', 'ip:port', 'rep9', 91, ['feed', 'v6'], false
   UNION ALL SELECT '198.51.100.7', 'ip', 'rep8', 55, ['feed'], CAST(NULL AS BOOLEAN)
 )"""

@@ -10,19 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_DOCUMENT
+from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_TEXT_DOCUMENT
 
 RAW_SCHEMA = T.StructType(
-    RAW_IOC_DOCUMENT.fields
+    RAW_IOC_TEXT_DOCUMENT.fields
     + [T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()), T.StructField("day", T.IntegerType())]
 )
 COMMITS = "_commits"
 SNAPSHOTS = "snapshots"
 COMMIT_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
     T.StructField("snapshot", T.StringType()),
     T.StructField("marker", T.DateType()),
     T.StructField("committed_at", T.TimestampType()),
+    T.StructField("version", T.LongType()),
 ])
 
 
@@ -33,9 +33,10 @@ def folder_date() -> Column:
     return F.to_date(F.try_to_timestamp(text, F.lit("y-M-d")))
 
 
-def read_raw(spark: SparkSession, base: str, after: dt.date | None = None, inclusive: bool = False) -> DataFrame:
-    """Raw feed documents with `folder_date`; only days after `after` (or
-    from `after` on, with `inclusive=True`).
+def read_raw(spark: SparkSession, base: str, after: dt.date | None = None, inclusive: bool = True) -> DataFrame:
+    """Raw feed documents with `folder_date` (null for a folder that names no
+    day), their indicators as JSON text; only days from `after` on (after it,
+    with `inclusive=False`) and folders without a day, which any run may find.
 
     The day filter references partition columns only, so it is applied to
     the directory listing (PartitionFilters): skipped days are never opened.
@@ -43,7 +44,7 @@ def read_raw(spark: SparkSession, base: str, after: dt.date | None = None, inclu
     raw = spark.read.schema(RAW_SCHEMA).json(base).withColumn("folder_date", folder_date())
     if after is not None:
         day = F.col("folder_date")
-        raw = raw.filter(day >= F.lit(after) if inclusive else day > F.lit(after))
+        raw = raw.filter((day >= F.lit(after) if inclusive else day > F.lit(after)) | day.isNull())
     return raw
 
 
@@ -76,7 +77,3 @@ def read_iocs(spark: SparkSession, table: str) -> DataFrame | None:
     if c is None:
         return None
     return spark.read.schema(CLEAN_IOC_SCHEMA).parquet(f"{table}/{SNAPSHOTS}/{c['snapshot']}")
-
-
-def empty_iocs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CLEAN_IOC_SCHEMA)

@@ -20,23 +20,23 @@ WIRE_NAMES = {v: k for k, v in ID_RENAMES.items()}
 DETECTOR_FIELDS = ("ts", "uid", "id.orig_h", "id.resp_h", "id.resp_p", "orig_bytes", "query", "answers", "host")
 
 
-def decode_logs(df: DataFrame, value: str | Column = "value", fields: tuple[str, ...] | None = None) -> DataFrame:
+def decode_logs(df: DataFrame, value: str | Column = "value", fields: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Sensor JSON text (or Kafka bytes) -> wide rows with flat names.
 
     PERMISSIVE parsing: malformed text or a bad field yields nulls, never a
     failed job or a stopped stream. `fields` limits decoding to those wire
-    fields (default: all 65).
+    fields (default: all 65); `keep` names input columns to carry along.
     """
     v = F.col(value) if isinstance(value, str) else value
     schema = WIRE_SCHEMA if fields is None else T.StructType([f for f in WIRE_SCHEMA.fields if f.name in fields])
     parsed = F.from_json(v.cast("string"), schema, {"timestampFormat": SENSOR_TIME_FORMAT, "mode": "PERMISSIVE"})
-    return df.select(parsed.alias("_d")).select("_d.*").withColumnsRenamed(
+    return df.select(parsed.alias("_d"), *keep).select("_d.*", *keep).withColumnsRenamed(
         {k: v for k, v in ID_RENAMES.items() if k in schema.fieldNames()})
 
 
-def conform_wide(df: DataFrame, path_col: str = "log_path") -> DataFrame:
+def conform_wide(df: DataFrame, path_col: str = "log_path", keep: tuple[str, ...] = ()) -> DataFrame:
     """Project any log-shaped frame onto `WIDE_SCHEMA` (absent columns are
-    typed nulls; `path_col` fills `@path`)."""
+    typed nulls; `path_col` fills `@path`; `keep` is carried along)."""
     present = set(df.columns)
     cols = []
     for f in WIDE_SCHEMA.fields:
@@ -47,7 +47,7 @@ def conform_wide(df: DataFrame, path_col: str = "log_path") -> DataFrame:
             cols.append(F.col(path_col).cast(f.dataType).alias(name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def encode_logs(df: DataFrame) -> DataFrame:
@@ -72,24 +72,32 @@ def kafka_stream(
     spark: SparkSession,
     servers: str,
     topic: str,
-    max_offsets: int = 50_000,
+    max_offsets: int | None = None,
     starting: str = "latest",
+    fail_on_data_loss: bool = True,
 ) -> DataFrame:
-    """Raw log records from a Kafka topic (needs the Kafka connector jar)."""
-    return (
+    """Raw log records from a Kafka topic (needs the Kafka connector jar).
+
+    By default nothing is skipped: every trigger takes what has arrived, and a
+    gap left by retention fails the query. `max_offsets` caps a trigger; a
+    feed faster than the cap falls behind.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    return reader.load()
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Raw log records from files of JSON lines landing in `path`."""
-    reader = spark.readStream.format("text")
+    """Raw log records from files of JSON lines landing in `path`, oldest
+    files first, at most `max_files` a micro-batch."""
+    reader = spark.readStream.format("text").schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

@@ -9,60 +9,44 @@ so a lost executor or a restarted driver resumes where it stopped.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.functions.sizing import broadcast_if_small
-from tidewatch.functions.sizing import broadcast_limit as broadcast_limit_of
-from tidewatch.operators.detect import DEFAULT, Thresholds, alerts, ioc_match, pair_activity
-from tidewatch.operators.iocs import fold_indicators
-from tidewatch.sinks.outputs import alert_json
+from tidewatch.operators.detect import DEFAULT, SALT_BUCKETS, Thresholds, alerts, ioc_match, pair_activity
+from tidewatch.operators.iocs import MatchKeys, prepared_keys
+from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts, ensure_table, raw_log_documents
 from tidewatch.sources.iocs import read_iocs
 from tidewatch.sources.logs import DETECTOR_FIELDS, decode_logs, with_event_time
 
 WATERMARK = "5 seconds"
 TRIGGER = "15 seconds"
 REFRESH_SECONDS = 3 * 60 * 60
-
-
-@contextmanager
-def indicator_keys(iocs: DataFrame, broadcast_limit: int | None = None):
-    """The folded indicator side for one run of a stream, and whether it is
-    broadcast.
-
-    A stream-static join re-evaluates its static side every trigger; folding
-    once and persisting avoids re-reading and re-shuffling the indicator
-    table each time. The cache is recomputed from its source if an executor
-    is lost, and released when the run ends.
-    """
-    folded = fold_indicators(iocs).persist()
-    try:
-        keys, size = broadcast_if_small(folded, broadcast_limit)
-        yield keys, size.exact and size.bytes <= broadcast_limit_of(folded, broadcast_limit)
-    finally:
-        folded.unpersist()
+#: Event time within which a document stream drops redelivered records.
+REDELIVERY = "1 hour"
 
 
 def detection_stream(
     records: DataFrame,
-    iocs: DataFrame,
+    iocs: DataFrame | None,
     detectors: tuple[str, ...] = ("ioc", "scan", "exfil"),
-    exact: bool = False,
+    exact: bool = True,
     watermark: str = WATERMARK,
     t: Thresholds = DEFAULT,
-    keys: DataFrame | None = None,
-    salt_buckets: int = 0,
+    keys: MatchKeys | None = None,
+    salt_buckets: int = SALT_BUCKETS,
+    strict_keys: bool = False,
 ) -> DataFrame:
-    """Raw log records (`value` column) -> alert rows, as a stream."""
+    """Raw log records (`value` column) -> alert rows, as a stream. A
+    stream-static join evaluates its static side every trigger; the
+    indicators are folded once (`keys`, or here) and read from files."""
     logs = with_event_time(decode_logs(records, fields=DETECTOR_FIELDS), watermark)
     pair_kinds = tuple(k for k in ("scan", "exfil") if k in detectors)
     if "ioc" in detectors and pair_kinds == ("scan", "exfil"):
-        return alerts(logs, iocs, exact, t, keys=keys, salt_buckets=salt_buckets)
+        return alerts(logs, iocs, exact, t, keys=keys, salt_buckets=salt_buckets, strict_keys=strict_keys)
     out = None
     if "ioc" in detectors:
-        out = ioc_match(logs, iocs, t, keys=keys, salt_buckets=salt_buckets)
+        out = ioc_match(logs, iocs, t, keys=keys, salt_buckets=salt_buckets, strict_keys=strict_keys)
     if pair_kinds:
         pa = pair_activity(logs, pair_kinds, exact, t)
         out = pa if out is None else out.unionByName(pa)
@@ -104,8 +88,9 @@ def run_detection(
     trigger: dict | None = None,
     refresh_seconds: float = REFRESH_SECONDS,
     cycles: int | None = None,
-    exact: bool = False,
-    salt_buckets: int = 0,
+    exact: bool = True,
+    salt_buckets: int = SALT_BUCKETS,
+    strict_keys: bool = False,
 ) -> None:
     """Run detection, reloading the indicator table every `refresh_seconds`.
 
@@ -118,29 +103,27 @@ def run_detection(
         iocs = read_iocs(spark, ioc_table)
         if iocs is None:
             raise RuntimeError(f"no committed indicator table at {ioc_table}")
-        with indicator_keys(iocs) as (keys, broadcast):
-            salt = 0 if broadcast else salt_buckets
-            q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt),
-                           checkpoint, fmt, path, options, trigger)
-            if trigger and trigger.get("availableNow"):
-                q.awaitTermination()
-            else:
-                q.awaitTermination(timeout=refresh_seconds)
-                q.stop()
-            if q.exception() is not None:
-                raise q.exception()
+        keys = prepared_keys(iocs, strict_keys)
+        q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt_buckets),
+                       checkpoint, fmt, path, options, trigger)
+        if trigger and trigger.get("availableNow"):
+            q.awaitTermination()
+        else:
+            q.awaitTermination(timeout=refresh_seconds)
+            q.stop()
+        if q.exception() is not None:
+            raise q.exception()
         n += 1
 
 
 def document_stream(records: DataFrame, kind: str) -> DataFrame:
     """Raw records -> typed documents for indexing, keyed for idempotent
-    upserts: `kind="logs"` decodes sensor JSON (65 typed fields, content
-    key), `kind="alerts"` decodes alert JSON (missing fields read as null,
-    keyed by alert id)."""
-    from tidewatch.sinks.outputs import alert_documents, decode_alerts, log_documents
-
+    upserts: `kind="logs"` decodes sensor JSON (65 typed fields, keyed by the
+    full record, text that does not decode kept in `raw_text`),
+    `kind="alerts"` decodes alert JSON (missing fields read as null, keyed by
+    alert id)."""
     if kind == "logs":
-        return log_documents(decode_logs(records))
+        return raw_log_documents(records)
     if kind == "alerts":
         return alert_documents(decode_alerts(records))
     raise ValueError(f"unknown document kind {kind!r}")
@@ -151,15 +134,24 @@ def start_documents(
     kind: str,
     checkpoint: str,
     path: str,
-    fmt: str = "parquet",
     trigger: dict | None = None,
+    horizon: str = REDELIVERY,
 ) -> StreamingQuery:
-    """Copy a record stream into a document table. Offsets and the file
-    sink's commit log live under `checkpoint`, so a restart neither loses
-    nor repeats documents (unlike a consumer loop without committed offsets)."""
+    """Copy a record stream into a document table. A record delivered again
+    within `horizon` of event time is dropped by its key; `read_documents`
+    folds later ones. Offsets and the file sink's commit log live under
+    `checkpoint`, so a restart neither loses nor repeats documents."""
+    docs = document_stream(records, kind)
+    ensure_table(records.sparkSession, path, docs.schema)
+    once = docs.withWatermark("ts" if kind == "logs" else "event_ts", horizon).dropDuplicatesWithinWatermark(["doc_id"])
     return (
-        document_stream(records, kind).writeStream.outputMode("append").format(fmt)
+        once.writeStream.outputMode("append").format("parquet")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": TRIGGER}))
         .start(path)
     )
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of a table, each key once."""
+    return spark.read.parquet(path).dropDuplicates(["doc_id"])

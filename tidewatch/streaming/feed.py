@@ -3,74 +3,52 @@ read back by the file source exactly as the broker feed would be."""
 
 from __future__ import annotations
 
-from contextlib import nullcontext
+import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewatch.operators.iocs import prepared_keys
 from tidewatch.schemas import ALERT_SCHEMA
 from tidewatch.session import parallelism, work_dir
 from tidewatch.sources.logs import encode_logs, file_stream
-from tidewatch.streaming.detection import detection_stream, indicator_keys, start_sink
+from tidewatch.streaming.detection import detection_stream, read_documents, start_documents, start_sink
 
-# Fixed value: a record far past the data that moves the watermark beyond
-# every real window, so append mode emits all of them (it raises no alert).
-SENTINEL = ('{"@path":"conn","ts":"2024-02-01T00:00:00.000000Z","uid":"sentinel",'
-            '"id.orig_h":"sentinel","id.resp_h":"sentinel"}')
+#: How far past the last record the closing one lies: the longest window (one
+#: minute), twice, and the watermark delay, with room to spare.
+CLOSING_GAP = dt.timedelta(minutes=5)
 
 
-def write_sentinel(spark: SparkSession, folder: str) -> None:
-    spark.createDataFrame([(SENTINEL,)], "value string").write.mode("append").text(folder)
+def event_bounds(logs: DataFrame):
+    """Earliest and latest event time (lo, hi); None without timed records."""
+    return logs.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
 
 
-def write_feed(spark: SparkSession, logs: DataFrame, folder: str, sentinel: bool = True) -> None:
-    encode_logs(logs).write.mode("append").text(folder)
-    if sentinel:
-        write_sentinel(spark, folder)
+def write_closing(spark: SparkSession, folder: str, last: dt.datetime | None) -> None:
+    """A record past the data that moves the watermark beyond every real
+    window, so append mode emits all of them (it raises no alert)."""
+    if last is None:
+        return
+    ts = (last + CLOSING_GAP).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    record = json.dumps({"@path": "conn", "ts": ts, "uid": "closing", "id.orig_h": "closing", "id.resp_h": "closing"})
+    spark.range(1).select(F.lit(record).alias("value")).write.mode("append").text(folder)
 
 
-def replay_alerts_resumed(
-    spark: SparkSession,
-    logs: DataFrame,
-    iocs: DataFrame,
-    runs: int = 3,
-    exact: bool = False,
-    state_partitions: int | None = None,
-) -> DataFrame:
-    """Replay `logs` in `runs` event-time slices, restarting the stream on
-    the same checkpoint for each slice (a scheduled `availableNow` job).
+def replay_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of its own, so that the caller's settings stay as they are.
+    State partitions are sized to the cluster's cores; the stream keeps the
+    value it started with."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
+    return own
 
-    Windows that straddle a slice boundary are only right if aggregation
-    state and the watermark survive the restart; slices arrive in time
-    order, so no row is late and the result must equal the batch one.
-    """
-    from pyspark.sql import functions as F
 
-    base = work_dir(spark, "replay")
-    bounds = logs.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    conf = spark.conf
-    prior = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
-    try:
-        with indicator_keys(iocs) as (keys, _):
-            for i in range(runs + 1):
-                if i < runs and bounds["lo"] is not None:
-                    lo = F.lit(bounds["lo"]) + (F.lit(bounds["hi"]) - F.lit(bounds["lo"])) * (i / runs)
-                    hi = F.lit(bounds["lo"]) + (F.lit(bounds["hi"]) - F.lit(bounds["lo"])) * ((i + 1) / runs)
-                    in_slice = (F.col("ts") >= lo) & ((F.col("ts") < hi) if i < runs - 1 else F.lit(True))
-                    if i == 0:  # every record is delivered; untimed ones with the first slice
-                        in_slice = in_slice | F.col("ts").isNull()
-                    part = logs.filter(in_slice)
-                    write_feed(spark, part, f"{base}/in", sentinel=False)
-                elif i == runs:
-                    write_sentinel(spark, f"{base}/in")
-                out = detection_stream(file_stream(spark, f"{base}/in"), None, exact=exact, keys=keys)
-                q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
-                q.awaitTermination()
-                if q.exception() is not None:
-                    raise q.exception()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", prior)
-    return spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
 
 
 def replay_alerts(
@@ -78,29 +56,46 @@ def replay_alerts(
     logs: DataFrame,
     iocs: DataFrame,
     detectors: tuple[str, ...] = ("ioc", "scan", "exfil"),
-    exact: bool = False,
-    max_files: int | None = None,
+    exact: bool = True,
+    slices: int = 1,
+    restart: bool = False,
     state_partitions: int | None = None,
+    strict_keys: bool = False,
 ) -> DataFrame:
     """Run the streaming detector over `logs` (availableNow) and return the
-    alerts its file sink committed."""
+    alerts its file sink committed.
+
+    The feed is written in `slices` event-time slices, in time order, and read
+    a slice per micro-batch; a last record then closes the windows. With
+    `restart` the stream stops after each slice and starts again on the same
+    checkpoint (a scheduled job): windows that straddle a slice are only right
+    if state and watermark survive. Records without a time come first.
+    """
     base = work_dir(spark, "replay")
-    write_feed(spark, logs, f"{base}/in")
-    # A replay is a bounded run on a fresh checkpoint: size its state
-    # partitions to the cluster's cores, not to the session's (possibly
-    # default) shuffle setting. The stream keeps the value it started with.
-    conf = spark.conf
-    prior = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
-    try:
-        with (indicator_keys(iocs) if "ioc" in detectors else nullcontext((None, False))) as (keys, _):
-            out = detection_stream(file_stream(spark, f"{base}/in", max_files), None, detectors, exact, keys=keys)
-            q = start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise q.exception()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", prior)
+    bounds = event_bounds(logs)
+    own = replay_session(spark, state_partitions)
+    keys = prepared_keys(iocs, strict_keys) if "ioc" in detectors else None
+
+    def run() -> None:
+        out = detection_stream(file_stream(own, f"{base}/in/*", None if restart else 1), None, detectors, exact, keys=keys)
+        _finish(start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True}))
+
+    lo, hi = bounds["lo"], bounds["hi"]
+    for i in range(slices):
+        part = logs
+        if slices > 1 and lo is not None:
+            edge = lambda k: F.lit(lo) + (F.lit(hi) - F.lit(lo)) * (k / slices)
+            inside = (F.col("ts") >= edge(i)) & ((F.col("ts") < edge(i + 1)) if i < slices - 1 else F.lit(True))
+            part = logs.filter(inside | F.col("ts").isNull() if i == 0 else inside)
+        elif i:
+            break
+        # One file a slice where the stream takes a file per micro-batch.
+        feed = encode_logs(part)
+        (feed.coalesce(1) if slices > 1 and not restart else feed).write.text(f"{base}/in/{i:05d}")
+        if restart:
+            run()
+    write_closing(spark, f"{base}/in/{slices:05d}", hi)
+    run()
     return spark.read.schema(ALERT_SCHEMA).parquet(f"{base}/out")
 
 
@@ -108,17 +103,17 @@ def replay_through(spark: SparkSession, logs: DataFrame, build, state_partitions
     """Replay `logs` as sensor JSON files through `build(records) -> stream`
     into a Parquet file sink; return what the sink committed."""
     base = work_dir(spark, "replay")
-    write_feed(spark, logs, f"{base}/in", sentinel=False)
-    conf = spark.conf
-    prior = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(state_partitions or parallelism(spark)))
-    try:
-        out = build(file_stream(spark, f"{base}/in"))
-        q = (out.writeStream.outputMode("append").format("parquet")
-             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/out"))
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", prior)
+    encode_logs(logs).write.text(f"{base}/in")
+    out = build(file_stream(replay_session(spark, state_partitions), f"{base}/in"))
+    _finish(out.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start(f"{base}/out"))
     return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
+def replay_documents(spark: SparkSession, records: DataFrame, kind: str, max_files: int | None = None) -> DataFrame:
+    """Run the document copy over `records` (JSON text in `value`)."""
+    base = work_dir(spark, "replay")
+    records.select("value").write.text(f"{base}/in")
+    own = replay_session(spark)
+    _finish(start_documents(file_stream(own, f"{base}/in", max_files), kind, f"{base}/checkpoint", f"{base}/out", {"availableNow": True}))
+    return read_documents(spark, f"{base}/out")
