@@ -8,25 +8,28 @@ removed; windows are judged on the input, not on what is left.
 1. Anchors (winnowing). Of the width - GRAM + 1 GRAM-word hashes inside a
    window the smallest is its anchor, so equal windows have equal anchors. A
    maximal run of window starts with one anchor is a segment: one text per
-   about five words.
-2. Bounded pre-filter. A bitmap of `filter_bits` marks hash slots that anchors
-   of two documents share. It only spares segments that cannot recur; a full
-   bitmap costs time, never a result.
-3. Confirm. Segments are folded to (anchor, segment text, first and last doc);
-   repeats within a map task are folded before the shuffle, so a passage that
-   a third of all documents share is one row a task. Anchors of one document
-   alone are dropped. What remains are the recurring passages.
-4. Automata. Shards of anchors get an Aho-Corasick automaton each, made of the
-   windows of their recurring passages with the first document of each; every
+   about five words. Anchors that `shard_rows` segments share (a frequent
+   phrase in ever new surroundings) are counted first; their windows become
+   segments of their own, with a hash of the whole window as anchor.
+2. Bounded pre-filter. A bitmap of 2**`filter_bits` hash slots marks those that
+   anchors of two documents share. It only spares segments that cannot recur;
+   a full bitmap costs time, never a result.
+3. Confirm. Segments are folded to (anchor, segment text, first and last doc),
+   first within the map task, so a passage that a third of all documents share
+   is a few rows a task, then per anchor. Anchors of one document alone are
+   dropped. What remains are the recurring passages.
+4. Automata. Shards of anchors get an Aho-Corasick automaton each, made of
+   their recurring passages with the first document of each: the whole passage
+   where an anchor has one text, its windows where it has several. Every
    distinct segment streams through the automaton of its shard, which yields
    the windows that start in an earlier document. Segments, not whole texts,
    travel to the shards, as a window can only occur in segments of its anchor.
 5. The hits go back to the occurrences of their segment (a join that splits
-   hot segments under AQE), are folded to word ranges per document, and the
+   hot segments under AQE), are folded to window starts per document, and the
    texts are cut.
 
 Windows are compared as text by the automata; hashes only route. A segment's
-occurrences are matched to its hits by two independent 64-bit hashes.
+occurrences are matched to its hits by a 128-bit hash of its text.
 
 Defined results: null or empty text has no words (and the sha256 of the empty
 string); a text of fewer than `width` words loses nothing; repeated rows of
@@ -35,19 +38,21 @@ is returned, and equal rows are cut alike; rows with a null doc_id take part in
 table gives an empty result. Columns beyond id and text are kept by
 `without_repeats`, whatever their names.
 
-Scale: four passes over the text at most, one shuffle of the text (to bring
-the ranges to it). The bitmap (2**filter_bits / 8 bytes, 32 MB) is the only
-broadcast. A shard holds about `shard_rows` distinct segments.
+Scale: four passes over the text, one shuffle of the segments that may recur
+and one of the text (to bring the starts to it). The bitmap (32 MB) and the
+crowded anchors (at most one per `shard_rows` segments) are broadcast. An
+automaton is made of about `shard_rows` distinct segments.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,86 +61,111 @@ from tidewatch.llm.textkit import blocks, gram_hashes, gram_rows, id_column, mix
 WIDTH = 13
 GRAM = 5
 FILTER_BITS = 28
-SHARD_ROWS = 4000
+SHARD_ROWS = 5000
 _BLOCK = 20  # log2 of the slots in one block of the bitmap
 DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def _segments(buf: np.ndarray, offs: np.ndarray, width: int) -> tuple:
+def _segments(buf: np.ndarray, offs: np.ndarray, width: int, crowded: np.ndarray | None = None) -> tuple:
     """Segments of a block of rows: (anchor, row, first window as a word index
-    of the block, number of windows, word starts, word ends, first word of rows)."""
+    of the block, number of windows, whether the anchor is a window's, word
+    starts, word ends, first word of rows). Windows of `crowded` anchors (sorted) are segments of their own."""
     start, end, first = words(buf, offs)
-    gram = gram_hashes(word_hashes(buf, start, end), GRAM)
+    h = word_hashes(buf, start, end)
+    gram = gram_hashes(h, GRAM)
     at, row = gram_rows(first, width)
     if not len(at):
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, none, start, end, first
+        return np.zeros(0, np.uint64), none, none, none, none.astype(bool), start, end, first
+    full = np.zeros(len(at), bool)
     low = gram[:len(gram) - (width - GRAM)].copy()
     for j in range(1, width - GRAM + 1):
         np.minimum(low, gram[j:j + len(low)], out=low)
     low = low[at]
+    if crowded is not None and len(crowded):
+        full = crowded[np.minimum(np.searchsorted(crowded, low), len(crowded) - 1)] == low
+        if full.any():
+            low = np.where(full, gram_hashes(h, width)[at], low)
     opens = np.ones(len(at), bool)
     opens[1:] = (low[1:] != low[:-1]) | (row[1:] != row[:-1])
     opens = np.flatnonzero(opens)
     n = np.diff(np.append(opens, len(at)))
-    return low[opens], row[opens], at[opens], n, start, end, first
+    return low[opens], row[opens], at[opens], n, full[opens], start, end, first
 
 
 def _slots(anchor: np.ndarray, bits: int) -> np.ndarray:
     return (mix(anchor ^ np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def shared_slots(texts: DataFrame, width: int, bits: int) -> np.ndarray:
-    """Packed bitmap of the slots that anchors of at least two rows fall into.
+def survey(texts: DataFrame, width: int, bits: int, shard_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(packed bitmap of the slots that anchors of at least two rows fall into,
+    sorted anchors of at least `shard_rows` segments).
 
     A task sends the slots it saw as sorted, packed gaps per block of 2**20
-    slots; a block's tasks meet in one small group of at most 2**20 slots each."""
+    slots, and the anchors it saw at least eight times with their counts (in
+    block -1); a block's pieces are merged one after the other."""
 
     def seen(batches: Iterator[pa.RecordBatch]):
-        once, twice = [], []
+        anchors, slots, twice = [], [], []
         for batch in batches:
             for part, buf, offs in blocks(batch):
                 anchor, row, *_ = _segments(buf, offs, width)
+                anchors.append(anchor)
                 slot = np.unique((row.astype(np.int64) << bits) | _slots(anchor, bits)) & ((1 << bits) - 1)
                 slot, n = np.unique(slot, return_counts=True)
-                once.append(slot.astype(np.uint32))
+                slots.append(slot.astype(np.uint32))
                 twice.append(slot[n > 1].astype(np.uint32))
-        slot, n = np.unique(np.concatenate(once), return_counts=True) if once else (np.zeros(0, np.uint32), np.zeros(0, int))
+        if not anchors:
+            return
+        slot, n = np.unique(np.concatenate(slots), return_counts=True)
         multi = np.unique(np.concatenate([slot[n > 1], *twice]))
         cut = np.arange(1, max(1, 1 << max(0, bits - _BLOCK))) << _BLOCK
         rows = [(b, _pack(s), _pack(m)) for b, (s, m) in enumerate(zip(np.split(slot, np.searchsorted(slot, cut)), np.split(multi, np.searchsorted(multi, cut)))) if len(s)]
-        b, s, m = zip(*rows) if rows else ((), (), ())
+        anchor, n = np.unique(np.concatenate(anchors), return_counts=True)
+        often = n >= min(8, shard_rows)
+        rows.append((-1, anchor[often].tobytes(), n[often].astype(np.int64).tobytes()))
+        b, s, m = zip(*rows)
         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(s, pa.binary()), pa.array(m, pa.binary())], ["block", "slots", "multi"])
 
     size = min(1 << bits, 1 << _BLOCK)
 
-    def meet(batches):
-        now, have, two = -1, np.zeros(size, bool), np.zeros(size, bool)
+    def merged(batches):
+        now, have, two = None, np.zeros(size, bool), np.zeros(size, bool)
+        often = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(two, bitorder="little").tobytes()], pa.binary())], ["block", "bitmap"])
+            value = often[0][often[1] >= shard_rows] if now == -1 else np.packbits(two, bitorder="little")
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([value.tobytes()], pa.binary())], ["block", "value"])
 
         for batch in batches:
             for b, s, m in zip(*(batch.column(c).to_pylist() for c in ("block", "slots", "multi"))):
                 if b != now:
-                    if now >= 0:
+                    if now is not None:
                         yield done()
                     now = b
                     have[:] = two[:] = False
+                if b == -1:
+                    anchor = np.concatenate((often[0], np.frombuffer(s, np.uint64)))
+                    anchor, at = np.unique(anchor, return_inverse=True)
+                    often = anchor, np.bincount(at, np.concatenate((often[1], np.frombuffer(m, np.int64))), len(anchor)).astype(np.int64)
+                    continue
                 s, m = _unpack(s), _unpack(m)
                 two[s[have[s]]] = True
                 have[s] = True
                 two[m] = True
-        if now >= 0:
+        if now is not None:
             yield done()
 
     parts = texts.mapInArrow(seen, "block int, slots binary, multi binary")
-    parts = parts.repartition("block").sortWithinPartitions("block").mapInArrow(meet, "block int, bitmap binary")
-    out = np.zeros(max(1, (1 << bits) >> 3), np.uint8)
+    parts = parts.repartition("block").sortWithinPartitions("block").mapInArrow(merged, "block int, value binary")
+    bitmap, crowded = np.zeros(max(1, (1 << bits) >> 3), np.uint8), np.zeros(0, np.uint64)
     step = max(1, size >> 3)
-    for r in parts.collect():  # 2**bits bits in all
-        out[r["block"] * step:(r["block"] + 1) * step] = np.frombuffer(r["bitmap"], np.uint8)
-    return out
+    for r in parts.collect():  # 2**bits bits in all, and the crowded anchors
+        if r["block"] < 0:
+            crowded = np.frombuffer(r["value"], np.uint64)
+        else:
+            bitmap[r["block"] * step:(r["block"] + 1) * step] = np.frombuffer(r["value"], np.uint8)
+    return bitmap, crowded
 
 
 def _pack(slots: np.ndarray) -> bytes:
@@ -154,68 +184,113 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps)
 
 
-def _occurrences(texts: DataFrame, width: int, bits: int) -> DataFrame:
-    """(anchor, doc_id, body, first, seg): the segments that may recur. `first`
-    is the index of the segment's first word in its document."""
-    shared = texts.sparkSession.sparkContext.broadcast(shared_slots(texts, width, bits))
+def _candidates(batches, shared, width: int, bits: int):
+    """Per block: (rows, anchors, row, first word, segment texts) of the
+    segments that may recur; the first word counts from the document's start."""
+    bitmap, crowded = shared.value
+    for batch in batches:
+        for part, buf, offs in blocks(batch):
+            anchor, row, at, n, single, start, end, first = _segments(buf, offs, width, crowded)
+            slot = _slots(anchor, bits)
+            # Window anchors of crowded phrases are not in the bitmap: all pass.
+            keep = np.flatnonzero(((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1) | single)
+            data = buf.tobytes()
+            a, b = start[at[keep]], end[at[keep] + n[keep] + width - 2]
+            yield part, anchor[keep], row[keep], at[keep] - first[row[keep]], [b" ".join(data[x:y].split()) for x, y in zip(a.tolist(), b.tolist())]
+
+
+def _folded(texts: DataFrame, shared, width: int, bits: int, memory: int = 200_000) -> DataFrame:
+    """(anchor, seg, low, high): segments that may recur with the first and
+    last document of the rows a task has seen (a task may send one twice)."""
 
     def task(batches):
-        bitmap = shared.value
-        for batch in batches:
-            for part, buf, offs in blocks(batch):
-                anchor, row, at, n, start, end, first = _segments(buf, offs, width)
-                slot = _slots(anchor, bits)
-                keep = np.flatnonzero((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
-                data = buf.tobytes()
-                a, b = start[at[keep]], end[at[keep] + n[keep] + width - 2]
-                segs = [b" ".join(data[x:y].split()).decode() for x, y in zip(a.tolist(), b.tolist())]
-                rows = pa.array(row[keep])
-                docs, body = (part.column(c).take(rows) for c in ("doc_id", "body"))
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[keep].view(np.int64)), docs, body, pa.array(at[keep] - first[row[keep]], pa.int32()), pa.array(segs, pa.string())], ["anchor", "doc_id", "body", "first", "seg"])
-
-    return texts.mapInArrow(task, "anchor long, doc_id long, body long, first int, seg string")
-
-
-def _two_hashes(column: str, a: str = "h1", b: str = "h2"):
-    return F.xxhash64(column).alias(a), F.xxhash64(F.concat(F.lit("#"), F.reverse(column))).alias(b)
-
-
-def _locate(passages: DataFrame, width: int, shard_rows: int) -> DataFrame:
-    """Per distinct segment (h1, h2): its windows that start in an earlier
-    document of some occurrence, as parallel arrays of offset and first doc."""
-    spark = passages.sparkSession
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(passages.count() / shard_rows))
-
-    def shard(batches):
-        import ahocorasick
-
-        for frame in _bounded(batches, shard_rows):
-            anchors, segs, lows, highs, h1, h2 = (frame.column(c).to_pylist() for c in ("anchor", "seg", "low", "high", "h1", "h2"))
-            owner: dict[str, list[int]] = {}
-            for seg, low, high in zip(segs, lows, highs):
-                w = seg.split(" ")
-                for i in range(len(w) - width + 1):
-                    o = owner.setdefault(" ".join(w[i:i + width]), [low, high])
-                    if low < o[0]:
-                        o[0] = low
-                    if high > o[1]:
-                        o[1] = high
-            automaton = ahocorasick.Automaton()
-            for text, (low, high) in owner.items():
-                if low < high:
-                    automaton.add_word(f" {text} ", low)
-            out = []
-            if len(automaton):
-                automaton.make_automaton()
-                for seg, high, a, b in zip(segs, highs, h1, h2):
-                    line = f" {seg} "
-                    hits = [(line.count(" ", 0, last) - width, low) for last, low in automaton.iter(line) if low < high]
-                    if hits:
-                        out.append((a, b, [x for x, _ in hits], [y for _, y in hits]))
-            cols = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())))], ["h1", "h2", "at", "low"])
+        held: dict[tuple, list] = {}
+
+        def out():
+            keys, docs = list(held), list(held.values())
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.binary()), pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int64())], ["anchor", "seg", "low", "high"])
+
+        for part, anchor, row, _, segs in _candidates(batches, shared, width, bits):
+            docs = part.column("doc_id").to_numpy()[row].tolist()
+            for key, doc in zip(zip(anchor.view(np.int64).tolist(), segs), docs):
+                had = held.get(key)
+                if had is None:
+                    held[key] = [doc, doc]
+                elif doc < had[0]:
+                    had[0] = doc
+                elif doc > had[1]:
+                    had[1] = doc
+            if len(held) > memory:
+                yield out()
+                held.clear()
+        yield out()
+
+    return texts.mapInArrow(task, "anchor long, seg binary, low long, high long")
+
+
+def _occurrences(texts: DataFrame, shared, width: int, bits: int) -> DataFrame:
+    """(doc_id, body, first, h1, h2): where the segments occur."""
 
-    return passages.repartition(shards, "anchor").sortWithinPartitions("anchor").mapInArrow(shard, "h1 long, h2 long, at array<int>, low array<long>")
+    def task(batches):
+        for part, _, row, at, segs in _candidates(batches, shared, width, bits):
+            rows = pa.array(row)
+            h1, h2 = _names(segs)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(rows), part.column("body").take(rows), pa.array(at, pa.int32()), h1, h2], ["doc_id", "body", "first", "h1", "h2"])
+
+    return texts.mapInArrow(task, "doc_id long, body long, first int, h1 long, h2 long")
+
+
+def _names(segs: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """128-bit hashes of segment texts as two columns."""
+    h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in segs), np.int64).reshape(-1, 2)
+    return pa.array(np.ascontiguousarray(h[:, 0])), pa.array(np.ascontiguousarray(h[:, 1]))
+
+
+def _located(table: pa.Table, width: int) -> pa.RecordBatch:
+    """Hits of the distinct segments of some whole anchors, sorted by anchor:
+    (h1, h2, at, low), the windows that start in an earlier document of some
+    occurrence and the first document of each."""
+    anchor, low, high = (table.column(c).to_numpy() for c in ("anchor", "low", "high"))
+    opens = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    recurs = np.minimum.reduceat(low, opens) < np.maximum.reduceat(high, opens)
+    rows = np.flatnonzero(np.repeat(recurs, np.diff(np.append(opens, len(anchor)))))
+    segs = table.column("seg").take(pa.array(rows)).to_pylist()
+    groups: dict[int, dict[bytes, list]] = {}
+    for a, seg, x, y in zip(anchor[rows].tolist(), segs, low[rows].tolist(), high[rows].tolist()):
+        got = groups.setdefault(a, {}).setdefault(seg, [x, y])
+        got[0], got[1] = min(got[0], x), max(got[1], y)
+    automaton = ahocorasick.Automaton()
+    for texts in groups.values():
+        if len(texts) == 1:  # one passage: all its windows share their documents
+            (seg, (x, _)), = texts.items()
+            automaton.add_word(f" {seg.decode('latin-1')} ", (seg.count(b" ") + 2 - width, x))
+            continue
+        owner: dict[str, list[int]] = {}
+        for seg, (x, y) in texts.items():
+            w = seg.decode("latin-1").split(" ")
+            for i in range(len(w) - width + 1):
+                o = owner.setdefault(" ".join(w[i:i + width]), [x, y])
+                o[0], o[1] = min(o[0], x), max(o[1], y)
+        for text, (x, y) in owner.items():
+            if x < y:
+                automaton.add_word(f" {text} ", (1, x))
+    names, at, first = [], [], []
+    if len(automaton):
+        automaton.make_automaton()
+        for texts in groups.values():
+            for seg, (_, y) in texts.items():
+                line = f" {seg.decode('latin-1')} "
+                hits = []
+                for last, (n, x) in automaton.iter(line):
+                    if x < y:
+                        w = line.count(" ", 0, last) - width - n + 1
+                        hits += [(i, x) for i in range(w, w + n)]
+                if hits:
+                    names.append(seg)
+                    at.append([i for i, _ in hits])
+                    first.append([x for _, x in hits])
+    h1, h2 = _names(names)
+    return pa.RecordBatch.from_arrays([h1, h2, pa.array(at, pa.list_(pa.int32())), pa.array(first, pa.list_(pa.int64()))], ["h1", "h2", "at", "low"])
 
 
 def _bounded(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -236,43 +311,19 @@ def _bounded(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]
         yield held
 
 
-def _single_windows(passages: DataFrame, width: int) -> DataFrame:
-    """(h1, h2, at, low, high, seg): the segments cut into their windows."""
-
-    def task(batches):
-        for batch in batches:
-            out = []
-            for a, b, seg, low, high in zip(*(batch.column(c).to_pylist() for c in ("h1", "h2", "seg", "low", "high"))):
-                w = seg.split(" ")
-                out += [(a, b, i, low, high, " ".join(w[i:i + width])) for i in range(len(w) - width + 1)]
-            cols = list(zip(*out)) if out else [[]] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["h1", "h2", "at", "low", "high", "seg"])
-
-    return passages.mapInArrow(task, "h1 long, h2 long, at int, low long, high long, seg string")
-
-
 def repeat_starts(documents: DataFrame, width: int = WIDTH, filter_bits: int = FILTER_BITS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, body, starts): of each document (id and hash of its text) the
-    first words of the windows that also start in an earlier document.
-
-    An anchor with more than `shard_rows` distinct passages (a frequent phrase
-    in ever new surroundings) would be one task's load; its passages are cut
-    into single windows, each its own anchor, before they reach a shard."""
+    first words of the windows that also start in an earlier document."""
     texts = documents.select(id_column(documents), F.col("text"), F.xxhash64("text").alias("body")).where("doc_id is not null")
-    found = _occurrences(texts, width, filter_bits)
-    folded = found.groupBy("anchor", "seg").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    folded = stored(folded.select("*", *_two_hashes("seg")), "passages")
-    anchors = folded.groupBy("anchor").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count(F.lit(1)).alias("n"))
-    recurring = folded.join(anchors.where("l < h").select("anchor", (F.col("n") > shard_rows).alias("crowded")), "anchor")
-    cold = recurring.where("not crowded").select("anchor", "seg", "low", "high", "h1", "h2")
-    single = stored(_single_windows(recurring.where("crowded"), width), "windows")
-    alone = single.groupBy("seg").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    alone = alone.select(F.xxhash64("seg").alias("anchor"), "seg", "low", "high", *_two_hashes("seg"))
-    located = stored(_locate(stored(cold.unionByName(alone), "recurring"), width, shard_rows), "hits")
-    of_single = single.select("h1", "h2", F.col("at").alias("i"), *_two_hashes("seg", "w1", "w2")).join(located.select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), "low"), ["w1", "w2"])
-    hits = located.unionByName(of_single.select("h1", "h2", F.array("i").alias("at"), "low"))
-    where = found.select("doc_id", "body", "first", *_two_hashes("seg")).join(hits, ["h1", "h2"])
+    shared = texts.sparkSession.sparkContext.broadcast(survey(texts, width, filter_bits, shard_rows))
+
+    def locate(batches):
+        for table in _bounded(batches, shard_rows):
+            yield _located(table, width)
+
+    passages = _folded(texts, shared, width, filter_bits).repartition("anchor").sortWithinPartitions("anchor")
+    hits = stored(passages.mapInArrow(locate, "h1 long, h2 long, at array<int>, low array<long>"), "hits")
+    where = _occurrences(texts, shared, width, filter_bits).join(hits, ["h1", "h2"])
     late = F.filter(F.arrays_zip("at", "low"), lambda x: x["low"] < F.col("doc_id"))
     starts = where.select("doc_id", "body", F.transform(late, lambda x: (F.col("first") + x["at"]).cast("int")).alias("w")).where(F.size("w") > 0)
     return starts.groupBy("doc_id", "body").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("w")))).alias("starts"))
