@@ -60,7 +60,7 @@ _SIZES = (12, 20, 19, 20, 21)
 _OFFSETS = np.concatenate(([0], np.cumsum([1 << s for s in _SIZES])))
 SLOTS = int(_OFFSETS[-1])
 _GATES = 8 * 8 * 4
-_CHUNK = 1 << 20  # decisions handled at once
+_CHUNK = 1 << 18  # decisions handled at once
 _LN10 = np.log(10.0)
 
 
@@ -88,7 +88,7 @@ def token_counts(train: DataFrame) -> DataFrame:
             for _, texts in _texts(batch):
                 for t in texts:
                     counts.update(tokens_of(t))
-                if len(counts) > 1_000_000:  # bounded memory; the shuffle adds up
+                if len(counts) > 250_000:  # bounded memory; the shuffle adds up
                     yield out()
                     counts.clear()
         yield out()
@@ -213,7 +213,7 @@ def _class_counts(train: DataFrame, lexicon: Lexicon) -> DataFrame:
                     own[f] += np.bincount(cls[at] * d + ids[at], minlength=own.shape[1])
                     at = np.flatnonzero((fold == f) & (ids < 0))
                     rare[f].update(zip(cls[at].tolist(), [words[i] for i in at.tolist()]))
-                if len(rare[0]) + len(rare[1]) > 500_000:
+                if len(rare[0]) + len(rare[1]) > 150_000:
                     yield out()
                     rare[0].clear()
                     rare[1].clear()
@@ -328,9 +328,9 @@ class Mixer:
 
 def _rank_bits(n: int) -> tuple[np.ndarray, np.ndarray]:
     """(nodes (n, depth), bits (n, depth)) of the ranks 0..n-1 in a binary tree."""
-    ids = np.arange(n)[:, None]
-    d = np.arange(_DEPTH)
-    return (1 << d) | (ids >> (_DEPTH - d)), (ids >> (_DEPTH - 1 - d)) & 1
+    ids = np.arange(n, dtype=np.int32)[:, None]
+    d = np.arange(_DEPTH, dtype=np.int32)
+    return (1 << d) | (ids >> (_DEPTH - d)), ((ids >> (_DEPTH - 1 - d)) & 1).astype(np.int8)
 
 
 class RankModel:
@@ -354,10 +354,10 @@ class RankModel:
             world, _ = self._logits(source.sum(0), node, bit)
             own, seen = (np.stack(x) for x in zip(*(self._logits(source[c], node, bit) for c in range(classes))))
             cell = np.flatnonzero(b.ravel() > 0) if step < 2 else np.arange(classes * n)
-            cell = np.random.default_rng(7).permutation(cell)  # the frequent ones come first otherwise
+            np.random.default_rng(7).shuffle(cell)  # the frequent ones come first otherwise
             tally = np.zeros((2, self.mixer.map.size))
-            for at in range(0, len(cell), 1 << 15):
-                c, i = np.divmod(cell[at:at + (1 << 15)], n)
+            for at in range(0, len(cell), 1 << 13):
+                c, i = np.divmod(cell[at:at + (1 << 13)], n)
                 at_node, y = node[i], bit[i].ravel()
                 logits = np.stack([own[c[:, None], at_node].ravel(), world[at_node].ravel()])
                 where = np.broadcast_to(depth, at_node.shape).ravel()
@@ -377,9 +377,13 @@ class RankModel:
     @staticmethod
     def _logits(counts: np.ndarray, node: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = 1 << _DEPTH
-        mass = np.repeat(counts, _DEPTH).astype(float)
-        n1 = np.bincount(node.ravel(), mass * bit.ravel(), size)
-        return _table(np.bincount(node.ravel(), mass, size) - n1, n1)
+        n0, n1 = np.zeros(size), np.zeros(size)
+        for d in range(_DEPTH):
+            seen = np.bincount(node[:, d], counts, size)
+            ones = np.bincount(node[:, d], counts * bit[:, d], size)
+            n0 += seen - ones
+            n1 += ones
+        return _table(n0, n1)
 
 
 def _spelled(batches, columns: list[str]):
@@ -409,11 +413,11 @@ class SpellModel:
         step = 1 << 16
 
         def task(batches):
-            counts = np.zeros(4 * SLOTS)
+            counts = np.zeros(4 * SLOTS, np.float32)
             for (a, b), words, cls in _spelled(batches, ["a", "b"]):
                 slots, bit, _, _, owner = spell(words, cls)
                 for k, w in enumerate((a, b)):
-                    mass = w[owner].astype(float)
+                    mass = w[owner].astype(np.float32)
                     for row in slots:
                         np.add.at(counts, (2 * k + bit) * SLOTS + row, mass)
             seen = np.flatnonzero(counts)
@@ -431,9 +435,9 @@ class SpellModel:
         out = np.zeros(-(-4 * SLOTS // step) * step, np.float32)
         few = rare.coalesce(max(1, rare.sparkSession.sparkContext.defaultParallelism))  # a count array each
         rows = few.mapInArrow(task, "part int, slots binary, counts binary").repartition("part").mapInArrow(add, "part int, counts binary")
-        for batch in rows.toArrow().to_batches():  # 16 * SLOTS bytes
-            for part, n in zip(batch.column("part").to_pylist(), batch.column("counts")):
-                out[part * step:(part + 1) * step] = np.frombuffer(n.as_buffer(), np.float32)
+        rows = stored(rows, "slot-counts")
+        for r in rows.toLocalIterator():  # 16 * SLOTS bytes, a partition at a time
+            out[r["part"] * step:(r["part"] + 1) * step] = np.frombuffer(r["counts"], np.float32)
         return out[:4 * SLOTS].reshape(4, SLOTS)
 
     @staticmethod
@@ -494,18 +498,22 @@ def score_documents(documents: DataFrame, held_out: Column | None = None, dictio
     train = docs.where(F.col("doc_id").isNotNull() & ~F.col("held_out")).withColumn("fold", fold)
     counts = stored(token_counts(train), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(dictionary).collect()
-    lexicon = Lexicon([bytes(r["word"]) for r in top], [r["n"] for r in top])
+    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(dictionary).toArrow()
+    lexicon = Lexicon(top["word"].to_pylist(), top["n"].to_pylist())
+    del top
     lexicon.clusters = _clusters(train, lexicon)
     by_class = stored(_class_counts(train, lexicon), "class-counts")
-    dense = np.zeros((2, CLASSES + 1, max(len(top), 1)), np.int64)
+    dense = np.zeros((2, CLASSES + 1, max(len(lexicon.words), 1)), np.int64 if total > 1 << 31 else np.int32)
     t = by_class.where("idx >= 0").select("cls", "idx", "a", "b").toArrow()  # classes * dictionary rows at most
     dense[:, t["cls"].to_numpy(), t["idx"].to_numpy()] = [t["a"].to_numpy(), t["b"].to_numpy()]
     rare = by_class.where("idx < 0").select("cls", "word", "a", "b")
     others = np.zeros((2, CLASSES + 1))
     for r in rare.groupBy("cls").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
         others[:, r["cls"]] = r["a"], r["b"]
-    ranks = RankModel(dense[0][:, :len(top)], dense[1][:, :len(top)], *others)
+    del t
+    size = len(lexicon.words)
+    ranks = RankModel(dense[0][:, :size], dense[1][:, :size], *others)
+    del dense
     speller = SpellModel(rare)
     return _scored(docs, counts, lexicon, ranks, speller, total, distinct)
 
