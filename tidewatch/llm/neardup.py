@@ -14,15 +14,22 @@ classes are the connected components of the links.
    variables r and c and a uniform beta per shingle and sample; the shingle
    with the least c * exp(-r (t - beta) - r), t = floor(ln w / r + beta), is
    the sample, named by (shingle, t)). A band of equal samples is a bucket.
-3. In a bucket every node is compared with the smallest one (the leader), then
-   what is left with its smallest one. Nodes that match no leader are compared
-   with all others of the bucket. A comparison first needs half of the samples
-   to agree (a pair at 0.8 misses that with probability under 1e-4), then the
-   exact weighted Jaccard similarity of both texts decides.
+3. In a bucket every node is compared with the smallest one, the leader: if
+   half of the samples agree, by the exact weighted Jaccard similarity of both
+   texts. A node r that does not match can still be similar to another node m
+   of the bucket. With `up` the weight a node adds to the leader and `down` the
+   weight it lacks, the two differ by at least
+   up(r) + up(m) + |down(r) - down(m)| less twice the additions they share, and
+   similar texts differ by (1 - s) / (1 + s) of their joint weight at most. So
+   pairs are formed only where that sum is small, one of the eight least hashed
+   additions is shared, or a node is too far from the leader to say, and where
+   17 of 30 samples agree. Thousands of near copies with edits of their own
+   thus give no pairs beyond those with their leader.
 4. Components by min-label propagation with pointer jumping; links and labels
    stay distributed.
 
 With 10 bands of 3 rows a pair at 0.8 shares a bucket with probability 0.9992.
+The agreement a pair at 0.8 must show is missed with probability 0.001.
 
 Defined results: null and empty texts have no words and are one class; rows
 sharing a doc_id are one document that has all their texts; rows with a null
@@ -30,8 +37,7 @@ doc_id have a null class and are kept; an empty table gives an empty result;
 other columns are kept whatever their names.
 
 Scale: the broadcast table has a fixed size (2 * 2**18 counters). Copies
-collapse before any bucket forms, buckets of thousands of near copies cost one
-comparison a member, and every join is on a key AQE may split.
+collapse before any bucket forms, and every join is on a key AQE may split.
 """
 
 from __future__ import annotations
@@ -50,6 +56,7 @@ THRESHOLD = 0.8
 BANDS = 10
 ROWS = 3
 IDF_FLOOR = 100
+NEWS = 8
 _TABLE = 18  # log2 of the counters in each of the two rows of the table
 _ROW = 20  # a block has fewer rows than 2**20; 44 bits of the shingle hash remain
 _BLOCK = 1 << 20
@@ -184,10 +191,13 @@ def _agreeing(a: str, b: str, least: int) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) >= least
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> DataFrame:
-    """The (a, b) of `pairs` whose texts have weighted Jaccard >= threshold."""
+def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> DataFrame:
+    """The pairs (a, b) with `hit` (weighted Jaccard >= threshold), `up` and
+    `down` (weight b adds to a and lacks of it), `weight` of b, and `news`:
+    the NEWS added shingles with the least hashes."""
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
+    low = np.uint64((1 << (64 - _ROW)) - 1)
 
     def task(batches):
         df = table.value
@@ -195,31 +205,37 @@ def _similar(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> Dat
             step = 256
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                found = []
+                n = part.num_rows
+                sides = []
                 for column in ("text_a", "text_b"):
                     done, cols = 0, []
                     for rows, buf, offs in _row_blocks(part.select([column]), column):
                         shingle, row, count = _shingles(buf, offs)
-                        cols.append((shingle, row + done, _weights(shingle, count, df)))
+                        cols.append(((row + done).astype(np.uint64) << np.uint64(64 - _ROW) | shingle, _weights(shingle, count, df)))
                         done += rows.num_rows
-                    found.append([np.concatenate(x) for x in zip(*cols)])
-                (sa, ra, wa), (sb, rb, wb) = found
-                shingle, row = np.concatenate((sa, sb)), np.concatenate((ra, rb))
-                key = (row.astype(np.uint64) << np.uint64(64 - _ROW)) | shingle
-                by = np.argsort(key, kind="stable")
-                key, w, r = key[by], np.concatenate((wa, wb))[by], row[by]
-                same = np.flatnonzero(key[1:] == key[:-1])
-                shared = np.bincount(r[same], np.minimum(w[same], w[same + 1]), part.num_rows)
-                total = np.bincount(r, w, part.num_rows) - shared
-                keep = (shared >= threshold * total) & (total > 0)
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep))
-
-    return both.mapInArrow(task, "a long, b long")
+                    sides.append([np.concatenate(x) for x in zip(*cols)])
+                (ka, wa), (kb, wb) = sides  # both sorted by row and shingle
+                at_a = np.minimum(np.searchsorted(ka, kb), max(len(ka) - 1, 0))
+                of_a = np.where(ka[at_a] == kb, wa[at_a], 0.0) if len(ka) else np.zeros(len(kb))
+                row_b = (kb >> np.uint64(64 - _ROW)).astype(np.int64)
+                shared = np.bincount(row_b, np.minimum(of_a, wb), n)
+                up = np.bincount(row_b, wb, n) - shared
+                down = np.bincount((ka >> np.uint64(64 - _ROW)).astype(np.int64), wa, n) - shared
+                new = np.flatnonzero(wb > of_a)
+                new = new[np.lexsort((mix(kb[new] & low), row_b[new]))]
+                first = np.searchsorted(row_b[new], np.arange(n + 1))
+                news = [(kb[new[x:min(x + NEWS, y)]] & low).astype(np.int64) for x, y in zip(first[:-1], first[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), pa.array((shared >= threshold * (shared + up + down)) & (shared > 0)), pa.array(up), pa.array(down), pa.array(shared + up), pa.array(news, pa.list_(pa.int64()))],
+                    ["a", "b", "hit", "up", "down", "weight", "news"])
+
+    return both.mapInArrow(task, "a long, b long, hit boolean, up double, down double, weight double, news array<long>")
 
 
 def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(members, links): members(doc_id, node) puts equal word sequences
-    together under their smallest doc_id; links(a, b) joins similar nodes."""
+    together under their smallest doc_id; links(a, b) joins similar nodes, as
+    many as the classes need."""
     texts = documents.select(id_column(documents), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
     table = texts.sparkSession.sparkContext.broadcast(document_frequencies(texts))
     signed = stored(_signatures(texts, table, bands, rows), "signatures")
@@ -227,28 +243,28 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     nodes = stored(nodes, "nodes")
     members = stored(signed.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node"), "members")
     placed = nodes.where(F.exists("sig", lambda x: x != 0)).select("node", "sig", F.posexplode("keys").alias("band", "key"))
-    shared = placed.groupBy("band", "key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band", "key")
-    bucket = ["band", "key"]
-    inside = stored(placed.join(shared, bucket), "buckets")
-    wanted = inside.select(F.col("node").alias("doc_id")).distinct()
+    bucket, least = ["band", "key"], (bands * rows + 1) // 2
+    lead = placed.groupBy(*bucket).agg(F.min(F.struct("node", "sig")).alias("lead"), F.max("node").alias("high")).where("lead.node < high")
+    inside = placed.join(lead.select(*bucket, F.col("lead.node").alias("a"), F.col("lead.sig").alias("lead_sig")), bucket).where("node > a")
+    inside = stored(inside.withColumn("alike", _agreeing("sig", "lead_sig", least)).drop("lead_sig"), "buckets")
+    pairs = inside.where("alike").select("a", F.col("node").alias("b")).distinct()
+    wanted = inside.select(F.explode(F.array("a", "node")).alias("doc_id")).distinct()
     bodies = stored(texts.join(wanted, "doc_id", "left_semi"), "bodies")
-    least = (bands * rows + 1) // 2
-    found: list[DataFrame] = []
-    left = inside
-    for step in (1, 2):
-        lead = left.groupBy(*bucket).agg(F.min(F.struct("node", "sig")).alias("lead")).select(*bucket, F.col("lead.node").alias("a"), F.col("lead.sig").alias("lead_sig"))
-        facing = left.join(lead, bucket).where("node > a")
-        pairs = facing.where(_agreeing("sig", "lead_sig", least)).select("a", F.col("node").alias("b")).distinct()
-        found.append(stored(_similar(pairs, bodies, table, threshold), f"links-{step}"))
-        matched = found[-1].withColumnRenamed("b", "node")
-        left = stored(facing.select("node", "sig", *bucket, "a").join(matched, ["a", "node"], "left_anti").drop("a"), f"unmatched-{step}")
-    other = inside.select(*bucket, F.col("node").alias("other"), F.col("sig").alias("other_sig"))
-    pairs = left.join(other, bucket).where((F.col("node") != F.col("other")) & _agreeing("sig", "other_sig", least))
-    pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    for done in found:
-        pairs = pairs.join(done, ["a", "b"], "left_anti")
-    found.append(stored(_similar(pairs, bodies, table, threshold), "links-rest"))
-    edges = found[0].unionByName(found[1]).unionByName(found[2]).where("a < b").distinct()
+    facing = stored(_compared(pairs, bodies, table, threshold), "facing")
+
+    # Rows of one id with several texts give several comparisons: any counts.
+    info = inside.join(facing.withColumnRenamed("b", "node"), ["a", "node"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    info = stored(info.select("node", "sig", *bucket, "hit", "up", "down", "weight", "news"), "members-of-buckets")
+    side = lambda df, x: df.select(*bucket, *(F.col(c).alias(f"{c}_{x}") for c in ("node", "sig", "hit", "up", "down", "weight", "news")))
+    bound = (1 - threshold) / (1 + threshold) + 0.02
+    small = F.col("up_r") + F.col("up_m") + F.abs(F.col("down_r") - F.col("down_m")) <= bound * (F.col("weight_r") + F.col("weight_m"))
+    open_end = F.col("up_r").isNull() | F.col("up_m").isNull() | small | F.arrays_overlap("news_r", "news_m")
+    once = (F.col("node_r") != F.col("node_m")) & (F.col("hit_m") | (F.col("node_r") < F.col("node_m")))
+    pairs = side(info.where("not hit"), "r").join(side(info, "m"), bucket).where(once & open_end & _agreeing("sig_r", "sig_m", int(0.58 * bands * rows)))
+    pairs = pairs.select(F.least("node_r", "node_m").alias("a"), F.greatest("node_r", "node_m").alias("b")).distinct()
+    pairs = pairs.join(facing.select("a", "b"), ["a", "b"], "left_anti")
+    rest = stored(_compared(pairs, bodies, table, threshold), "rest")
+    edges = facing.unionByName(rest).where("hit").select("a", "b").distinct()
     return members, stored(edges, "links")
 
 
