@@ -101,3 +101,16 @@ def test_components_of_a_long_chain(spark):
 
 def test_empty(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_members_that_share_part_of_a_replaced_passage(spark):
+    """The leader (0) is similar to neither 1 nor 2, which are similar to each
+    other by ten of the 23 words in its place; none of the eight least hashed
+    shingles that each adds to the leader is among the other's."""
+    base = [f"6896w{i}" for i in range(300)]
+    r = [f"6896r{i}" for i in range(23)]
+    m = r[:10] + [f"6896m{i}" for i in range(10, 23)]
+    docs = [(0, " ".join(base)), *((k, " ".join(base[:100] + x + base[123:])) for k, x in ((1, r), (2, m)))]
+    want = brute(spark, docs)
+    assert want == {0: 0, 1: 1, 2: 1}
+    assert {x["doc_id"]: x["class_id"] for x in near_duplicates(frame(spark, docs)).collect()} == want

@@ -20,11 +20,14 @@ classes are the connected components of the links.
    of the bucket. With `up` the weight a node adds to the leader and `down` the
    weight it lacks, the two differ by at least
    up(r) + up(m) + |down(r) - down(m)| less twice the additions they share, and
-   similar texts differ by (1 - s) / (1 + s) of their joint weight at most. So
-   pairs are formed only where that sum is small, one of the eight least hashed
-   additions is shared, or a node is too far from the leader to say, and where
-   17 of 30 samples agree. Thousands of near copies with edits of their own
-   thus give no pairs beyond those with their leader.
+   similar texts differ by (1 - s) / (1 + s) of their joint weight at most.
+   Where that sum is larger they must share additions, and a similar text lacks
+   at most 1 - s of r's weight: the additions of r, least hash first, up to the
+   one with which they weigh more than that hold the first shared one, and
+   those of m do too. So pairs are formed only where the sum is small, these
+   lists meet, or a node is too far from the leader to say, and where 17 of 30
+   samples agree; the lists lose no similar pair. Thousands of near copies with
+   edits of their own thus give no pairs beyond those with their leader.
 4. Components by min-label propagation with pointer jumping; links and labels
    stay distributed.
 
@@ -56,7 +59,6 @@ THRESHOLD = 0.8
 BANDS = 10
 ROWS = 3
 IDF_FLOOR = 100
-NEWS = 8
 _TABLE = 18  # log2 of the counters in each of the two rows of the table
 _ROW = 20  # a block has fewer rows than 2**20; 44 bits of the shingle hash remain
 _BLOCK = 1 << 20
@@ -193,8 +195,9 @@ def _agreeing(a: str, b: str, least: int) -> Column:
 
 def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> DataFrame:
     """The pairs (a, b) with `hit` (weighted Jaccard >= threshold), `up` and
-    `down` (weight b adds to a and lacks of it), `weight` of b, and `news`:
-    the NEWS added shingles with the least hashes."""
+    `down` (weight b adds to a and lacks of it), `weight` of b, and `news`: the
+    added shingles, least hash first, until they weigh more than a text similar
+    to b can lack of it."""
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
     low = np.uint64((1 << (64 - _ROW)) - 1)
@@ -223,8 +226,11 @@ def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> Da
                 down = np.bincount((ka >> np.uint64(64 - _ROW)).astype(np.int64), wa, n) - shared
                 new = np.flatnonzero(wb > of_a)
                 new = new[np.lexsort((mix(kb[new] & low), row_b[new]))]
+                added = np.concatenate(([0.0], np.cumsum((wb - of_a)[new])))
                 first = np.searchsorted(row_b[new], np.arange(n + 1))
-                news = [(kb[new[x:min(x + NEWS, y)]] & low).astype(np.int64) for x, y in zip(first[:-1], first[1:])]
+                lack = added[first[:-1]] + (1 - threshold) * (shared + up) + 1e-9 * added[-1]
+                last = np.minimum(np.searchsorted(added, lack, "right"), first[1:])
+                news = [(kb[new[x:y]] & low).astype(np.int64) for x, y in zip(first[:-1], last)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a"), part.column("b"), pa.array((shared >= threshold * (shared + up + down)) & (shared > 0)), pa.array(up), pa.array(down), pa.array(shared + up), pa.array(news, pa.list_(pa.int64()))],
                     ["a", "b", "hit", "up", "down", "weight", "news"])
@@ -242,25 +248,28 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     nodes = signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
     nodes = stored(nodes, "nodes")
     members = stored(signed.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node"), "members")
-    placed = nodes.where(F.exists("sig", lambda x: x != 0)).select("node", "sig", F.posexplode("keys").alias("band", "key"))
+    placed = nodes.where(F.exists("sig", lambda x: x != 0)).select("node", F.posexplode("keys").alias("band", "key"))
     bucket, least = ["band", "key"], (bands * rows + 1) // 2
-    lead = placed.groupBy(*bucket).agg(F.min(F.struct("node", "sig")).alias("lead"), F.max("node").alias("high")).where("lead.node < high")
-    inside = placed.join(lead.select(*bucket, F.col("lead.node").alias("a"), F.col("lead.sig").alias("lead_sig")), bucket).where("node > a")
+    lead = placed.groupBy(*bucket).agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high").drop("high")
+    # A leader's key names its bucket of a band, so a bit per band tells the buckets two members share.
+    inside = placed.join(lead, bucket).where("node > a").groupBy("a", "node").agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("bands"))
+    sig = nodes.select("node", "sig")
+    inside = inside.join(sig, "node").join(sig.select(F.col("node").alias("a"), F.col("sig").alias("lead_sig")), "a")
     inside = stored(inside.withColumn("alike", _agreeing("sig", "lead_sig", least)).drop("lead_sig"), "buckets")
-    pairs = inside.where("alike").select("a", F.col("node").alias("b")).distinct()
+    pairs = inside.where("alike").select("a", F.col("node").alias("b"))
     wanted = inside.select(F.explode(F.array("a", "node")).alias("doc_id")).distinct()
     bodies = stored(texts.join(wanted, "doc_id", "left_semi"), "bodies")
     facing = stored(_compared(pairs, bodies, table, threshold), "facing")
 
     # Rows of one id with several texts give several comparisons: any counts.
     info = inside.join(facing.withColumnRenamed("b", "node"), ["a", "node"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
-    info = stored(info.select("node", "sig", *bucket, "hit", "up", "down", "weight", "news"), "members-of-buckets")
-    side = lambda df, x: df.select(*bucket, *(F.col(c).alias(f"{c}_{x}") for c in ("node", "sig", "hit", "up", "down", "weight", "news")))
+    info = stored(info.select("a", "node", "sig", "bands", "hit", "up", "down", "weight", "news"), "members-of-buckets")
+    side = lambda df, x: df.select("a", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "sig", "bands", "hit", "up", "down", "weight", "news")))
     bound = (1 - threshold) / (1 + threshold) + 0.02
     small = F.col("up_r") + F.col("up_m") + F.abs(F.col("down_r") - F.col("down_m")) <= bound * (F.col("weight_r") + F.col("weight_m"))
     open_end = F.col("up_r").isNull() | F.col("up_m").isNull() | small | F.arrays_overlap("news_r", "news_m")
-    once = (F.col("node_r") != F.col("node_m")) & (F.col("hit_m") | (F.col("node_r") < F.col("node_m")))
-    pairs = side(info.where("not hit"), "r").join(side(info, "m"), bucket).where(once & open_end & _agreeing("sig_r", "sig_m", int(0.58 * bands * rows)))
+    once = (F.col("node_r") != F.col("node_m")) & (F.col("hit_m") | (F.col("node_r") < F.col("node_m"))) & (F.col("bands_r").bitwiseAND(F.col("bands_m")) != 0)
+    pairs = side(info.where("not hit"), "r").join(side(info, "m"), "a").where(once & _agreeing("sig_r", "sig_m", int(0.58 * bands * rows)) & open_end)
     pairs = pairs.select(F.least("node_r", "node_m").alias("a"), F.greatest("node_r", "node_m").alias("b")).distinct()
     pairs = pairs.join(facing.select("a", "b"), ["a", "b"], "left_anti")
     rest = stored(_compared(pairs, bodies, table, threshold), "rest")
