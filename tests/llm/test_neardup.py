@@ -114,3 +114,15 @@ def test_members_that_share_part_of_a_replaced_passage(spark):
     want = brute(spark, docs)
     assert want == {0: 0, 1: 1, 2: 1}
     assert {x["doc_id"]: x["class_id"] for x in near_duplicates(frame(spark, docs)).collect()} == want
+
+
+def test_rows_of_one_id_with_several_texts(spark):
+    """3 and 5 share a text, 5 and 7 another: one class of documents, but both
+    texts stay; so do both texts of 9, and 11 has copies of a null id's text."""
+    x, y, z, v = (prose(i, 80, 5000) for i in (71, 72, 73, 74))
+    docs = frame(spark, [(3, x), (5, x), (5, y), (7, y), (9, z), (9, v), (11, ""), (11, None), (None, x), (None, x)])
+    got = near_duplicates(docs).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["kept"]) for r in got) == [(3, 3, True), (5, 3, False), (5, 3, False), (7, 3, False), (9, 9, True), (9, 9, True), (11, 11, True), (11, 11, True)]
+    kept = [(r["doc_id"], r["text"] or "") for r in one_per_class(clashing(docs)).collect()]
+    assert sorted(k for k in kept if k[0] is not None) == sorted([(3, x), (5, y), (9, z), (9, v), (11, "")])
+    assert kept.count((None, x)) == 2

@@ -9,7 +9,8 @@ bound, floored at one percent, so only boilerplate is weighed down). Documents
 are linked when their weighted Jaccard similarity is at least `threshold`;
 classes are the connected components of the links.
 
-1. Equal word sequences are one node, the smallest doc_id stands for them.
+1. Equal word sequences are one node, named by the smallest (doc_id, hash of
+   the text) among them.
 2. Each node draws `bands * rows` consistent weighted samples (Gamma(2,1)
    variables r and c and a uniform beta per shingle and sample; the shingle
    with the least c * exp(-r (t - beta) - r), t = floor(ln w / r + beta), is
@@ -35,9 +36,11 @@ With 10 bands of 3 rows a pair at 0.8 shares a bucket with probability 0.9992.
 The agreement a pair at 0.8 must show is missed with probability 0.001.
 
 Defined results: null and empty texts have no words and are one class; rows
-sharing a doc_id are one document that has all their texts; rows with a null
-doc_id have a null class and are kept; an empty table gives an empty result;
-other columns are kept whatever their names.
+sharing a doc_id are one document that has all their texts, so they are of one
+class; rows with a null doc_id have no class and are kept by one_per_class. That
+one judges texts, not ids: a class there is linked by similarity alone, and a
+text goes only if a similar one (or a chain of them) leads to one that stays. An
+empty table gives an empty result; other columns are kept whatever their names.
 
 Scale: the broadcast table has a fixed size (2 * 2**18 counters). Copies
 collapse before any bucket forms, and every join is on a key AQE may split.
@@ -62,6 +65,7 @@ IDF_FLOOR = 100
 _TABLE = 18  # log2 of the counters in each of the two rows of the table
 _ROW = 20  # a block has fewer rows than 2**20; 44 bits of the shingle hash remain
 _BLOCK = 1 << 20
+_NODE = "struct<doc_id:bigint,body:bigint>"
 
 
 def _shingles(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,7 +174,7 @@ def samples(shingle: np.ndarray, row: np.ndarray, weight: np.ndarray, n_rows: in
 
 
 def _signatures(texts: DataFrame, table, bands: int, rows: int) -> DataFrame:
-    """(doc_id, digest, sig, keys): word-sequence digest, samples, band hashes."""
+    """(doc_id, body, digest, sig, keys): word-sequence digest, samples, band hashes."""
 
     def task(batches):
         df = table.value
@@ -184,9 +188,9 @@ def _signatures(texts: DataFrame, table, bands: int, rows: int) -> DataFrame:
                 for j in range(rows):
                     keys = mix(keys ^ sig[:, j::rows].astype(np.uint64))
                 flat = lambda x, t: pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel(), t))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digest, pa.binary()), flat(sig.view(np.int32), pa.int32()), flat(keys.view(np.int64), pa.int64())], ["doc_id", "digest", "sig", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("body"), pa.array(digest, pa.binary()), flat(sig.view(np.int32), pa.int32()), flat(keys.view(np.int64), pa.int64())], ["doc_id", "body", "digest", "sig", "keys"])
 
-    return texts.mapInArrow(task, "doc_id long, digest binary, sig array<int>, keys array<long>")
+    return texts.mapInArrow(task, "doc_id long, body long, digest binary, sig array<int>, keys array<long>")
 
 
 def _agreeing(a: str, b: str, least: int) -> Column:
@@ -198,7 +202,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> Da
     `down` (weight b adds to a and lacks of it), `weight` of b, and `news`: the
     added shingles, least hash first, until they weigh more than a text similar
     to b can lack of it."""
-    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
     low = np.uint64((1 << (64 - _ROW)) - 1)
 
@@ -235,19 +239,19 @@ def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> Da
                     [part.column("a"), part.column("b"), pa.array((shared >= threshold * (shared + up + down)) & (shared > 0)), pa.array(up), pa.array(down), pa.array(shared + up), pa.array(news, pa.list_(pa.int64()))],
                     ["a", "b", "hit", "up", "down", "weight", "news"])
 
-    return both.mapInArrow(task, "a long, b long, hit boolean, up double, down double, weight double, news array<long>")
+    return both.mapInArrow(task, f"a {_NODE}, b {_NODE}, hit boolean, up double, down double, weight double, news array<long>")
 
 
 def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members(doc_id, node) puts equal word sequences
-    together under their smallest doc_id; links(a, b) joins similar nodes, as
-    many as the classes need."""
-    texts = documents.select(id_column(documents), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null")
+    """(members, links): members(doc_id, body, node), a row per document row,
+    puts equal word sequences together under their smallest (doc_id, body);
+    links(a, b) joins similar nodes, as many as the classes need."""
+    texts = documents.select(id_column(documents), F.coalesce("text", F.lit("")).alias("text")).where("doc_id is not null").withColumn("body", F.xxhash64("text"))
     table = texts.sparkSession.sparkContext.broadcast(document_frequencies(texts))
     signed = stored(_signatures(texts, table, bands, rows), "signatures")
-    nodes = signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
+    nodes = signed.groupBy("digest").agg(F.min(F.struct("doc_id", "body")).alias("node"), F.first("sig").alias("sig"), F.first("keys").alias("keys"))
     nodes = stored(nodes, "nodes")
-    members = stored(signed.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "node"), "members")
+    members = stored(signed.select("doc_id", "body", "digest").join(nodes.select("digest", "node"), "digest").select("doc_id", "body", "node"), "members")
     placed = nodes.where(F.exists("sig", lambda x: x != 0)).select("node", F.posexplode("keys").alias("band", "key"))
     bucket, least = ["band", "key"], (bands * rows + 1) // 2
     lead = placed.groupBy(*bucket).agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high").drop("high")
@@ -257,11 +261,11 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     inside = inside.join(sig, "node").join(sig.select(F.col("node").alias("a"), F.col("sig").alias("lead_sig")), "a")
     inside = stored(inside.withColumn("alike", _agreeing("sig", "lead_sig", least)).drop("lead_sig"), "buckets")
     pairs = inside.where("alike").select("a", F.col("node").alias("b"))
-    wanted = inside.select(F.explode(F.array("a", "node")).alias("doc_id")).distinct()
-    bodies = stored(texts.join(wanted, "doc_id", "left_semi"), "bodies")
+    wanted = inside.select(F.explode(F.array("a", "node")).alias("node")).distinct()
+    bodies = stored(texts.select(F.struct("doc_id", "body").alias("node"), "text").join(wanted, "node", "left_semi"), "bodies")
     facing = stored(_compared(pairs, bodies, table, threshold), "facing")
 
-    # Rows of one id with several texts give several comparisons: any counts.
+    # Equal rows of one id give several equal comparisons.
     info = inside.join(facing.withColumnRenamed("b", "node"), ["a", "node"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
     info = stored(info.select("a", "node", "sig", "bands", "hit", "up", "down", "weight", "news"), "members-of-buckets")
     side = lambda df, x: df.select("a", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "sig", "bands", "hit", "up", "down", "weight", "news")))
@@ -292,19 +296,31 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _classed(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """The members with `label`, the smallest node of their class."""
+    labels = components(edges).withColumnRenamed("label", "least")
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("least", "node")).drop("least")
+
+
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document row: doc_id, class_id (the smallest doc_id of its class) and kept."""
     members, edges = links(documents, threshold, bands, rows)
-    label = components(edges)
-    classes = members.join(label.withColumnRenamed("label", "class_id"), "node", "left").select("doc_id", F.coalesce("class_id", "node").alias("class_id"))
+    several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high")
+    of_one_id = members.join(several, "doc_id").where("node > a").select("a", F.col("node").alias("b")).distinct()
+    classes = _classed(members, edges.unionByName(of_one_id)).select("doc_id", F.col("label.doc_id").alias("class_id"))
     return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
 def one_per_class(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """The documents, one row of each class (that of its smallest doc_id; of
-    its rows, the one whose text hash is least); rows with a null doc_id stay."""
-    out = near_duplicates(documents, threshold, bands, rows).where("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    rest = documents.join(out, id_column(documents) == F.col("__id"), "left_anti")
-    turn = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    numbered = rest.withColumn("__turn", F.row_number().over(turn))
-    return numbered.where((F.col("__turn") == 1) | F.col("doc_id").isNull()).select(*(F.col(f"`{c}`") for c in documents.columns))
+    """The documents, one row of each class of similar texts (that of the
+    smallest doc_id; of its rows, the one whose text hash is least); rows with a
+    null doc_id stay."""
+    members, edges = links(documents, threshold, bands, rows)
+    out = _classed(members, edges).where(F.struct("doc_id", "body") != F.col("label"))
+    out = out.select(F.col("doc_id").alias("__id"), F.col("body").alias("__text")).distinct()
+    known = documents.withColumns({"__id": id_column(documents), "__text": F.xxhash64(F.coalesce("text", F.lit("")))})
+    rest = known.where("__id is not null").join(out, ["__id", "__text"], "left_anti")
+    turn = Window.partitionBy("__id", "__text").orderBy("__text")
+    one = rest.withColumn("__turn", F.row_number().over(turn)).where("__turn = 1")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    return one.select(*columns).unionByName(known.where("__id is null").select(*columns))
