@@ -86,3 +86,10 @@ def test_rank_codes_and_escape_are_a_distribution():
     model = lm.RankModel(a, b, *rare)
     total = (10 ** model.score).sum(1) + 10 ** model.escape
     assert (total <= 1 + 1e-9).all() and (total > 0.9).all()
+
+
+def test_slot_counts_grow_past_the_float32_integers(spark):
+    rows = [(0, b"zq", 1 << 24, 0)] + [(0, b"z" + bytes([97 + i]), 1, 0) for i in range(20)]
+    rare = spark.createDataFrame([(c, bytearray(w), a, b) for c, w, a, b in rows], "cls int, word binary, a long, b long").coalesce(1).sortWithinPartitions("a", ascending=False)
+    counts = lm.SpellModel._counts(rare)
+    assert counts[0, 1] + counts[1, 1] == (1 << 24) + 20  # the first bit of the first byte

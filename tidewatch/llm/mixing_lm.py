@@ -409,28 +409,29 @@ class SpellModel:
 
     @staticmethod
     def _counts(rare: DataFrame) -> np.ndarray:
-        """(4, SLOTS): zeros and ones seen in fold A, then in fold B."""
+        """(4, SLOTS): zeros and ones seen in fold A, then in fold B; summed
+        exactly and rounded to float32 once."""
         step = 1 << 16
 
         def task(batches):
-            counts = np.zeros(4 * SLOTS, np.float32)
+            counts = np.zeros(4 * SLOTS)  # whole numbers, exact below 2**53
             for (a, b), words, cls in _spelled(batches, ["a", "b"]):
                 slots, bit, _, _, owner = spell(words, cls)
                 for k, w in enumerate((a, b)):
-                    mass = w[owner].astype(np.float32)
+                    mass = w[owner].astype(float)
                     for row in slots:
                         np.add.at(counts, (2 * k + bit) * SLOTS + row, mass)
             seen = np.flatnonzero(counts)
             cut = np.searchsorted(seen, np.arange(0, 4 * SLOTS + step, step))
             parts = [(i, seen[x:y]) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([(x % step).astype("<u2").tobytes() for _, x in parts], pa.binary()), pa.array([counts[x].astype("<f4").tobytes() for _, x in parts], pa.binary())], ["part", "slots", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([(x % step).astype("<u2").tobytes() for _, x in parts], pa.binary()), pa.array([counts[x].astype("<f8").tobytes() for _, x in parts], pa.binary())], ["part", "slots", "counts"])
 
         def add(batches):
             sums: dict[int, np.ndarray] = {}
             for batch in batches:
                 for part, slots, n in zip(*(batch.column(c).to_pylist() for c in ("part", "slots", "counts"))):
-                    sums.setdefault(part, np.zeros(step, np.float32))[np.frombuffer(slots, "<u2")] += np.frombuffer(n, "<f4")
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "counts"])
+                    sums.setdefault(part, np.zeros(step))[np.frombuffer(slots, "<u2")] += np.frombuffer(n, "<f8")
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in sums.values()], pa.binary())], ["part", "counts"])
 
         out = np.zeros(-(-4 * SLOTS // step) * step, np.float32)
         few = rare.coalesce(max(1, rare.sparkSession.sparkContext.defaultParallelism))  # a count array each
