@@ -170,3 +170,46 @@ def op8_domain_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidewatch.llm.domain_mix import mix_rates
 
     return mix_rates(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from tidewatch.llm.alignment import align_tokenizers
+
+    return align_tokenizers(read(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
+@_query()
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from tidewatch.llm.packing import pack
+
+    return pack(read(spark, sf_dir, "documents"), path("byte_bpe_50k.json")).drop("ids")
+
+
+@_query("""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+             list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+      FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k FROM s WHERE label = own) WHERE k <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS k
+      FROM p JOIN s ON p.anchor_id = s.anchor_id
+      WHERE s.label <> s.own AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidewatch.llm.negatives import hard_negatives, labelled_vectors
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = labelled_vectors(read(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives(rows, rows.where("vec_id % 100 = 0"))
