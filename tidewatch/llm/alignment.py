@@ -8,7 +8,9 @@ A space-marked token is one whose first byte is a space. Where a space-marked
 token of A and one of B begin at the same byte, the tokens before both have just
 ended there: such verified anchors cut a document into windows, pairs of id
 tuples that are aligned on their own. Windows repeat, so their alignments are
-memoised by the pair of id tuples:
+memoised. An id tuple spells its bytes and the bytes give the tuple, so the memo
+is keyed by the bytes, a chunk of one or a few windows (tokens.py), which are at
+hand before any id is:
 
 - groups: the byte offsets where an A and a B token both end cut the window;
 - links: all pairs of an A and a B token occurrence whose byte ranges overlap.
@@ -22,9 +24,9 @@ id's highest count are all best; other columns are ignored; an empty table gives
 no rows.
 
 Scale: one pass tokenises and aligns. Ids are made once per distinct chunk of a
-worker (tokens.py: chunks end where a token of both vocabularies must begin, so
-chunk ends are anchors), the windows of a chunk are aligned when the chunk is
-first met, and a block of documents is then gathers and sums over chunk codes.
+worker (chunks end where a token of both vocabularies must begin, so chunk ends
+are anchors), the windows of new chunks are aligned all at once, and a block of
+documents is then gathers and sums over chunk codes.
 Each document keeps its distinct id pairs with their link numbers; the pass is
 written once. Counts of a pair are summed inside tasks before their shuffle and
 are at most (size of A) x (size of B) rows. They return to the documents in
@@ -36,7 +38,8 @@ shard the documents' partial sums are added up.
 from __future__ import annotations
 
 import hashlib
-from itertools import accumulate
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,125 +49,175 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.textkit import blocks, id_column, stored
-from tidewatch.llm.tokens import ChunkMemo, Lists, byte_level, byte_level_bytes, pieces
+from tidewatch.llm.tokens import ChunkMemo, Lists, byte_level_bytes, byte_level_lists, chunk_starts, pieces
 
 SHARD_PAIRS = 1 << 22
 FLUSH_PAIRS = 1 << 20
-WINDOWS_KEPT = 1 << 20
+ALIGN_BYTES = 4 << 20  # text of a block
 ALIGNED = "part int, row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary, links binary"
 _B_IDS = 1 << 24  # an id pair is a * _B_IDS + b
 
 
-def align(a_size: list[int], b_size: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(ends of the groups as (A tokens, B tokens) so far, links as (A index, B
-    index)) of two token rows over the same bytes, given their byte lengths."""
-    groups, links = [], []
-    a_end, b_end = list(accumulate(a_size)), list(accumulate(b_size))
-    i = j = 0
-    while i < len(a_end) and j < len(b_end):
-        links.append((i, j))
-        x, y = a_end[i], b_end[j]
-        i += x <= y
-        j += y <= x
-        if x == y:
-            groups.append((i, j))
-    return groups, links
-
-
-def window_starts(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
-    """(A index, B index) where both have a space-marked token at the same byte."""
-    at = {}
-    n = 0
-    for j, t in enumerate(b):
-        if t[:1] == b" ":
-            at[n] = j
-        n += len(t)
-    out, n = [], 0
-    for i, t in enumerate(a):
-        if t[:1] == b" " and n in at:
-            out.append((i, at[n]))
-        n += len(t)
-    return out if out[:1] == [(0, 0)] else [(0, 0), *out]
+def align(a_end: np.ndarray, b_end: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(group of each A token, group of each B token, A index and B index of each
+    link, last A token of each group) of two token rows over the same bytes,
+    given where each token ends and the anchors, offsets where both rows begin a
+    token: every window between two of them is aligned on its own.
+
+    Inside a window, two neighbouring ends of either row bound a piece of one A
+    and one B token, and two tokens that overlap share exactly one such piece."""
+    n = int(a_end[-1]) if len(a_end) else 0
+    in_a, in_b = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+    in_a[a_end], in_b[b_end] = True, True
+    shared = in_a & in_b
+    assert shared[anchors[anchors > 0]].all()  # an anchor is a verified shared end
+    before_a, before_b, cuts = np.cumsum(in_a), np.cumsum(in_b), np.cumsum(shared)
+    ends = np.flatnonzero(in_a | in_b)
+    return (cuts[a_end] - shared[a_end], cuts[b_end] - shared[b_end],
+            before_a[ends] - in_a[ends], before_b[ends] - in_b[ends], before_a[np.flatnonzero(shared)] - 1)
+
+
+def digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal text of 0..n-1: (bytes with room for a separator, lengths)."""
+    width = len(str(max(n - 1, 0)))
+    text = np.zeros((n, width + 1), np.uint8)
+    size = np.zeros(n, np.int64)
+    for i in range(n):
+        t = str(i).encode()
+        text[i, :len(t)] = list(t)
+        size[i] = len(t)
+    return text, size
+
+
+class Side:
+    """One vocabulary: its encoder, and the bytes, lengths and marks of its ids."""
+
+    def __init__(self, encode, table: list[bytes], joined: int):
+        self.encode, self.table, self.joined = encode, table, joined
+        self.size = np.array(list(map(len, table)), np.int64)
+        self.marked = np.array([t[:1] == b" " for t in table])
+
+    def tokens(self, texts: list[bytes], skip: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks, number of each). Neighbours that may be cut apart
+        again are encoded as one text; `skip`: bytes that the vocabulary adds
+        to the front of a text by itself."""
+        n = np.fromiter(map(len, texts), np.int64, len(texts))
+        buf = np.frombuffer(b"".join(texts), np.uint8)
+        at = np.cumsum(n) - n
+        joined = np.zeros(len(buf), bool)
+        joined[chunk_starts(buf, np.array([0, len(buf)]))] = True
+        new = np.flatnonzero(~joined[at] | (np.arange(len(at)) % self.joined == 0))
+        run_at = np.append(at[new], len(buf)).tolist()
+        raw = buf.tobytes()
+        ids = self.encode([raw[i + skip:j].decode() for i, j in zip(run_at, run_at[1:])])
+        count = np.zeros(len(texts), np.int64)
+        flat = np.array(list(chain.from_iterable(ids)), np.int64)
+        # Where every chunk's end is a token's end, the tokens go to their chunks.
+        ends = np.cumsum(self.size[flat])
+        if len(flat) and ends[-1] == len(buf):
+            last = np.searchsorted(ends, at + n)
+            if np.array_equal(ends[last], at + n):
+                return flat, np.diff(np.concatenate(([-1], last)))
+        out = []
+        bounds = [*new.tolist(), len(texts)]
+        for k, (i, j) in enumerate(zip(bounds, bounds[1:])):  # some texts are not spelled by their tokens
+            own = ids[k:k + 1] if j - i == 1 else self.encode([t[skip:].decode() for t in texts[i:j]])
+            out += own
+            count[i:j] = [len(x) for x in own]
+        return np.array(list(chain.from_iterable(out)), np.int64), count
+
+    def differ(self, ids: np.ndarray, n: np.ndarray, chunks: list[bytes]) -> np.ndarray:
+        """Which chunks their tokens' bytes do not spell."""
+        row = np.repeat(np.arange(len(n)), n)
+        want = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        wrong = np.bincount(row, weights=self.size[ids], minlength=len(n)).astype(np.int64) != want
+        sound = ~wrong
+        spelled = np.frombuffer(b"".join(map(self.table.__getitem__, ids[sound[row]].tolist())), np.uint8)
+        text = np.frombuffer(b"".join(chunks) if sound.all() else b"".join(c for c, ok in zip(chunks, sound) if ok), np.uint8)
+        wrong[np.flatnonzero(sound)[np.unique(np.repeat(np.arange(int(sound.sum())), want[sound])[spelled != text])]] = True
+        return wrong
 
 
 class Aligner:
     """Alignments of chunks, with their windows memoised by id tuples."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.encode_a, self.bytes_a = byte_level(a_path, special=False), byte_level_bytes(a_path)
-        self.encode_b, self.bytes_b = pieces(b_path)
+        encode_b, table_b = pieces(b_path)
+        # Calls cost more than text for A, long texts more than calls for B.
+        self.a, self.b = Side(byte_level_lists(a_path), byte_level_bytes(a_path), 2000), Side(encode_b, table_b, 1)
+        self.digits, self.digit_size = digits(max(len(self.a.table), len(self.b.table)))
         self.memo = ChunkMemo(self._reset, self._chunks)
 
     def _reset(self) -> None:
-        self.windows: dict = {}
-        self.pair_index: dict[int, int] = {}
         self.links = Lists()  # of each chunk: the pair index of each link
-        self.text: list[bytes] = []  # of each chunk: its groups
-        self.numbers: list[tuple[int, int, int, int]] = []  # n_a, n_b, n_groups, whether bytes agree
-        self._table = self._pairs = None
-
-    def _window(self, a: tuple, b: tuple):
-        got = self.windows.get((a, b))
-        if got is None:
-            groups, links = align([len(self.bytes_a[i]) for i in a], [len(self.bytes_b[i]) for i in b])
-            text, x, y = [], 0, 0
-            for i, j in groups:
-                text.append("%s|%s" % (",".join(map(str, a[x:i])), ",".join(map(str, b[y:j]))))
-                x, y = i, j
-            index = self.pair_index
-            got = ";".join(text).encode(), len(groups), [index.setdefault(a[i] * _B_IDS + b[j], len(index)) for i, j in links]
-            if len(self.windows) >= WINDOWS_KEPT:
-                self.windows.clear()
-            self.windows[a, b] = got
-        return got
+        self.text: list[bytes] = []  # of each chunk: its groups, each with a closing ";"
+        self.table = np.zeros((0, 4), np.int64)  # of each chunk: n_a, n_b, n_groups, whether its bytes agree
+        self.pairs = np.zeros(0, np.int64)
+        self.pair_at: dict[int, int] = {}
 
     def _chunks(self, new: list[bytes]) -> None:
-        texts = [c.decode() for c in new]
-        all_links = []
-        for chunk, a, b in zip(new, self.encode_a(texts), self.encode_b([t[1:] for t in texts])):
-            a_bytes, b_bytes = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            if b"".join(a_bytes) != chunk or b"".join(b_bytes) != chunk:
-                self.numbers.append((0, 0, 0, 0))
-                self.text.append(b"")
-                all_links.append([])
-                continue
-            starts = window_starts(a_bytes, b_bytes)
-            ends = [*starts[1:], (len(a), len(b))]
-            got = [self._window(tuple(a[i:k]), tuple(b[j:m])) for (i, j), (k, m) in zip(starts, ends)]
-            self.numbers.append((len(a), len(b), sum(g[1] for g in got), 1))
-            self.text.append(b";".join(g[0] for g in got))
-            all_links.append([p for g in got for p in g[2]])
-        self.links.add(all_links)
-        self._table = self._pairs = None
-
-    def table(self) -> np.ndarray:
-        if self._table is None:
-            self._table = np.array(self.numbers, np.int64).reshape(-1, 4)
-        return self._table
-
-    def pairs(self) -> np.ndarray:
-        if self._pairs is None or len(self._pairs) != len(self.pair_index):
-            self._pairs = np.fromiter(self.pair_index, np.int64, len(self.pair_index))
-        return self._pairs
+        """Tokenise new chunks and align them, window by window, all at once."""
+        a, n_a = self.a.tokens(new, 0)
+        b, n_b = self.b.tokens(new, 1)
+        wrong = self.a.differ(a, n_a, new) | self.b.differ(b, n_b, new)
+        if wrong.any():
+            a, b = a[np.repeat(~wrong, n_a)], b[np.repeat(~wrong, n_b)]
+            n_a, n_b = np.where(wrong, 0, n_a), np.where(wrong, 0, n_b)
+        # Byte positions run on over all chunks, the same for A and B.
+        size_a, size_b = self.a.size[a], self.b.size[b]
+        end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+        anchor = np.zeros(int(end_a[-1]) + 1 if len(end_a) else 1, bool)
+        anchor[(end_a - size_a)[self.a.marked[a]]] = True
+        both = np.zeros(len(anchor), bool)
+        both[(end_b - size_b)[self.b.marked[b]]] = True
+        anchor &= both
+        group_a, group_b, link_a, link_b, bound = align(end_a, end_b, np.flatnonzero(anchor))
+        row_a, row_b = np.repeat(np.arange(len(new)), n_a), np.repeat(np.arange(len(new)), n_b)
+        n_groups = np.bincount(row_a[bound], minlength=len(new))
+        self.table = np.concatenate((self.table, np.stack([n_a, n_b, n_groups, ~wrong], axis=1)))
+        self.links.add_flat(self._pair_index(a[link_a] * _B_IDS + b[link_b]), np.bincount(row_a[link_a], minlength=len(new)))
+        # Text: of each group its A ids, then its B ids, each id with what follows it.
+        total, groups = len(a) + len(b), int(n_groups.sum())
+        in_a, in_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
+        at_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
+        at_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
+        ids, after = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
+        ids[at_a], ids[at_b] = a, b
+        after[at_a[np.cumsum(in_a) - 1]] = ord("|")
+        after[at_b[np.cumsum(in_b) - 1]] = ord(";")
+        text, size = self.digits[ids], self.digit_size[ids]
+        text[np.arange(total), size] = after
+        flat = text[np.arange(text.shape[1]) <= size[:, None]].tobytes()
+        end = np.concatenate(([0], np.cumsum(size + 1)))[np.cumsum(n_a + n_b)].tolist()
+        self.text += [flat[i:j] for i, j in zip([0, *end], end)]
+
+    def _pair_index(self, pairs: np.ndarray) -> np.ndarray:
+        distinct, at = np.unique(pairs, return_inverse=True)
+        known = self.pair_at
+        fresh = [p for p in distinct.tolist() if p not in known]
+        for p in fresh:
+            known[p] = len(known)
+        self.pairs = np.concatenate((self.pairs, np.array(fresh, np.int64)))
+        return np.fromiter(map(known.__getitem__, distinct.tolist()), np.int64, len(distinct))[at]
 
     def documents(self, buf: np.ndarray, offs: np.ndarray):
         """(n_a, n_b, n_groups, n_links, digest, pairs, links of each pair) of each row of a block."""
         codes, first = self.memo.codes(buf, offs)
         n_docs = len(offs) - 1
         row = np.repeat(np.arange(n_docs), np.diff(first))
-        table = self.table()[codes]
+        table = self.table[codes]
         good = np.ones(n_docs, bool)
         good[row[table[:, 3] == 0]] = False
         n = [np.bincount(row, weights=table[:, k], minlength=n_docs).astype(np.int64) * good for k in range(3)]
         n_links = np.bincount(row, weights=self.links.size(codes), minlength=n_docs).astype(np.int64) * good
-        # Links of each (document, pair): over distinct (document, chunk) first.
-        key, times = np.unique(row * max(len(self.text), 1) + codes, return_counts=True)
-        doc, code = key // max(len(self.text), 1), key % max(len(self.text), 1)
-        size = self.links.size(code)
-        pairs = max(len(self.pair_index), 1)
-        key, at = np.unique(np.repeat(doc, size) * pairs + self.links.take(code), return_inverse=True)
-        links = np.bincount(at, weights=np.repeat(times, size), minlength=len(key)).astype(np.int32)
-        doc, pair = key // pairs, self.pairs()[key % pairs] if len(key) else key
+        # Links of each (document, pair).
+        pairs = max(len(self.pairs), 1)
+        key = np.repeat(row, self.links.size(codes)) * pairs + self.links.take(codes)
+        key.sort()
+        begin = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), np.diff(key) != 0)))
+        links = np.diff(np.append(begin, len(key))).astype(np.int32)
+        key = key[begin]
+        doc, pair = key // pairs, self.pairs[key % pairs] if len(key) else key
         bound = np.searchsorted(doc, np.arange(n_docs + 1))
         text, code_list = self.text, codes.tolist()
         for i in range(n_docs):
@@ -172,23 +225,29 @@ class Aligner:
             if not good[i] or a == b:
                 yield 0, 0, 0, 0, "", b"", b""
                 continue
-            digest = hashlib.sha256(b";".join([text[c] for c in code_list[a:b]])).hexdigest()
+            digest = hashlib.sha256(b"".join([text[c] for c in code_list[a:b]])[:-1]).hexdigest()
             x, y = bound[i], bound[i + 1]
             yield int(n[0][i]), int(n[1][i]), int(n[2][i]), int(n_links[i]), digest, pair[x:y].tobytes(), links[x:y].tobytes()
 
 
+@cache
+def aligner(a_path: str, b_path: str) -> Aligner:
+    """One aligner a worker process, kept between its tasks."""
+    return Aligner(a_path, b_path)
+
+
 def aligned(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Of each document: token, group and link numbers, the digest of its groups,
     and its distinct id pairs with their links; written to the shared folder."""
 
     def task(batches):
-        aligner = Aligner(a_path, b_path)
+        mine = aligner(a_path, b_path)
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             text = pc.fill_null(batch.column("text"), "")
             spaced = pc.if_else(pc.equal(pc.binary_length(text), 0), text, pc.binary_join_element_wise("", text, " "))
-            for rows, buf, offs in blocks(pa.RecordBatch.from_arrays([batch.column("doc_id"), spaced], ["doc_id", "text"])):
-                out = list(zip(*aligner.documents(buf, offs)))
+            for rows, buf, offs in blocks(pa.RecordBatch.from_arrays([batch.column("doc_id"), spaced], ["doc_id", "text"]), limit=ALIGN_BYTES):
+                out = list(zip(*mine.documents(buf, offs)))
                 n = rows.num_rows
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()), rows.column("doc_id"),

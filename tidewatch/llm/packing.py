@@ -20,7 +20,7 @@ others; rows without a doc_id, repeated ids and repeated rows are documents of
 their own; an empty table gives no rows; other columns are ignored. Special
 tokens' strings become their ids, as the vocabulary file says.
 
-Scale: one pass tokenises (tokens.py), numbers the pieces of each length inside
+Scale: one pass tokenises, numbers the pieces of each length inside
 its task and writes them; the counts by (task, length) give each task its place
 in the order of a length, so a length that a third of all documents have is
 spread over all tasks. The plan is made on the driver from at most `capacity`
@@ -40,10 +40,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.textkit import blocks, id_column, stored
-from tidewatch.llm.tokens import ChunkMemo, Lists, byte_level
+from tidewatch.llm.tokens import byte_level
 
 CAPACITY = 1024
 END = 0
+_NONE = np.zeros(0, np.uint32)
 _PIECE = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, part int, place long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -140,26 +141,19 @@ def token_pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, keep
     ids too, not remainders only."""
 
     def task(batches):
-        encode = byte_level(path, special=True)
-        ids = Lists()
+        encode = byte_level(path)
         part = TaskContext.get().partitionId()
         placed = np.zeros(capacity + 1, np.int64)
-
-        def reset():
-            ids.__init__()
-
-        memo = ChunkMemo(reset, lambda new: ids.add(encode([c.decode() for c in new])))
         for batch in batches:
-            for rows, buf, offs in blocks(batch):
-                codes, first = memo.codes(buf, offs)
-                n = np.concatenate(([0], np.cumsum(ids.size(codes))))[first]
-                n_docs = len(offs) - 1
-                size = np.diff(n) + 1
+            for rows, _, _ in blocks(batch):
+                ids = [encode(t) if t else _NONE for t in rows.column("text").to_pylist()]
+                size = np.fromiter(map(len, ids), np.int64, len(ids)) + 1
+                n_docs = len(ids)
                 begin = np.cumsum(size) - size
                 tokens = np.full(int(size.sum()), END, np.uint32)
                 body = np.ones(len(tokens), bool)
                 body[begin + size - 1] = False
-                tokens[body] = ids.take(codes)
+                tokens[body] = np.concatenate(ids)
                 pieces = -(-size // capacity)
                 doc = np.repeat(np.arange(n_docs), pieces)
                 start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
