@@ -209,3 +209,30 @@ def test_folder_without_a_day_is_found_by_any_run(spark):
     odd = documents(spark, "2024-01-01", ["odd"]).withColumn("month", F.lit(13))
     land_raw(odd, raw)
     assert run_ioc_refresh(spark, raw, table).changed and read_iocs(spark, table).count() == 2
+
+
+def test_typed_explode_keeps_the_types_of_further_fields(spark):
+    from tidewatch.operators.iocs import explode_raw_typed
+
+    texts = ['{"ioc":"a","asn":{"id":7,"names":["x",null]},"note":"x","confidence_level":5,"tags":["t"],"is_compromised":true,"z":null}',
+             '{"ioc":"b","confidence_level":"9.9","tags":[]}', "no json", "[1]", None, "{}", '{"ioc":{"deep":1},"tags":"one","b":1.50,"a":false}']
+    raw = spark.createDataFrame([("ok", texts), ("none", None), ("none", [])], "query_status string, data array<string>")
+    got = explode_raw_typed(raw).collect()
+    assert len(got) == len(texts)
+    a, b, *nothing, odd = got
+    assert (a.ioc, a.confidence_level, a.tags, a.is_compromised) == ("a", "5", ["t"], True)
+    assert a.extra == '{"asn":{"id":7,"names":["x",null]},"note":"x"}' and (b.confidence_level, b.tags, b.extra) == ("9.9", [], None)
+    assert all(all(v is None for v in r) for r in nothing)
+    assert odd.tags is None and odd.extra == '{"a":false,"b":1.5}'
+
+
+def test_both_explodes_clean_to_the_same_rows(spark):
+    from tidewatch.operators.iocs import explode_raw_typed
+    from tidewatch.sources import fixtures as fx
+    from tidewatch.sources.iocs import read_raw
+
+    base = work_dir(spark, "test-raw")
+    land_raw(fx.raw_documents(spark, "/root/testdata/sf0.001"), base)
+    raw = read_raw(spark, base)
+    one, two = (sorted(map(repr, clean_iocs(f(raw)).collect())) for f in (explode_raw, explode_raw_typed))
+    assert one == two and len(one) > 20

@@ -6,6 +6,8 @@
     python -m tidewatch.jobs detect --table T --files IN --sink OUT --once
     python -m tidewatch.jobs scan --table T --logs ARCHIVE --out OUT
     python -m tidewatch.jobs documents --kind logs --files IN --out OUT --once
+    python -m tidewatch.jobs documents --upsert --kind logs --files IN --out OUT --once
+    python -m tidewatch.jobs follow --raw RAW --table IOCS
     python -m tidewatch.jobs land --pulls PULLED --raw RAW --day 2024-01-31
 
 Checkpoints default to a per-query folder under `spark.checkpoint.dir`.
@@ -20,11 +22,14 @@ from pyspark.sql import SparkSession
 
 from tidewatch.operators.detect import SALT_BUCKETS, alerts
 from tidewatch.plans.ioc_refresh import run_ioc_refresh
+from tidewatch.plans.landing import BUCKETS, follow_landing
 from tidewatch.session import checkpoint_root
 from tidewatch.sinks.outputs import land_pulls
 from tidewatch.sources.iocs import read_iocs
 from tidewatch.sources.logs import DETECTOR_FIELDS, file_stream, kafka_stream, read_logs
 from tidewatch.streaming.detection import REDELIVERY, REFRESH_SECONDS, TRIGGER, run_detection, start_documents
+from tidewatch.streaming.documents import start_upserts
+from tidewatch.streaming.metrics import DropReport
 
 #: State stores commit a file per partition and trigger: far fewer than a
 #: batch shuffle has.
@@ -40,6 +45,13 @@ def parse(argv=None) -> argparse.Namespace:
     r.add_argument("--shift-hours", type=int, default=3)
     r.add_argument("--skip-marker-day", action="store_true", help="do not look for files that landed late in the last merged day")
     r.add_argument("--keep-snapshots", type=int, default=None, help="delete snapshots older than the latest N")
+    f = sub.add_parser("follow", help="merge landed raw files that no run has merged yet, whatever day they belong to")
+    f.add_argument("--raw", required=True)
+    f.add_argument("--table", required=True)
+    f.add_argument("--shift-hours", type=int, default=3)
+    f.add_argument("--buckets", type=int, default=BUCKETS, help="hash buckets of a new table")
+    f.add_argument("--max-files", type=int, default=None, help="files of a micro-batch")
+    f.add_argument("--checkpoint", help="progress folder (default: in the table's folder)")
     w = sub.add_parser("land", help="land pulled payload files (one JSON document each) under a day of the raw area")
     w.add_argument("--pulls", required=True)
     w.add_argument("--raw", required=True)
@@ -47,6 +59,7 @@ def parse(argv=None) -> argparse.Namespace:
     c = sub.add_parser("documents", help="copy a log or alert stream into a document table")
     c.add_argument("--kind", choices=("logs", "alerts"), required=True)
     c.add_argument("--out", required=True)
+    c.add_argument("--upsert", action="store_true", help="store each key once for any delay (no horizon, no state)")
     c.add_argument("--horizon", default=REDELIVERY, help="event time within which redelivered records are dropped")
     b = sub.add_parser("scan", help="run the detectors over a landed log archive (batch)")
     b.add_argument("--table", required=True, help="clean indicator table")
@@ -56,6 +69,8 @@ def parse(argv=None) -> argparse.Namespace:
     d.add_argument("--table", required=True, help="clean indicator table")
     d.add_argument("--alerts-topic", help="alert topic (Kafka sink)")
     d.add_argument("--sink", help="alert table folder (file sink)")
+    d.add_argument("--one-scan", action="store_true", help="one read and one state store for all detectors; IOC alerts up to a minute later")
+    d.add_argument("--report-drops", action="store_true", help="print what each micro-batch drops (needs --one-scan)")
     d.add_argument("--refresh-seconds", type=float, default=REFRESH_SECONDS)
     for x in (b, d):
         x.add_argument("--approx", action="store_true", help="approximate distinct port counts")
@@ -88,6 +103,10 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         res = run_ioc_refresh(spark, args.raw, args.table, args.shift_hours, not args.skip_marker_day, args.keep_snapshots)
         print(f"refresh: changed={res.changed} version={res.version} marker={res.marker}")
         return
+    if args.job == "follow":
+        done = follow_landing(spark, args.raw, args.table, args.checkpoint, args.buckets, args.max_files, args.shift_hours)
+        print(f"follow: documents={done.documents} indicators={done.indicators} without_ioc={done.without_ioc} buckets_written={sum(done.buckets_written)}")
+        return
     if args.job == "land":
         land_pulls(spark, args.pulls, args.raw, args.day)
         return
@@ -104,7 +123,10 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     source = _source(args)
     if args.job == "documents":
-        q = start_documents(source(spark), args.kind, checkpoint, args.out, trigger, args.horizon)
+        if args.upsert:
+            q = start_upserts(source(spark), args.kind, checkpoint, args.out, trigger)
+        else:
+            q = start_documents(source(spark), args.kind, checkpoint, args.out, trigger, args.horizon)
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
@@ -113,9 +135,11 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         fmt, path, options = "kafka", None, {"kafka.bootstrap.servers": args.kafka_servers, "topic": args.alerts_topic}
     else:
         fmt, path, options = "parquet", args.sink, None
+    if args.report_drops:
+        spark.streams.addListener(DropReport())
     run_detection(spark, source, args.table, checkpoint, fmt, path, options, trigger,
                   args.refresh_seconds, cycles=1 if args.once else None, exact=not args.approx,
-                  salt_buckets=args.salt_buckets, strict_keys=args.strict_keys)
+                  salt_buckets=args.salt_buckets, strict_keys=args.strict_keys, one_scan=args.one_scan)
 
 
 if __name__ == "__main__":

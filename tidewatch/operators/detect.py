@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import alert_id, empty_strings, normal_value, sorted_set
 from tidewatch.operators.iocs import MatchKeys, prepared_keys
+from tidewatch.operators.prefilter import key_bitmap, likely_matches
 from tidewatch.schemas import ALERT_SCHEMA
 
 # Alert type names and severities.
@@ -87,7 +88,13 @@ def pair_activity(
         aggs.append(F.sum("orig_bytes").alias("total_bytes"))
     g = df.groupBy(F.window("ts", t.pair_window).alias("window"), "id_orig_h", "id_resp_h").agg(*aggs)
 
-    ts = _alert_ts(alert_ts)
+    candidates = _pair_candidates(kinds, t, _alert_ts(alert_ts))
+    return conform_alerts(g.select(F.inline(F.array_compact(F.array(*candidates)))))
+
+
+def _pair_candidates(kinds: tuple[str, ...], t: Thresholds, ts: Column) -> list[Column]:
+    """Alert structs (null where there is no alert) of a group with the columns
+    window, id_orig_h, id_resp_h, first, port_count and total_bytes."""
 
     def alert(alert_type: str, severity: Column, log_uid: Column, tags: Column) -> Column:
         return F.struct(
@@ -123,7 +130,7 @@ def pair_activity(
             F.array(F.lit("data_exfiltration"),
                     F.concat_ws(":", F.lit("data_exfiltration_mb"), (b / 1_000_000).cast("string"))),
         )))
-    return conform_alerts(g.select(F.inline(F.array_compact(F.array(*candidates)))))
+    return candidates
 
 
 def port_scan(df: DataFrame, exact: bool = True, t: Thresholds = DEFAULT, alert_ts: Column | None = None) -> DataFrame:
@@ -211,6 +218,7 @@ def ioc_match(
     dedup: bool | None = None,
     keys: MatchKeys | None = None,
     salt_buckets: int = SALT_BUCKETS,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Alert per (5-second window, uid) whose log rows hit an indicator.
 
@@ -222,12 +230,17 @@ def ioc_match(
     them join the few alert rows afterwards. Every aggregate is
     duplicate-insensitive, so batch runs skip the dedup shuffle without
     changing the result; streams dedup the (few) hits. `keys` takes prepared
-    indicators (a stream reuses one per run).
+    indicators (a stream reuses one per run). `prefilter` drops most log values
+    that no indicator names before they are shuffled, by a broadcast bitmap of
+    the keys of bounded size (operators/prefilter.py); it applies where the keys
+    themselves are too large to broadcast.
     """
     if keys is None:
         keys = prepared_keys(iocs, strict_keys, broadcast_limit)
     cand = match_values(df, keys.strict)
     side = keys.table.select("ioc_for_match", "score", "compromised")
+    if prefilter and not keys.small:
+        cand = likely_matches(cand, "match_value", key_bitmap(side, "ioc_for_match"))
     if keys.small:
         hit = cand.join(F.broadcast(side), cand["match_value"] == side["ioc_for_match"])
     elif salt_buckets > 1:
@@ -259,12 +272,18 @@ def ioc_match(
         F.min("first").alias("first"), F.max("score").alias("score"), F.bool_or("compromised").alias("compromised"),
         *(F.flatten(F.collect_set(c)).alias(c) for c in ("ioc_values", "reporters", "tag_list")),
     )
-    return conform_alerts(a.select(
-        alert_id(IOC_MATCH, "window", "uid").alias("alert_id"),
+    return conform_alerts(a.select(*_ioc_columns(F.col("window"), _alert_ts(alert_ts))))
+
+
+def _ioc_columns(window: Column, ts: Column) -> list[Column]:
+    """Alert columns of a group with the columns uid, first, score, compromised,
+    ioc_values, reporters and tag_list."""
+    return [
+        alert_id(IOC_MATCH, window, "uid").alias("alert_id"),
         F.col("uid").alias("log_uid"),
         F.lit(IOC_MATCH).alias("alert_type"),
         F.when(F.col("compromised"), HIGH).otherwise(MEDIUM).alias("severity"),
-        _alert_ts(alert_ts).alias("alert_ts"),
+        ts.alias("alert_ts"),
         F.col("first.ts").alias("event_ts"),
         F.col("first.orig_ip").alias("orig_ip"),
         F.col("first.resp_ip").alias("resp_ip"),
@@ -272,7 +291,7 @@ def ioc_match(
         sorted_set("reporters").alias("ioc_source"),
         sorted_set("ioc_values").alias("ioc_value"),
         sorted_set("tag_list").alias("tags"),
-    ))
+    ]
 
 
 def alerts(
@@ -295,3 +314,82 @@ def alerts(
     return ioc_match(df, iocs, t, ts, strict_keys, broadcast_limit, keys=keys, salt_buckets=salt_buckets).unionByName(
         pair_activity(df, ("scan", "exfil"), exact, t, ts)
     )
+
+
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _micros(duration: str) -> int:
+    """Microseconds of a window length such as "5 seconds"."""
+    n, unit = duration.split()
+    return int(n) * _UNITS[unit.rstrip("s")] * 1_000_000
+
+
+def alerts_one_scan(
+    df: DataFrame,
+    iocs: DataFrame | None,
+    exact: bool = True,
+    t: Thresholds = DEFAULT,
+    alert_ts: Column | None = None,
+    broadcast_limit: int | None = None,
+    keys: MatchKeys | None = None,
+    salt_buckets: int = SALT_BUCKETS,
+    strict_keys: bool = False,
+) -> DataFrame:
+    """The alerts of `alerts`, from one read of the input and one aggregation.
+
+    A log row fans out into a row for its (orig, resp) pair and one for each
+    value that an indicator may name; the values that no indicator names fall
+    out at the join. All rows are then grouped by (pair window, kind, key, IOC
+    window): a stream keeps one state store in place of three and reads each
+    micro-batch once. IOC windows must divide the pair window. The price on a
+    stream: an IOC group closes with its pair window, so such an alert may come
+    up to a pair window later than from `alerts`. Late hits count while that
+    window is open; repeated rows change no IOC alert.
+    """
+    slot = _micros(t.ioc_window)
+    if _micros(t.pair_window) % slot:
+        raise ValueError(f"windows of {t.ioc_window} do not divide windows of {t.pair_window}")
+    keys = keys or prepared_keys(iocs, strict_keys, broadcast_limit)
+    values = F.concat(F.array("id_resp_h", "query", "host"), F.coalesce("answers", empty_strings()))
+    if keys.strict:
+        values = F.transform(values, normal_value)
+    pair = F.struct(F.lit(True).alias("pair"), F.lit(None).cast("string").alias("value"))
+    named = F.transform(F.array_distinct(F.array_compact(values)), lambda v: F.struct(F.lit(False).alias("pair"), v.alias("value")))
+    fan = df.select("uid", "ts", "id_orig_h", "id_resp_h", "id_resp_p", "orig_bytes", F.inline(F.concat(F.array(pair), named)))
+    side = keys.table.select("ioc_for_match", "score", "compromised", F.struct("ioc_values", "reporters", "tag_list").alias("lists"))
+    if keys.small:
+        rows = fan.join(F.broadcast(side), F.col("value") == F.col("ioc_for_match"), "left")
+    else:
+        # Pair rows, which match nothing, get values of their own, so that they
+        # spread; a match value is split `salt_buckets` ways.
+        spread = F.coalesce("value", F.concat(F.lit("\0"), F.xxhash64("uid", "ts", "id_resp_p").cast("string")))
+        salted = fan.withColumns({"_value": spread, "_salt": F.pmod(F.xxhash64("uid", "ts"), F.lit(salt_buckets)).cast("int")})
+        fanned = side.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        rows = salted.join(fanned, (F.col("_value") == F.col("ioc_for_match")) & (F.col("_salt") == F.col("_of")), "left")
+    rows = rows.where(F.col("pair") | F.col("ioc_for_match").isNotNull())
+    mine, hit = F.col("pair"), ~F.col("pair")
+    micros = F.unix_micros("ts")
+    g = rows.groupBy(
+        F.window("ts", t.pair_window).alias("window"), "pair",
+        F.when(mine, F.col("id_orig_h")).alias("id_orig_h"), F.when(mine, F.col("id_resp_h")).alias("id_resp_h"),
+        F.when(hit, F.col("uid")).alias("uid"), F.when(hit, micros - F.pmod(micros, F.lit(slot))).alias("slot"),
+    ).agg(
+        F.min(F.when(mine, F.struct("ts", "uid"))).alias("pair_first"),
+        (F.size(F.collect_set(F.when(mine, F.col("id_resp_p")))) if exact else F.approx_count_distinct(F.when(mine, F.col("id_resp_p")))).alias("port_count"),
+        F.sum(F.when(mine, F.col("orig_bytes"))).alias("total_bytes"),
+        F.min(F.when(hit, F.struct("ts", F.col("id_resp_h").alias("resp_ip"), F.col("id_orig_h").alias("orig_ip")))).alias("hit_first"),
+        F.collect_set(F.when(hit, F.col("lists"))).alias("lists"),
+        F.max("score").alias("score"),
+        F.bool_or("compromised").alias("compromised"),
+    )
+    at = _alert_ts(alert_ts)
+    of_pairs = g.select("*", F.col("pair_first").alias("first"))
+    pairs = [F.when(mine, c).alias(f"_{i}") for i, c in enumerate(_pair_candidates(("scan", "exfil"), t, at))]
+    flat = of_pairs.select("*", *pairs).withColumns({
+        "first": F.col("hit_first"),
+        **{c: F.flatten(F.col(f"lists.{c}")) for c in ("ioc_values", "reporters", "tag_list")},
+    })
+    window = F.struct(F.timestamp_micros("slot").alias("start"))
+    found = F.when(hit, F.struct(*_ioc_columns(window, at)))
+    return conform_alerts(flat.select(F.inline(F.array_compact(F.array(*(F.col(f"_{i}") for i in range(len(pairs))), found)))))

@@ -92,6 +92,23 @@ def explode_raw(raw: DataFrame) -> DataFrame:
     return one.select(*entry, F.nullif(extra, F.lit("{}")).alias("extra"), *keep)
 
 
+def explode_raw_typed(raw: DataFrame) -> DataFrame:
+    """`explode_raw` from one parse of each indicator (its JSON text in `data`),
+    into a map of VARIANT values: declared fields are taken out of it with their
+    types, and `extra` is the JSON object of all other fields, in which numbers,
+    lists and objects keep their types. A field of another type than declared is
+    cast where that is possible, else null; text that is no JSON object gives a
+    row of nulls."""
+    keep = [c for c in ("year", "month", "day", "folder_date") if c in raw.columns]
+    one = raw.select(F.explode("data").alias("_e"), *keep)
+    one = one.select(F.from_json("_e", "map<string,variant>").alias("_m"), *keep)
+    entry = [F.try_variant_get(F.try_element_at("_m", F.lit(f.name)), "$", f.dataType.simpleString()).alias(f.name) for f in RAW_IOC_ENTRY.fields]
+    more = F.map_filter("_m", lambda k, v: ~k.isin(*_DECLARED) & ~F.is_variant_null(v))
+    ordered = F.map_from_entries(F.transform(F.array_sort(F.map_keys(more)), lambda k: F.struct(k.alias("key"), F.element_at(more, k).alias("value"))))
+    extra = F.nullif(F.to_json(ordered), F.lit("{}"))
+    return one.select(*entry, extra.alias("extra"), *keep)
+
+
 def clean_iocs(entries: DataFrame, shift_hours: int = FEED_SHIFT_HOURS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Normalise flat raw indicators into `CLEAN_IOC_SCHEMA`.
 

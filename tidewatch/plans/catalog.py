@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.operators import detect, enrich
+from tidewatch.functions.columns import alert_id
+from tidewatch.operators import detect, enrich, sketches
 from tidewatch.operators import iocs as ops
 from tidewatch.operators.iocs import with_match_key
+from tidewatch.operators.prefixes import with_segment
 from tidewatch.plans.checkable import checkable, sql_text
 from tidewatch.plans.ioc_refresh import run_ioc_refresh
+from tidewatch.plans.landing import follow_landing
 from tidewatch.schemas import CLEAN_IOC_SCHEMA, WIDE_SCHEMA
 from tidewatch.session import work_dir
 from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts, land_raw, log_documents
 from tidewatch.sources import fixtures as fx
 from tidewatch.sources.iocs import read_iocs, read_raw
 from tidewatch.sources.logs import conform_wide, decode_logs, encode_logs
-from tidewatch.streaming.feed import replay_alerts, replay_documents, replay_through
+from tidewatch.streaming.feed import event_bounds, replay_alerts, replay_documents, replay_drops, replay_through, replay_upserts, write_closing
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -301,6 +304,14 @@ def q_raw_explode(spark, sf):
     return ops.explode_raw(fx.raw_documents(spark, sf))
 
 
+@register("raw_explode_typed", _with(fx.RAW_IOCS_SQL) + f"SELECT {_ENTRY_SQL}, {_YMD_SQL} FROM raw_iocs")
+def q_raw_explode_typed(spark, sf):
+    """The landed feed, each indicator parsed once into VARIANT values."""
+    base = work_dir(spark, "raw")
+    land_raw(fx.raw_documents(spark, sf), base)
+    return ops.explode_raw_typed(read_raw(spark, base)).drop("folder_date")
+
+
 @register("clean_iocs", _with(fx.RAW_IOCS_SQL, CLEAN_CTE) + f"SELECT {_CLEAN_OUT_SQL} FROM clean")
 def q_clean_iocs(spark, sf):
     return ops.clean_iocs(_entries(spark, sf))
@@ -359,6 +370,26 @@ def q_ioc_refresh_job(spark, sf):
     return read_iocs(spark, table)
 
 
+# The landing area as a file stream: day 2 lands first, days 3 and 4 next, and
+# day 1 last, three days late. An id keeps the row of its first merge.
+_LANDED_SQL = _with(fx.RAW_IOCS_SQL, CLEAN_CTE) + f"SELECT {_CLEAN_OUT_SQL} FROM (" + _fold_sql(
+    f"SELECT {_CLEAN_COLS_SQL}, CASE day(folder_date) WHEN 2 THEN 0 WHEN 1 THEN 2 ELSE 1 END AS _src FROM clean") + ")"
+
+
+@register("ioc_landing_stream", _LANDED_SQL)
+def q_ioc_landing_stream(spark, sf):
+    """The refresh that follows files: each run merges the files that landed
+    since, whatever day they belong to, and rewrites only the buckets that
+    change; a run without new files commits nothing."""
+    raw, table = work_dir(spark, "raw"), work_dir(spark, "iocs")
+    docs = fx.raw_documents(spark, sf)
+    for days in ((2,), (3, 4), (1,), ()):
+        if days:
+            land_raw(docs.filter(F.col("day").isin(*days)), raw)
+        follow_landing(spark, raw, table)
+    return read_iocs(spark, table)
+
+
 # --------------------------------------------------------- dedup, documents
 
 
@@ -562,3 +593,134 @@ def q_stream_alert_documents(spark, sf):
     """The alert-document copy stream over every alert record delivered twice."""
     records = alert_json(detect.alerts(fx.net(spark, sf), fx.iocs(spark, sf))).select("value")
     return replay_documents(spark, records.unionByName(records), "alerts")
+
+
+@register("stream_log_upserts", REGISTRY["stream_log_documents"].sql)
+def q_stream_log_upserts(spark, sf):
+    """The keyed copy of log records, every record delivered again by a later
+    run, and the last micro-batch repeated: each document is stored once."""
+    records = encode_logs(fx.net(spark, sf))
+    broken = fx.table(spark, sf, "region").select(F.concat(F.lit("not json "), "r_name").alias("value"))
+    delivery = records.unionByName(broken)
+    return replay_upserts(spark, [delivery, delivery.unionByName(delivery)], "logs")
+
+
+@register("stream_alert_upserts", "SELECT alert_id AS doc_id, * FROM (" + _ALERTS_SQL + ")")
+def q_stream_alert_upserts(spark, sf):
+    """The keyed copy of alerts, computed again (with another processing time)
+    and delivered again by a later run."""
+    logs, iocs = fx.net(spark, sf), fx.iocs(spark, sf)
+    at = [alert_json(detect.alerts(logs, iocs, alert_ts=F.lit(f"2024-02-0{day}").cast("timestamp"))) for day in (1, 2)]
+    return replay_upserts(spark, at, "alerts")
+
+
+@register("alerts_one_scan", _ALERTS_SQL)
+def q_alerts_one_scan(spark, sf):
+    """All detectors from one read of the logs and one aggregation."""
+    return detect.alerts_one_scan(fx.net(spark, sf), fx.iocs(spark, sf))
+
+
+@register("stream_alerts_one_scan", _ALERTS_SQL)
+def q_stream_alerts_one_scan(spark, sf):
+    """The same as a stream with one state store, restarted between three
+    event-time slices."""
+    return replay_alerts(spark, fx.net(spark, sf), fx.iocs(spark, sf), slices=3, restart=True, one_scan=True)
+
+
+LATE_HOST = "10.10.10.3"
+_LATE_SQL = _with(fx.NET_SQL.replace("net AS (", "whole AS ("), f"net AS (SELECT * FROM whole WHERE id_orig_h = '{LATE_HOST}')", fx.IOCS_SQL,
+                  KEYS_CTE, EVENTS_CTE, CANDIDATES_CTE, PAIRS_CTE, fx.RAW_IOCS_SQL)
+
+
+@register("dropped_counts", _LATE_SQL + f"""
+SELECT 'late_groups' AS cause, (SELECT count(*) FROM pairs) + (SELECT count(*) FROM ({IOC_MATCH_SELECT})) AS n
+UNION ALL SELECT 'undecodable', count(*) FROM region
+UNION ALL SELECT 'untimed', count(*) FROM whole WHERE id_resp_p = 7
+UNION ALL SELECT 'records', (SELECT count(*) FROM region) + (SELECT count(*) FROM whole WHERE id_resp_p = 7) + (SELECT count(*) FROM whole)
+                            + (SELECT count(*) FROM net) + 2
+UNION ALL SELECT 'indicators_without_ioc', count(*) FROM raw_iocs WHERE ioc IS NULL""")
+def q_dropped_counts(spark, sf):
+    """What the jobs drop, by cause: all records with some that do not decode or
+    have no time; records that close all windows; one host's records again, all
+    of them behind the watermark; and the indicator feed."""
+    logs = fx.net(spark, sf)
+    broken = fx.table(spark, sf, "region").select(F.concat(F.lit("not json "), "r_name").alias("value"))
+    untimed = encode_logs(logs.where("id_resp_p = 7").withColumn("ts", F.lit(None).cast("timestamp")))
+    folder = work_dir(spark, "closing")
+    last = event_bounds(logs)["hi"]
+    for i in (1, 2):  # rows are dropped against the watermark of the micro-batch before
+        write_closing(spark, f"{folder}/{i}", last + _dt.timedelta(minutes=i) if last else None)
+    closing = [spark.read.text(f"{folder}/{i}") for i in (1, 2)] if last else []
+    late = encode_logs(logs.where(F.col("id_orig_h") == LATE_HOST))
+    counts = replay_drops(spark, [encode_logs(logs).unionByName(broken).unionByName(untimed), *closing, late], fx.iocs(spark, sf))
+    raw, table = work_dir(spark, "raw"), work_dir(spark, "iocs")
+    land_raw(fx.raw_documents(spark, sf), raw)
+    counts["indicators_without_ioc"] = follow_landing(spark, raw, table).without_ioc
+    return spark.createDataFrame(sorted(counts.items()), "cause string, n long")
+
+
+@register("ioc_match_prefiltered", _IOC_MATCH_SQL)
+def q_ioc_match_prefiltered(spark, sf):
+    """Indicators taken as too many to broadcast: values that no key's bit
+    matches are dropped before the salted shuffle."""
+    return detect.ioc_match(fx.net(spark, sf), fx.iocs(spark, sf), broadcast_limit=0, prefilter=True)
+
+
+_SEGMENT_LOOKUP_SQL = _with(fx.NET_SQL, fx.SEGMENTS_SQL, """
+m4 AS (SELECT v4, first(name ORDER BY len DESC, name) AS orig_segment FROM (SELECT DISTINCT v4 FROM dual) JOIN seg4 ON v4 >> (32 - len) = net >> (32 - len) GROUP BY v4),
+m6 AS (SELECT v6, first(name ORDER BY len DESC, name) AS v6_segment FROM (SELECT DISTINCT v6 FROM dual) JOIN seg6 ON left(v6, len // 4) = left(net, len // 4) GROUP BY v6)""") + (
+    "SELECT ts, uid, id_orig_h, orig_v6, orig_segment, v6_segment FROM dual LEFT JOIN m4 USING (v4) LEFT JOIN m6 USING (v6)")
+
+
+@register("segment_lookup", _SEGMENT_LOOKUP_SQL)
+def q_segment_lookup(spark, sf):
+    """Longest-prefix match of IPv4 and IPv6 sources in one table of segments."""
+    segments = fx.segments(spark, sf)
+    named = with_segment(fx.dual_stack(spark, sf), "id_orig_h", segments, "orig_segment")
+    return with_segment(named, "orig_v6", segments, "v6_segment")
+
+
+@register("segment_lookup_large", _SEGMENT_LOOKUP_SQL)
+def q_segment_lookup_large(spark, sf):
+    """The same with a table taken as too large to broadcast."""
+    segments = fx.segments(spark, sf)
+    named = with_segment(fx.dual_stack(spark, sf), "id_orig_h", segments, "orig_segment", limit=0)
+    return with_segment(named, "orig_v6", segments, "v6_segment", limit=0)
+
+
+_SKETCH_LEVELS = (("10 minutes", ("id_orig_h",), 600), ("1 hour", ("id_orig_h",), 3600), ("1 hour", ("id_orig_h", "id_resp_h"), 3600))
+
+
+@register("port_sketches", _with(fx.NET_SQL) + "\nUNION ALL ".join(
+    f"SELECT '{w} {len(keys)}' AS level, count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_ports, CAST(0 AS BIGINT) AS outside_bound "
+    f"FROM (SELECT count(DISTINCT id_resp_p) AS n FROM net WHERE ts IS NOT NULL GROUP BY {_bucket(sec)}, {', '.join(keys)})" for w, keys, sec in _SKETCH_LEVELS))
+def q_port_sketches(spark, sf):
+    """One sketch a (minute, source, destination), merged to longer windows and
+    to one source over all destinations; each estimate against the exact count."""
+    n = fx.net(spark, sf, hosts=False)
+    stored = sketches.port_sketches(n)
+    out = None
+    for w, keys, _ in _SKETCH_LEVELS:
+        exact = n.groupBy(F.window("ts", w).alias("window"), *keys).agg(F.count_distinct("id_resp_p").alias("exact"))
+        both = sketches.with_estimate(sketches.merged(stored, w, keys)).select("window", *keys, "port_count").join(exact, ["window", *keys])
+        outside = F.abs(F.col("port_count") - F.col("exact")) > sketches.error_bound(F.col("exact"))
+        one = both.agg(F.count(F.lit(1)).alias("n_groups"), F.sum("exact").cast("long").alias("n_ports"), F.count_if(outside).alias("outside_bound"))
+        one = one.select(F.lit(f"{w} {len(keys)}").alias("level"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Alerts that the approximate count must raise, whatever its error within four
+# standard deviations: groups whose exact count lies beyond the band at 8 ports.
+@register("port_scan_approx_alerts", _with(fx.NET_SQL, PAIRS_CTE) + (
+    f"SELECT {_id('Port Scanning', 'id_orig_h', 'id_resp_h')} AS alert_id, 'Port Scanning' AS alert_type, event_ts, id_orig_h AS orig_ip, "
+    "id_resp_h AS resp_ip, CAST(port_count AS BIGINT) AS exact FROM pairs WHERE port_count > (8 + 1) / (1 - 0.2)"))
+def q_port_scan_approx_alerts(spark, sf):
+    """Approximate port-scan alerts, without those whose exact count lies inside
+    the error band of the threshold."""
+    n = fx.net(spark, sf, hosts=False)
+    exact = n.groupBy(F.window("ts", detect.DEFAULT.pair_window).alias("window"), "id_orig_h", "id_resp_h").agg(detect.port_count().cast("long").alias("exact"))
+    ids = exact.select(alert_id(detect.PORT_SCAN, "window", "id_orig_h", "id_resp_h").alias("alert_id"), "exact")
+    found = detect.port_scan(n, exact=False).join(ids, "alert_id")
+    inside = (F.col("exact") <= (8 + 1) / (1 - 0.2)) & (F.col("exact") >= (8 - 1) / (1 + 0.2))
+    return found.where(~inside).select("alert_id", "alert_type", "event_ts", "orig_ip", "resp_ip", "exact")

@@ -3,22 +3,23 @@
 Layout of a table folder:
 
     snapshots/<version>-<run>/part-*.parquet  immutable, one per run
-    _commits/version=<version>/part-*.parquet the commit of that version:
+    _commits/<version>.json                   the commit of that version:
                                               snapshot, marker (last landing
                                               day merged)
 
 A run reads the landing days from the marker on (files may land late in the
 marked day; merging rows again changes nothing), merges them into the current
 snapshot (one row per indicator id), writes a NEW snapshot under a name of its
-own and only then its commit. A commit folder is created once: of two runs
-that read the same version the second fails and leaves the first's table as
-it is. A run that dies before the commit changes nothing either. Readers
+own and only then its commit. A commit file is created by one run only
+(sinks/claims.py): of two runs that read the same version, however their steps
+interleave, the second fails and leaves the first's table as it is. A run that dies before the commit changes nothing either. Readers
 resolve the latest commit, so they never see a half-written table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -26,7 +27,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.iocs import batch_per_id, clean_iocs, explode_raw, merge_iocs
+from tidewatch.plans.landing import changed_rows
 from tidewatch.session import checkpoint_root
+from tidewatch.sinks.claims import CommitConflict, claim, delete
 from tidewatch.sources.iocs import COMMITS, SNAPSHOTS, last_commit, read_commits, read_iocs, read_raw
 
 
@@ -67,24 +70,20 @@ def run_ioc_refresh(
     snapshot = f"{version:010d}-{uuid.uuid4().hex[:8]}"
     path = f"{table}/{SNAPSHOTS}/{snapshot}"
     merged.write.mode("errorifexists").parquet(path)
-    commit = spark.range(1).select(
-        F.lit(snapshot).alias("snapshot"), F.lit(new_marker).cast("date").alias("marker"), F.current_timestamp().alias("committed_at"))
-    commit.write.mode("errorifexists").parquet(f"{table}/{COMMITS}/version={version}")
+    commit = {"version": version, "snapshot": snapshot, "marker": None if new_marker is None else str(new_marker),
+              "committed_at": dt.datetime.now(dt.timezone.utc).isoformat()}
+    if not claim(spark, f"{table}/{COMMITS}/{version:010d}.json", json.dumps(commit)):
+        delete(spark, path)
+        raise CommitConflict(f"version {version} of {table} already exists")
     if keep_snapshots:
         rows = read_commits(spark, table).orderBy(F.desc("version")).select("snapshot").collect()
         for r in rows[max(1, keep_snapshots):]:
-            _delete(spark, f"{table}/{SNAPSHOTS}/{r['snapshot']}")
+            delete(spark, f"{table}/{SNAPSHOTS}/{r['snapshot']}")
     return RefreshResult(version, new_marker, True)
 
 
 def changes(current: DataFrame, folded: DataFrame) -> bool:
-    """Whether a folded increment has an id the table lacks or saw later."""
-    held = current.select("id", F.col("last_seen").alias("held"), F.lit(True).alias("known"))
-    both = folded.select("id", "last_seen").join(held, "id", "left")
-    later = F.col("last_seen").isNotNull() & (F.col("held").isNull() | (F.col("last_seen") > F.col("held")))
-    return bool(both.where(F.col("known").isNull() | later).limit(1).count())
+    """Whether a folded increment has an id the table lacks or saw later. The
+    ids of a small increment meet the table first, so the table is not shuffled."""
+    return not changed_rows(current, folded).isEmpty()
 
-
-def _delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

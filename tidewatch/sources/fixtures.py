@@ -162,6 +162,34 @@ def iocs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_pages.unionByName(feed)
 
 
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping network segments of both families, from `nation` and
+    `region`: nested IPv4 segments of /8 to /31 around the log sources, IPv6
+    ones of /20 to /64, some of them the same after masking, and two rows whose
+    CIDR is none."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    k, j = F.col("n_nationkey"), F.col("r_regionkey")
+    text = lambda c: c.cast("int").cast("string")
+    parts = [
+        n.select(F.col("n_name").alias("name"), F.concat(F.lit(ORIG_NET), text(k * 8), F.lit("/"), text(k % 5 + 27)).alias("cidr")),
+        r.select(F.col("r_name").alias("name"), F.concat(F.lit("10.10.0.0/"), text(j * 2 + 8)).alias("cidr")),
+        n.select(F.col("n_name").alias("name"), F.concat(F.lit("2001:db8:"), F.lower(F.hex(k.cast("long"))), F.lit("::/"), text(k % 8 * 4 + 36)).alias("cidr")),
+        r.select(F.col("r_name").alias("name"), F.concat(F.lit("2001:DB8::/"), text(j * 4 + 20)).alias("cidr")),
+        r.where("r_regionkey < 2").select(F.col("r_name").alias("name"), F.when(j == 0, F.lit("10.10.10.0/40")).alias("cidr")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def dual_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ts, uid, id_orig_h, orig_v6): the log sources, each with an IPv6 address too."""
+    port = F.col("id_resp_p").cast("long")
+    return net(spark, sf_dir, hosts=False).select("ts", "uid", "id_orig_h", F.concat(
+        F.lit("2001:DB8:"), F.hex(port % 32), F.lit("::"), F.hex(port)).alias("orig_v6"))
+
+
 # ---------------------------------------------------------------- DuckDB SQL
 
 NET_SQL = f"""
@@ -227,3 +255,21 @@ iocs AS (
   UNION ALL SELECT '[2001:db8::7]:443', 'ip:port', 'rep9', 91, ['feed', 'v6'], false
   UNION ALL SELECT '198.51.100.7', 'ip', 'rep8', 55, ['feed'], CAST(NULL AS BOOLEAN)
 )"""
+
+# The segments of `segments` as (name, family, network, length): IPv4 networks
+# as numbers, IPv6 ones as 32 hexadecimal digits.
+SEGMENTS_SQL = f"""
+seg4 AS (
+  SELECT n_name AS name, CAST(10 * 16777216 + 10 * 65536 + 10 * 256 + n_nationkey * 8 AS BIGINT) AS net, CAST(n_nationkey % 5 + 27 AS INT) AS len FROM nation
+  UNION ALL SELECT r_name, CAST(10 * 16777216 + 10 * 65536 AS BIGINT), CAST(r_regionkey * 2 + 8 AS INT) FROM region
+),
+seg6 AS (
+  SELECT n_name AS name, '20010db8' || lpad(lower(to_hex(CAST(n_nationkey AS BIGINT))), 4, '0') || repeat('0', 20) AS net, CAST(n_nationkey % 8 * 4 + 36 AS INT) AS len FROM nation
+  UNION ALL SELECT r_name, '20010db8' || repeat('0', 24), CAST(r_regionkey * 4 + 20 AS INT) FROM region
+),
+dual AS (
+  SELECT ts, uid, id_orig_h, '2001:DB8:' || to_hex(CAST(id_resp_p % 32 AS BIGINT)) || '::' || to_hex(CAST(id_resp_p AS BIGINT)) AS orig_v6,
+         CAST(split_part(id_orig_h, '.', 4) AS BIGINT) + 10 * 16777216 + 10 * 65536 + 10 * 256 AS v4,
+         '20010db8' || lpad(lower(to_hex(CAST(id_resp_p % 32 AS BIGINT))), 4, '0') || repeat('0', 16) || lpad(lower(to_hex(CAST(id_resp_p AS BIGINT))), 4, '0') AS v6
+  FROM net
+)"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.schemas import CLEAN_IOC_SCHEMA, RAW_IOC_TEXT_DOCUMENT
+from tidewatch.sinks.keyed import KeyedTable
 
 RAW_SCHEMA = T.StructType(
     RAW_IOC_TEXT_DOCUMENT.fields
@@ -48,9 +49,18 @@ def read_raw(spark: SparkSession, base: str, after: dt.date | None = None, inclu
     return raw
 
 
+def raw_stream(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
+    """The landing area as a stream of raw feed documents, each file once, in
+    the order in which files land; whole folders may appear late."""
+    reader = spark.readStream.schema(RAW_SCHEMA).option("maxFileAge", "36500d")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(base)
+
+
 def read_commits(spark: SparkSession, table: str) -> DataFrame | None:
     try:
-        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{table}/{COMMITS}")
+        return spark.read.schema(COMMIT_SCHEMA).json(f"{table}/{COMMITS}")
     except AnalysisException as e:  # only a missing log means "new table"
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
@@ -72,7 +82,11 @@ def read_marker(spark: SparkSession, table: str) -> dt.date | None:
 
 
 def read_iocs(spark: SparkSession, table: str) -> DataFrame | None:
-    """The current clean indicator table (None if nothing was committed)."""
+    """The current clean indicator table, of either layout (None if nothing was
+    committed)."""
+    keyed = KeyedTable(spark, table, CLEAN_IOC_SCHEMA, "id", F.lit(None))
+    if keyed.versions():
+        return keyed.read()
     c = last_commit(spark, table)
     if c is None:
         return None

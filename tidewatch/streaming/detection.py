@@ -13,11 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.detect import DEFAULT, SALT_BUCKETS, Thresholds, alerts, ioc_match, pair_activity
+from tidewatch.operators.detect import DEFAULT, SALT_BUCKETS, Thresholds, alerts, alerts_one_scan, ioc_match, pair_activity
 from tidewatch.operators.iocs import MatchKeys, prepared_keys
 from tidewatch.sinks.outputs import alert_documents, alert_json, decode_alerts, ensure_table, raw_log_documents
 from tidewatch.sources.iocs import read_iocs
 from tidewatch.sources.logs import DETECTOR_FIELDS, decode_logs, with_event_time
+from tidewatch.streaming.metrics import observed
 
 WATERMARK = "5 seconds"
 TRIGGER = "15 seconds"
@@ -36,10 +37,20 @@ def detection_stream(
     keys: MatchKeys | None = None,
     salt_buckets: int = SALT_BUCKETS,
     strict_keys: bool = False,
+    one_scan: bool = False,
 ) -> DataFrame:
     """Raw log records (`value` column) -> alert rows, as a stream. A
     stream-static join evaluates its static side every trigger; the
-    indicators are folded once (`keys`, or here) and read from files."""
+    indicators are folded once (`keys`, or here) and read from files.
+    `one_scan`: all three detectors from one read of each micro-batch and one
+    state store, IOC alerts up to a pair window later, and counts of records
+    that decode to nothing (streaming/metrics.py). It is a setting of a
+    checkpoint: the two forms keep different state."""
+    if one_scan:
+        if set(detectors) != {"ioc", "scan", "exfil"}:
+            raise ValueError("one_scan runs all three detectors")
+        logs = with_event_time(observed(decode_logs(records, fields=DETECTOR_FIELDS)), watermark)
+        return alerts_one_scan(logs, iocs, exact, t, keys=keys, salt_buckets=salt_buckets, strict_keys=strict_keys)
     logs = with_event_time(decode_logs(records, fields=DETECTOR_FIELDS), watermark)
     pair_kinds = tuple(k for k in ("scan", "exfil") if k in detectors)
     if "ioc" in detectors and pair_kinds == ("scan", "exfil"):
@@ -91,6 +102,7 @@ def run_detection(
     exact: bool = True,
     salt_buckets: int = SALT_BUCKETS,
     strict_keys: bool = False,
+    one_scan: bool = False,
 ) -> None:
     """Run detection, reloading the indicator table every `refresh_seconds`.
 
@@ -104,7 +116,7 @@ def run_detection(
         if iocs is None:
             raise RuntimeError(f"no committed indicator table at {ioc_table}")
         keys = prepared_keys(iocs, strict_keys)
-        q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt_buckets),
+        q = start_sink(detection_stream(source(spark), None, exact=exact, keys=keys, salt_buckets=salt_buckets, one_scan=one_scan),
                        checkpoint, fmt, path, options, trigger)
         if trigger and trigger.get("availableNow"):
             q.awaitTermination()

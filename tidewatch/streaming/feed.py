@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from tidewatch.operators.iocs import prepared_keys
 from tidewatch.schemas import ALERT_SCHEMA
 from tidewatch.session import parallelism, work_dir
+from tidewatch.sinks.claims import delete, names
 from tidewatch.sources.logs import encode_logs, file_stream
 from tidewatch.streaming.detection import detection_stream, read_documents, start_documents, start_sink
+from tidewatch.streaming.documents import document_table, start_upserts
+from tidewatch.streaming.metrics import total_drops
 
 #: How far past the last record the closing one lies: the longest window (one
 #: minute), twice, and the watermark delay, with room to spare.
@@ -61,6 +64,7 @@ def replay_alerts(
     restart: bool = False,
     state_partitions: int | None = None,
     strict_keys: bool = False,
+    one_scan: bool = False,
 ) -> DataFrame:
     """Run the streaming detector over `logs` (availableNow) and return the
     alerts its file sink committed.
@@ -76,8 +80,10 @@ def replay_alerts(
     own = replay_session(spark, state_partitions)
     keys = prepared_keys(iocs, strict_keys) if "ioc" in detectors else None
 
+    files = parallelism(spark)
+
     def run() -> None:
-        out = detection_stream(file_stream(own, f"{base}/in/*", None if restart else 1), None, detectors, exact, keys=keys)
+        out = detection_stream(file_stream(own, f"{base}/in/*", None if restart else files), None, detectors, exact, keys=keys, one_scan=one_scan)
         _finish(start_sink(out, f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True}))
 
     lo, hi = bounds["lo"], bounds["hi"]
@@ -89,9 +95,10 @@ def replay_alerts(
             part = logs.filter(inside | F.col("ts").isNull() if i == 0 else inside)
         elif i:
             break
-        # One file a slice where the stream takes a file per micro-batch.
+        # As many files a slice as the stream takes in a micro-batch; a slice with
+        # fewer records than that may share its micro-batch with the next one.
         feed = encode_logs(part)
-        (feed.coalesce(1) if slices > 1 and not restart else feed).write.text(f"{base}/in/{i:05d}")
+        (feed.repartition(files) if slices > 1 and not restart else feed).write.text(f"{base}/in/{i:05d}")
         if restart:
             run()
     write_closing(spark, f"{base}/in/{slices:05d}", hi)
@@ -117,3 +124,36 @@ def replay_documents(spark: SparkSession, records: DataFrame, kind: str, max_fil
     own = replay_session(spark)
     _finish(start_documents(file_stream(own, f"{base}/in", max_files), kind, f"{base}/checkpoint", f"{base}/out", {"availableNow": True}))
     return read_documents(spark, f"{base}/out")
+
+
+def replay_upserts(spark: SparkSession, deliveries: list[DataFrame], kind: str, repeat_last: bool = True) -> DataFrame:
+    """Run the keyed document copy over deliveries of records (JSON text in
+    `value`), one run each on one checkpoint. `repeat_last` then takes the
+    stream's note of its last micro-batch away, as a crash between the table's
+    commit and the stream's would, and runs once more: Spark repeats the batch."""
+    base = work_dir(spark, "replay")
+    own = replay_session(spark)
+    for i in range(len(deliveries) + repeat_last):
+        if i < len(deliveries):
+            deliveries[i].select("value").write.text(f"{base}/in/{i:05d}")
+        else:
+            last = max((n for n, _ in names(spark, f"{base}/checkpoint/commits")), key=int)
+            delete(spark, f"{base}/checkpoint/commits/{last}")
+        _finish(start_upserts(file_stream(own, f"{base}/in/*"), kind, f"{base}/checkpoint", f"{base}/out", {"availableNow": True}))
+    return document_table(spark, kind, f"{base}/out").read()
+
+
+def replay_drops(spark: SparkSession, deliveries: list[DataFrame], iocs: DataFrame) -> dict[str, int]:
+    """Run the one-scan detector over deliveries of records, one run each on one
+    checkpoint, and sum what its micro-batches drop."""
+    base = work_dir(spark, "replay")
+    own = replay_session(spark)
+    keys = prepared_keys(iocs)
+    reports = []
+    for i, records in enumerate(deliveries):
+        records.select("value").write.text(f"{base}/in/{i:05d}")
+        query = start_sink(detection_stream(file_stream(own, f"{base}/in/*"), None, keys=keys, one_scan=True),
+                           f"{base}/checkpoint", "parquet", f"{base}/out", trigger={"availableNow": True})
+        _finish(query)
+        reports += query.recentProgress
+    return dict(total_drops(reports))
