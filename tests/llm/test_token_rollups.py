@@ -47,13 +47,53 @@ def test_a_batch_that_failed_before_its_commit_is_run_again(spark, monkeypatch):
     store.commit("1", changes(spark, [(1, "v", "insert", "s", "en", 5, 0)]))
     two = changes(spark, [(1, "v", "revise", "s", "en", 7, 0), (2, "v", "insert", "s", "en", 1, 0)])
     with monkeypatch.context() as m:
-        m.setattr(spark, "range", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(tr, "claim", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             store.commit("2", two)
     assert totals(store) == {("s", "en", "v"): (1, 5)}
     assert store.commit("2", two) and totals(store) == {("s", "en", "v"): (2, 8)}
 
 
+def test_any_text_is_a_batch_id(spark):
+    store = tr.TokenRollup(spark, scratch(spark, "test"))
+    one, two = changes(spark, [(1, "v", "insert", "s", "en", 10, 0)]), changes(spark, [(2, "v", "insert", "s", "en", 4, 0)])
+    assert store.commit("x/y", one) and totals(store) == {("s", "en", "v"): (1, 10)}
+    assert not store.commit("x/y", one) and totals(store) == {("s", "en", "v"): (1, 10)}
+    assert store.commit("x", two) and store.commit("../ \u00e9=%", changes(spark, [])) and store.commit("", changes(spark, []))
+    assert totals(store) == {("s", "en", "v"): (2, 14)} and store.committed() == ["x/y", "x", "../ \u00e9=%", ""]
+
+
+@pytest.mark.parametrize("ids", [("a", "b"), ("a", "a")])
+def test_interleaved_writers_lose_no_batch_and_count_none_twice(spark, monkeypatch, ids):
+    """Both writers compute their batch from the same state before either commits."""
+    import threading
+
+    folder = scratch(spark, "test")
+    tr.TokenRollup(spark, folder).commit("0", changes(spark, [(1, "v", "insert", "s", "en", 5, 0)]))
+    meet, real, waited, done = threading.Barrier(2), tr.claim, set(), {}
+
+    def together(*a):
+        if threading.get_ident() not in waited:
+            waited.add(threading.get_ident())
+            meet.wait(60)
+        return real(*a)
+
+    monkeypatch.setattr(tr, "claim", together)
+
+    def run(i):
+        done[i] = tr.TokenRollup(spark, folder).commit(ids[i], changes(spark, [(1, "v", "revise", "s", "en", 6 if ids[0] == ids[1] else 6 + i, 0)]))
+
+    threads = [threading.Thread(target=run, args=(i,)) for i in (0, 1)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    store = tr.TokenRollup(spark, folder)
+    if ids[0] == ids[1]:
+        assert sorted(done.values()) == [False, True] and store.committed() == ["0", "a"] and totals(store) == {("s", "en", "v"): (1, 6)}
+    else:
+        assert all(done.values()) and sorted(store.committed()) == ["0", "a", "b"]
+        assert totals(store) == {("s", "en", "v"): (1, 7 if store.committed()[-1] == "b" else 6)}
+
+
 def test_counts_of_odd_texts(spark):
     df = clashing(frame(spark, [(1, None), (2, ""), (3, "a b\tc,d"), (4, "w " * 30_000), (4, "w " * 30_000), (None, "x")]))
     store = tr.TokenRollup(spark, scratch(spark, "test"))

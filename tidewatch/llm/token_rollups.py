@@ -7,11 +7,15 @@ deletes of (document, version) keys. A commit looks up what the ledger holds
 for the keys it changes and writes the signed difference, so totals are plain
 sums of the committed differences and never recounted.
 
-Layout: `ledger/batch=<id>` (the keys' state after the batch), `deltas/batch=<id>`
-(signed totals) and `commits/batch=<id>` (one row, written last, with the
-batch's place in the order). A batch id that is already committed changes
-nothing, whatever it carries; a batch that failed before its commit row leaves
-no trace in the totals and is simply run again.
+Layout: `ledger/run=<r>` (the keys' state after a batch), `deltas/run=<r>`
+(signed totals) and `commits/<place>.json` (batch id, its run and its place in the
+order, written last). A run has a name of its own, so no second attempt touches
+the files of a committed batch, and any text is a batch id. A place is created by
+one writer only (sinks/claims.py): of two writers that computed their batches
+from the same state the second discards its run and computes again from the
+state now there. A batch id that is already committed changes nothing, whatever
+it carries; a batch that failed before its commit leaves no trace in the totals
+and is simply run again.
 
 Defined results: several changes of a key in one batch count by their highest
 `seq` (ties: delete, then larger counts, first); inserting a key that exists
@@ -20,20 +24,27 @@ or version are ignored; null source or language form groups of their own; null
 and empty texts have zero tokens and still count as documents; groups whose
 documents are all gone stay with zeros; empty batches commit.
 
-Scale: one shuffle of the batch's keys and the ledger on (doc_id, version);
-differences are folded to (source, language, version) before they are
-written, so a hot source is a few rows a task.
+Scale: the ledger is cut to the batch's documents by a bitmap of their ids, of
+bounded size, before its one shuffle on (doc_id, version), so a commit shuffles
+about as many ledger rows as it changes; texts are counted where they are read
+and never shuffled. Differences are folded to (source, language, version) before
+they are written, so a hot source is a few rows a task. The driver handles one
+small commit file a batch.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.textkit import id_column, scratch
+from tidewatch.llm.textkit import id_column, scratch, stored
+from tidewatch.operators.prefilter import key_bitmap, likely_matches
+from tidewatch.sinks.claims import CommitConflict, claim, delete, names, read_text
 
 CHANGE = "doc_id long, version string, op string, source string, language string, tokens long, seq long"
 _STATE = "doc_id long, version string, alive boolean, source string, language string, tokens long"
@@ -85,48 +96,62 @@ def removed(ids: DataFrame, seq: int = 0, versions: list[str] | None = None) ->
 
 
 class TokenRollup:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def _exists(self, path: str) -> bool:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
-
-    def _read(self, kind: str, schema: str) -> DataFrame:
-        """Rows of the committed batches, with `batch` and its place `at`."""
-        if not self._exists(f"{self.folder}/commits"):
-            return self.spark.createDataFrame([], schema + ", batch string, at long")
-        commits = self.spark.read.schema("at long, batch string").parquet(f"{self.folder}/commits")
-        if kind == "commits":
-            return commits
-        rows = self.spark.read.schema(schema + ", batch string").parquet(f"{self.folder}/{kind}")
-        return rows.join(F.broadcast(commits), "batch")  # one row a batch
+    def __init__(self, spark: SparkSession, folder: str, tries: int = 20):
+        self.spark, self.folder, self.tries = spark, folder.rstrip("/"), tries
+
+    def _commits(self) -> list[dict]:
+        """The commit files, in order."""
+        at = f"{self.folder}/commits"
+        return [json.loads(read_text(self.spark, f"{at}/{n}")) for n in sorted(n for n, _ in names(self.spark, at))]
+
+    def _read(self, kind: str, schema: str, commits: list[dict]) -> DataFrame:
+        """Rows of the committed batches, with their place `at` in the order."""
+        if not commits:
+            return self.spark.createDataFrame([], schema + ", at long")
+        places = self.spark.createDataFrame([(c["run"], c["at"]) for c in commits], "run string, at long")
+        paths = [f"{self.folder}/{kind}/run={c['run']}" for c in commits]
+        rows = self.spark.read.schema(schema + ", run string").option("basePath", f"{self.folder}/{kind}").parquet(*paths)
+        return rows.join(F.broadcast(places), "run").drop("run")  # one row a batch
 
     def committed(self) -> list[str]:
         """Ids of the committed batches, in order."""
-        return [r["batch"] for r in self._read("commits", "n long").orderBy("at").collect()]
+        return [c["batch"] for c in self._commits()]
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply a batch; False (and no effect) if its id is already committed."""
-        done = self.committed()
-        if batch in done:
+        if batch in self.committed():
             return False
+        run = uuid.uuid4().hex
         rank = F.struct("seq", (F.col("op") == "delete").alias("last"), "tokens", "source", "language")
         last = changes.where("doc_id is not null and version is not null").groupBy("doc_id", "version").agg(F.max(rank).alias("c"))
         new = last.select("doc_id", "version", (~F.col("c.last")).alias("alive"), "c.source", "c.language", F.coalesce("c.tokens", F.lit(0)).cast("long").alias("tokens"))
-        new.write.mode("overwrite").parquet(f"{self.folder}/ledger/batch={batch}")
-        new = self.spark.read.schema(_STATE).parquet(f"{self.folder}/ledger/batch={batch}")
-        state = self._read("ledger", _STATE).groupBy("doc_id", "version").agg(F.max_by(F.struct("alive", "source", "language", "tokens"), "at").alias("o"))
-        old = new.select("doc_id", "version").join(state, ["doc_id", "version"]).where("o.alive")
+        new.write.parquet(f"{self.folder}/ledger/run={run}")
+        new = self.spark.read.schema(_STATE).parquet(f"{self.folder}/ledger/run={run}")
+        mine = stored(key_bitmap(new, "doc_id"), "rollup-keys")
         signed = lambda df, at, sign: df.select(F.col(f"{at}source"), F.col(f"{at}language"), "version", F.lit(sign).cast("long").alias("n_docs"), (F.col(f"{at}tokens") * sign).alias("n_tokens"))
-        delta = signed(new.where("alive"), "", 1).unionByName(signed(old, "o.", -1))
-        delta.groupBy("source", "language", "version").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).write.mode("overwrite").parquet(f"{self.folder}/deltas/batch={batch}")
-        self.spark.range(1).select(F.lit(len(done)).cast("long").alias("at")).write.mode("errorifexists").parquet(f"{self.folder}/commits/batch={batch}")
-        return True
+        for _ in range(self.tries):
+            done = self._commits()
+            if any(c["batch"] == batch for c in done):  # another writer delivered it
+                break
+            ledger = self._read("ledger", _STATE, done)
+            if done:
+                ledger = likely_matches(ledger, "doc_id", mine)
+            state = ledger.groupBy("doc_id", "version").agg(F.max_by(F.struct("alive", "source", "language", "tokens"), "at").alias("o"))
+            old = new.select("doc_id", "version").join(state, ["doc_id", "version"]).where("o.alive")
+            delta = signed(new.where("alive"), "", 1).unionByName(signed(old, "o.", -1))
+            delta = delta.groupBy("source", "language", "version").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+            delta.write.parquet(f"{self.folder}/deltas/run={run}")
+            if claim(self.spark, f"{self.folder}/commits/{len(done):012d}.json", json.dumps({"batch": batch, "run": run, "at": len(done)})):
+                return True
+            delete(self.spark, f"{self.folder}/deltas/run={run}")
+        delete(self.spark, f"{self.folder}/ledger/run={run}")
+        if batch in self.committed():
+            return False
+        raise CommitConflict(f"{self.folder}: lost {self.tries} places to other writers")
 
     def totals(self) -> DataFrame:
         """(source, language, version, n_docs, n_tokens) over all committed batches."""
-        return self._read("deltas", _DELTA).groupBy("source", "language", "version").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        return self._read("deltas", _DELTA, self._commits()).groupBy("source", "language", "version").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
 
 def corpus_history(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -146,5 +171,8 @@ def corpus_history(documents: DataFrame, labels: DataFrame) -> DataFrame:
     store.commit("0-insert", counted(documents, "insert"))
     store.commit("1-clean", second)
     store.commit("1-clean", second)
-    store.commit("2-restore", counted(slim.join(back, "doc_id", "left_semi"), "insert"))
+    # Texts stay where they are read: a bitmap of the ids picks likely ones, and
+    # their counts are met with the ids themselves.
+    likely = likely_matches(slim.select("doc_id", "source", "lang", "text"), "doc_id", key_bitmap(back, "doc_id"))
+    store.commit("2-restore", counted(likely, "insert").join(back, "doc_id", "left_semi"))
     return store.totals()
