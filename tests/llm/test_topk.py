@@ -48,8 +48,17 @@ def test_few_rows_repeats_and_empty(spark):
 
 
 def test_large_components_stay_exact(spark):
-    data = [(i, [float(2 ** 27 + i), float(-(2 ** 27))]) for i in range(25)]
+    data = [(i, [float(2 ** 23 + i), float(-(2 ** 23))]) for i in range(25)]  # scores near 2**59
     assert search(spark, data, 20, 5) == brute(data, {0, 20}, 5)
+    r = random.Random(9)
+    data = [(i, [float(np.float32(r.gauss(0, 2 ** 20))) for _ in range(4)]) for i in range(400)]
+    assert search(spark, data, 20, 5) == brute(data, {i for i, _ in data if i % 20 == 0}, 5)
+
+
+def test_scores_beyond_a_long_are_an_error(spark):
+    data = [(i, [float(2 ** 27 + i), float(-(2 ** 27))]) for i in range(25)]  # scores near 2**67
+    with pytest.raises(Exception, match="(?i)overflow|too large|too big"):
+        search(spark, data, 20, 5)
 
 
 def test_threshold_stops_early_where_lists_are_skewed():

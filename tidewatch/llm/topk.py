@@ -18,7 +18,8 @@ near-isotropic vectors of many dimensions that is the common case, as the
 bound of 64 independent dimensions stays loose.
 
 Defined results: vectors that are null or hold null or non-finite components
-take no part. Components beyond 2**53 / scale are outside the contract.
+take no part. Components beyond 2**53 / scale are outside the contract; a score
+beyond a signed 64-bit integer raises OverflowError.
 Shorter vectors count as padded with zeros. Of repeated ids, the
 lexicographically smallest vector counts. A query never meets a candidate of
 its own id. A query without candidates has no rows. Other columns are ignored.
@@ -54,11 +55,12 @@ def _matrix(vectors: pd.Series, dims: int) -> np.ndarray:
 
 
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer products q @ x.T, whatever the size of the components."""
+    """Exact integer products q @ x.T; OverflowError where one is beyond a long."""
     big = np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0)
     if big < _EXACT:
         return (q @ x.T).astype(np.int64)
-    return np.array([[sum(int(a) * int(b) for a, b in zip(r, c)) for c in x] for r in q], np.int64).reshape(len(q), len(x))
+    whole = np.vectorize(int, otypes=[object])
+    return (whole(q) @ whole(x).T).astype(np.int64).reshape(len(q), len(x))
 
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -82,6 +84,9 @@ def search_block(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray,
     # A candidate unread after depth t has, in dimension j, at most the value at
     # rank t from the top (q_j > 0) or at least that at rank t from the bottom.
     bound = up @ values[n - 1 - grid].T + down @ values[grid].T
+    if np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0) >= _EXACT:
+        # Sums beyond 2**53 are rounded: the bound is widened by more than that.
+        bound += (up @ np.abs(values[n - 1 - grid]).T - down @ np.abs(values[grid]).T) * 2.0 ** -40 + 1
     found: list[tuple[int, np.ndarray]] = []
     scored = 0
     rest: list[int] = []
