@@ -269,7 +269,7 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     info = inside.join(facing.withColumnRenamed("b", "node"), ["a", "node"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
     info = stored(info.select("a", "node", "sig", "bands", "hit", "up", "down", "weight", "news"), "members-of-buckets")
     side = lambda df, x: df.select("a", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "sig", "bands", "hit", "up", "down", "weight", "news")))
-    bound = (1 - threshold) / (1 + threshold) + 0.02
+    bound = (1 - threshold) / (1 + threshold) + 1e-6
     small = F.col("up_r") + F.col("up_m") + F.abs(F.col("down_r") - F.col("down_m")) <= bound * (F.col("weight_r") + F.col("weight_m"))
     open_end = F.col("up_r").isNull() | F.col("up_m").isNull() | small | F.arrays_overlap("news_r", "news_m")
     once = (F.col("node_r") != F.col("node_m")) & (F.col("hit_m") | (F.col("node_r") < F.col("node_m"))) & (F.col("bands_r").bitwiseAND(F.col("bands_m")) != 0)
