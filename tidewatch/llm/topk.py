@@ -9,13 +9,12 @@ depth t, no unread candidate can score more than
     bound(t) = sum over j of max(q_j * top_j(t), q_j * bottom_j(t))
 
 where top_j(t), bottom_j(t) are the t-th largest and smallest components. The
-search of a block reads a first short depth, scores what it saw (random
-access), and takes from the bounds the depth at which they fall below the k-th
-score (strictly, since a tie may win by id). It then reads exactly to that
-depth. Where that many sorted accesses reach the length of a list, one list
-read to its end has seen the whole block and every candidate is scored; with
-near-isotropic vectors of many dimensions that is the common case, as the
-bound of 64 independent dimensions stays loose.
+search of a block deepens in rounds, from a short first depth to twice the depth
+before: it reads the new entries of all lists, scores the candidates it meets for
+the first time (random access), takes the k-th score of all candidates met, and
+stops when the bound falls below it (strictly, since a tie may win by id) or the
+lists end. With near-isotropic vectors of many dimensions the bound stays loose
+and most queries read on until nearly every candidate of a block has been met.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part. Components beyond 2**53 / scale are outside the contract; a score
@@ -76,59 +75,48 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search_block(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray, k: int) -> tuple[list[tuple[int, np.ndarray]], int]:
     """The k best candidates of each query in one block: ([(query index,
     candidate indices)], number of candidates scored)."""
-    n, dims = x.shape
+    n = len(x)
     order = np.argsort(x, axis=0, kind="stable")  # per dimension, ascending
     values = np.take_along_axis(x, order, axis=0)
-    up, down = np.maximum(q, 0), np.minimum(q, 0)
-    grid = np.unique(np.minimum(n - 1, np.concatenate(([FIRST_DEPTH], np.geomspace(FIRST_DEPTH, n, 24).astype(int)))))
-    # A candidate unread after depth t has, in dimension j, at most the value at
-    # rank t from the top (q_j > 0) or at least that at rank t from the bottom.
-    bound = up @ values[n - 1 - grid].T + down @ values[grid].T
-    if np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0) >= _EXACT:
-        # Sums beyond 2**53 are rounded: the bound is widened by more than that.
-        bound += (up @ np.abs(values[n - 1 - grid]).T - down @ np.abs(values[grid]).T) * 2.0 ** -40 + 1
+    big = np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0) >= _EXACT
     found: list[tuple[int, np.ndarray]] = []
     scored = 0
-    rest: list[int] = []
     for i in range(len(q)):
         use = np.flatnonzero(q[i])
-        lists = np.where(q[i, use] > 0, 1, 0)
-        t = int(grid[0])
-        seen = _read(order, use, lists, t)
-        seen = seen[xid[seen] != qid[i]]
-        s = _scores(q[i:i + 1], x[seen])[0] if len(seen) else np.zeros(0, np.int64)
-        scored += len(seen)
-        kth = np.partition(s, len(s) - k)[len(s) - k] if len(s) >= k else -math.inf
-        stop = np.flatnonzero(bound[i] < kth)
-        if not len(stop) or int(grid[stop[0]]) * max(len(use), 1) >= n:
-            rest.append(i)
-            continue
-        t = int(grid[stop[0]])
-        more = _read(order, use, lists, t)
-        more = np.setdiff1d(more[xid[more] != qid[i]], seen)
-        if len(more):
-            s = np.concatenate((s, _scores(q[i:i + 1], x[more])[0]))
-            seen = np.concatenate((seen, more))
-            scored += len(more)
-        found.append((i, seen[_best(s, xid[seen], k)]))
-    for a in range(0, len(rest), 256):  # lists read to their end: every candidate is seen
-        part = rest[a:a + 256]
-        s = _scores(q[part], x)
-        scored += s.size
-        for i, row in zip(part, s):
-            own = np.flatnonzero(xid != qid[i])
-            found.append((i, own[_best(row[own], xid[own], k)]))
+        own, top = q[i, use], q[i, use] > 0
+        unread = xid != qid[i]
+        seen, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        depth, to = 0, FIRST_DEPTH if len(use) else n
+        while True:
+            to = min(to, n)
+            new = np.zeros(n, bool)
+            if to == n or not len(use):  # the lists end: every candidate has been met
+                new[:] = True
+            else:
+                new[order[n - to:n - depth, use[top]].ravel()] = True
+                new[order[depth:to, use[~top]].ravel()] = True
+            new &= unread
+            at = np.flatnonzero(new)
+            unread &= ~new
+            if len(at):
+                seen, score = np.concatenate((seen, at)), np.concatenate((score, _scores(q[i:i + 1], x[at])[0]))
+                scored += len(at)
+            depth = to
+            if depth == n:
+                break
+            # A candidate unread at this depth has, in dimension j, at most the value
+            # reached from the top (q_j > 0) or at least that reached from the bottom.
+            edge = np.where(top, values[n - depth, use], values[depth - 1, use])
+            bound = float(own @ edge)
+            if big:  # sums beyond 2**53 are rounded: the bound is widened by more than that
+                bound += float(np.abs(own) @ np.abs(edge)) * 2.0 ** -40 + 1
+            if len(score) >= k and bound < np.partition(score, len(score) - k)[len(score) - k]:
+                break
+            to = 2 * depth
+        found.append((i, seen[_best(score, xid[seen], k)]))
     return found, scored
 
 
-def _read(order: np.ndarray, use: np.ndarray, top: np.ndarray, depth: int) -> np.ndarray:
-    """The candidates among the first `depth` of each used list."""
-    n = len(order)
-    if not len(use):
-        return np.zeros(0, np.int64)
-    return np.unique(np.concatenate([order[max(0, n - depth):, j] if t else order[:depth, j] for j, t in zip(use, top)]))
-
-
 def vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
     """(vec_id, v): the usable vectors as integers, one per id."""
     x = F.col(f"`{vector_col}`")
