@@ -64,3 +64,14 @@ def test_empty_tables(spark):
     _, _, d, b = setting(spark)
     assert contamination(d.where("false"), b).count() == 0
     assert not any(r["contaminated"] for r in contamination(d, b.where("false")).collect())
+
+
+def test_a_benchmark_of_any_size_is_scanned_in_shares(spark):
+    """Shares of 40 bytes: every item alone, or nearly; results stay the same."""
+    docs, items, d, b = setting(spark)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(contaminated_spans(d, b, automaton_bytes=40)) == rows(contaminated_spans(d, b))
+    for least in (0.0, 0.2):
+        small, whole = (decontaminated(clashing(d), b, min_share=least, automaton_bytes=n) for n in (40, 1 << 20))
+        assert small.columns == whole.columns and rows(small) == rows(whole)
+    assert contamination(d.where("false"), b, automaton_bytes=40).count() == 0
