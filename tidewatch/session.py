@@ -119,6 +119,8 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 4, state_parti
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Files of a checkpointed frame go when the frame does.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.session.timeZone": "UTC",
     }
 

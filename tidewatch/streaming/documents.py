@@ -28,18 +28,19 @@ LOG_DOCUMENTS = T.StructType([T.StructField("doc_id", T.StringType()), *WIDE_SCH
 ALERT_DOCUMENTS = T.StructType([T.StructField("doc_id", T.StringType()), *ALERT_SCHEMA.fields])
 
 
-def document_table(spark: SparkSession, kind: str, path: str) -> KeyedTable:
-    """The table of `kind` ("logs" or "alerts") at `path`, empty if it is new."""
+def document_table(spark: SparkSession, kind: str, path: str, hours: int = 1) -> KeyedTable:
+    """The table of `kind` ("logs" or "alerts") at `path`, empty if it is new;
+    `hours`: the event time of a part, a setting of the table."""
     if kind == "logs":
-        return KeyedTable(spark, path, LOG_DOCUMENTS, "doc_id", hour_of("ts"))
+        return KeyedTable(spark, path, LOG_DOCUMENTS, "doc_id", hour_of("ts", hours))
     if kind == "alerts":
-        return KeyedTable(spark, path, ALERT_DOCUMENTS, "doc_id", hour_of("event_ts"), order=["alert_ts", "log_uid", "severity"])
+        return KeyedTable(spark, path, ALERT_DOCUMENTS, "doc_id", hour_of("event_ts", hours), order=["alert_ts", "log_uid", "severity"])
     raise ValueError(f"unknown document kind {kind!r}")
 
 
-def start_upserts(records: DataFrame, kind: str, checkpoint: str, path: str, trigger: dict | None = None) -> StreamingQuery:
+def start_upserts(records: DataFrame, kind: str, checkpoint: str, path: str, trigger: dict | None = None, hours: int = 1) -> StreamingQuery:
     """Copy a record stream into a document table, each key once."""
-    table = document_table(records.sparkSession, kind, path)
+    table = document_table(records.sparkSession, kind, path, hours)
     writer: dict[str, str] = {}
     started = threading.Event()
 
