@@ -53,13 +53,13 @@ def _matrix(vectors: pd.Series, dims: int) -> np.ndarray:
     return out
 
 
-def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer products q @ x.T; OverflowError where one is beyond a long."""
-    big = np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0)
-    if big < _EXACT:
-        return (q @ x.T).astype(np.int64)
+def _scores(q: np.ndarray, x: np.ndarray, big: bool) -> np.ndarray:
+    """Exact integer products of one query; `big`: sums may pass 2**53.
+    OverflowError where a score is beyond a long."""
+    if not big:
+        return (x @ q).astype(np.int64)
     whole = np.vectorize(int, otypes=[object])
-    return (whole(q) @ whole(x).T).astype(np.int64).reshape(len(q), len(x))
+    return (whole(x) @ whole(q)).astype(np.int64).reshape(len(x))
 
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -78,6 +78,7 @@ def search_block(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray,
     n = len(x)
     order = np.argsort(x, axis=0, kind="stable")  # per dimension, ascending
     values = np.take_along_axis(x, order, axis=0)
+    lists = np.ascontiguousarray(order.T.astype(np.int32))  # a row a dimension
     big = np.abs(q).sum(1).max(initial=0) * np.abs(x).max(initial=0) >= _EXACT
     found: list[tuple[int, np.ndarray]] = []
     scored = 0
@@ -85,7 +86,7 @@ def search_block(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray,
         use = np.flatnonzero(q[i])
         own, top = q[i, use], q[i, use] > 0
         unread = xid != qid[i]
-        seen, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        seen, score, whole = np.zeros(0, np.int64), np.zeros(0, np.int64), None
         depth, to = 0, FIRST_DEPTH if len(use) else n
         while True:
             to = min(to, n)
@@ -93,16 +94,23 @@ def search_block(qid: np.ndarray, q: np.ndarray, xid: np.ndarray, x: np.ndarray,
             if to == n or not len(use):  # the lists end: every candidate has been met
                 new[:] = True
             else:
-                new[order[n - to:n - depth, use[top]].ravel()] = True
-                new[order[depth:to, use[~top]].ravel()] = True
+                new[lists[use[top], n - to:n - depth]] = True
+                new[lists[use[~top], depth:to]] = True
             new &= unread
             at = np.flatnonzero(new)
             unread &= ~new
             if len(at):
-                seen, score = np.concatenate((seen, at)), np.concatenate((score, _scores(q[i:i + 1], x[at])[0]))
+                # Random access: row by row, or, where a round meets much of the
+                # block, by one pass over the rows where they lie.
+                if whole is None and (big or 8 * len(at) < n):
+                    new_score = _scores(q[i], x[at], big)
+                else:
+                    whole = _scores(q[i], x, big) if whole is None else whole
+                    new_score = whole[at]
+                seen, score = np.concatenate((seen, at)), np.concatenate((score, new_score))
                 scored += len(at)
             depth = to
-            if depth == n:
+            if depth == n or not unread.any():
                 break
             # A candidate unread at this depth has, in dimension j, at most the value
             # reached from the top (q_j > 0) or at least that reached from the bottom.
