@@ -126,3 +126,32 @@ def test_rows_of_one_id_with_several_texts(spark):
     kept = [(r["doc_id"], r["text"] or "") for r in one_per_class(clashing(docs)).collect()]
     assert sorted(k for k in kept if k[0] is not None) == sorted([(3, x), (5, y), (9, z), (9, v), (11, "")])
     assert kept.count((None, x)) == 2
+
+
+def _compared_pairs(spark, docs, monkeypatch):
+    """(class of each document, how many pairs of texts were compared)."""
+    found = []
+    compared = neardup._compared
+    monkeypatch.setattr(neardup, "_compared", lambda pairs, *rest: found.append(pairs.count()) or compared(pairs, *rest))
+    return {r["doc_id"]: r["class_id"] for r in near_duplicates(frame(spark, docs)).collect()}, sum(found)
+
+
+def test_texts_with_a_passage_in_common_are_not_compared_in_pairs(spark, monkeypatch):
+    """The leader (0) lacks a part of the passage that all others share; they are
+    similar to each other by 0.7."""
+    shared = [f"p{i}" for i in range(300)]
+    docs = [(0, " ".join(shared[:200])), *((i, " ".join(shared + [f"o{i}x{j}" for j in range(30)])) for i in range(1, 61))]
+    docs += [(i, f"filler {i} a{i} b{i} c{i} d{i} e{i}") for i in range(100, 640)]
+    got, compared = _compared_pairs(spark, docs, monkeypatch)
+    assert got == {i: i for i, _ in docs}
+    assert compared <= neardup.BANDS * 61
+
+
+def test_near_copies_unlike_their_leader_are_compared_once_per_class(spark, monkeypatch):
+    """60 near copies, by 0.9 similar to each other and by less than 0.7 to the leader."""
+    shared = [f"p{i}" for i in range(300)]
+    docs = [(0, " ".join(shared[:200])), *((i, " ".join(shared + [f"o{i}x{j}" for j in range(4)])) for i in range(1, 61))]
+    docs += [(i, f"filler {i} a{i} b{i} c{i} d{i} e{i}") for i in range(100, 640)]
+    got, compared = _compared_pairs(spark, docs, monkeypatch)
+    assert got == {i: 1 if 0 < i < 100 else i for i, _ in docs}
+    assert compared <= neardup.BANDS * 61

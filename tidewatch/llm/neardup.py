@@ -15,25 +15,23 @@ classes are the connected components of the links.
    variables r and c and a uniform beta per shingle and sample; the shingle
    with the least c * exp(-r (t - beta) - r), t = floor(ln w / r + beta), is
    the sample, named by (shingle, t)). A band of equal samples is a bucket.
-3. In a bucket every node is compared with the smallest one, the leader: if
-   half of the samples agree, by the exact weighted Jaccard similarity of both
-   texts. A node r that does not match can still be similar to another node m
-   of the bucket. With `up` the weight a node adds to the leader and `down` the
-   weight it lacks, the two differ by at least
-   up(r) + up(m) + |down(r) - down(m)| less twice the additions they share, and
-   similar texts differ by (1 - s) / (1 + s) of their joint weight at most.
-   Where that sum is larger they must share additions, and a similar text lacks
-   at most 1 - s of r's weight: the additions of r, least hash first, up to the
-   one with which they weigh more than that hold the first shared one, and
-   those of m do too. So pairs are formed only where the sum is small, these
-   lists meet, or a node is too far from the leader to say, and where 17 of 30
-   samples agree; the lists lose no similar pair. Thousands of near copies with
-   edits of their own thus give no pairs beyond those with their leader.
+3. In a bucket every node whose samples agree by half with those of the
+   smallest one, the leader, is compared with it, by the exact weighted Jaccard
+   similarity of both texts. In buckets that are then of several classes, the
+   shingles of each text are put in one order for all texts, rarest first. Texts
+   of weights x and y are similar only if they share s / (1 + s) * (x + y); what
+   comes before their first shared shingle is not shared, so each side has at
+   most the rest of its weight there. Nodes meet on the shingles up to that
+   bound, never more than 1 - s of their weight, and no similar pair of a bucket
+   is lost. Two passes form the pairs: first every node with the smallest and
+   the largest one that has the shingle, so many pairs as there are shingles;
+   then, after the classes found so far, each with each where the classes
+   differ. Neither thousands of near copies, which are one class by then, nor
+   texts with a passage in common and enough text of their own give pairs.
 4. Components by min-label propagation with pointer jumping; links and labels
    stay distributed.
 
 With 10 bands of 3 rows a pair at 0.8 shares a bucket with probability 0.9992.
-The agreement a pair at 0.8 must show is missed with probability 0.001.
 
 Defined results: null and empty texts have no words and are one class; rows
 sharing a doc_id are one document that has all their texts, so they are of one
@@ -55,6 +53,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.functions.sizing import broadcast_if_small
 from tidewatch.llm.textkit import blocks, gram_hashes, id_column, lower, mix, stored, word_hashes, words
 
 GRAM = 5
@@ -198,13 +197,11 @@ def _agreeing(a: str, b: str, least: int) -> Column:
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> DataFrame:
-    """The pairs (a, b) with `hit` (weighted Jaccard >= threshold), `up` and
-    `down` (weight b adds to a and lacks of it), `weight` of b, and `news`: the
-    added shingles, least hash first, until they weigh more than a text similar
-    to b can lack of it."""
+    """The pairs (a, b) with `hit`: weighted Jaccard >= threshold."""
+    nodes, _ = broadcast_if_small(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    texts = texts.join(nodes, "node", "left_semi")  # only the texts of the pairs travel
     side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    low = np.uint64((1 << (64 - _ROW)) - 1)
 
     def task(batches):
         df = table.value
@@ -213,33 +210,76 @@ def _compared(pairs: DataFrame, texts: DataFrame, table, threshold: float) -> Da
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 n = part.num_rows
-                sides = []
-                for column in ("text_a", "text_b"):
-                    done, cols = 0, []
-                    for rows, buf, offs in _row_blocks(part.select([column]), column):
-                        shingle, row, count = _shingles(buf, offs)
-                        cols.append(((row + done).astype(np.uint64) << np.uint64(64 - _ROW) | shingle, _weights(shingle, count, df)))
-                        done += rows.num_rows
-                    sides.append([np.concatenate(x) for x in zip(*cols)])
-                (ka, wa), (kb, wb) = sides  # both sorted by row and shingle
+                (ka, wa), (kb, wb) = (_weighted(part, column, df) for column in ("text_a", "text_b"))
                 at_a = np.minimum(np.searchsorted(ka, kb), max(len(ka) - 1, 0))
                 of_a = np.where(ka[at_a] == kb, wa[at_a], 0.0) if len(ka) else np.zeros(len(kb))
-                row_b = (kb >> np.uint64(64 - _ROW)).astype(np.int64)
+                row_b = _row_of(kb)
                 shared = np.bincount(row_b, np.minimum(of_a, wb), n)
-                up = np.bincount(row_b, wb, n) - shared
-                down = np.bincount((ka >> np.uint64(64 - _ROW)).astype(np.int64), wa, n) - shared
-                new = np.flatnonzero(wb > of_a)
-                new = new[np.lexsort((mix(kb[new] & low), row_b[new]))]
-                added = np.concatenate(([0.0], np.cumsum((wb - of_a)[new])))
-                first = np.searchsorted(row_b[new], np.arange(n + 1))
-                lack = added[first[:-1]] + (1 - threshold) * (shared + up) + 1e-9 * added[-1]
-                last = np.minimum(np.searchsorted(added, lack, "right"), first[1:])
-                news = [(kb[new[x:y]] & low).astype(np.int64) for x, y in zip(first[:-1], last)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("a"), part.column("b"), pa.array((shared >= threshold * (shared + up + down)) & (shared > 0)), pa.array(up), pa.array(down), pa.array(shared + up), pa.array(news, pa.list_(pa.int64()))],
-                    ["a", "b", "hit", "up", "down", "weight", "news"])
-
-    return both.mapInArrow(task, f"a {_NODE}, b {_NODE}, hit boolean, up double, down double, weight double, news array<long>")
+                joint = np.bincount(row_b, wb, n) + np.bincount(_row_of(ka), wa, n) - shared
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array((shared >= threshold * joint) & (shared > 0))], ["a", "b", "hit"])
+
+    return both.mapInArrow(task, f"a {_NODE}, b {_NODE}, hit boolean")
+
+
+def _weighted(part: pa.RecordBatch, column: str, df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row and shingle in one word, weight), sorted, of the texts of a column."""
+    done, cols = 0, []
+    for rows, buf, offs in _row_blocks(part.select([column]), column):
+        shingle, row, count = _shingles(buf, offs)
+        cols.append(((row + done).astype(np.uint64) << np.uint64(64 - _ROW) | shingle, _weights(shingle, count, df)))
+        done += rows.num_rows
+    return tuple(np.concatenate(x) for x in zip(*cols))
+
+
+def _row_of(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(64 - _ROW)).astype(np.int64)
+
+
+def _prefixes(texts: DataFrame, table, threshold: float) -> DataFrame:
+    """(node, weight, prefix): the weight of a text, and its rarest shingles, each
+    with the weight of the rarer ones `before` it, as far as that is no more than
+    a similar text can lack."""
+
+    def task(batches):
+        df = table.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                key, weight = _weighted(part, "text", df)
+                row, shingle = _row_of(key), key & np.uint64((1 << (64 - _ROW)) - 1)
+                a, b = _cells(shingle)
+                order = np.lexsort((mix(shingle), np.minimum(df[a], df[b]), row))  # one order of shingles for all texts
+                row, shingle, weight = row[order], shingle[order], weight[order]
+                first = np.searchsorted(row, np.arange(part.num_rows + 1))
+                total = np.bincount(row, weight, part.num_rows)
+                before = np.concatenate([np.cumsum(weight[x:y]) - weight[x:y] for x, y in zip(first[:-1], first[1:])])
+                use = before <= ((1 - threshold) * total * (1 + 1e-9))[row]
+                sizes = np.bincount(row[use], minlength=part.num_rows)
+                entries = pa.StructArray.from_arrays([pa.array(shingle[use].astype(np.int64)), pa.array(before[use])], ["shingle", "before"])
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), entries)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(total), lists], ["node", "weight", "prefix"])
+
+    return texts.select("node", "text").mapInArrow(task, f"node {_NODE}, weight double, prefix array<struct<shingle:bigint,before:double>>")
+
+
+def _possible(r: str, m: str, threshold: float) -> Column:
+    """Whether texts can be similar whose first shared shingle is this one, and
+    share a bucket: neither lacks more than similar texts of their weights can."""
+    of = lambda x, c: F.col(f"{x}.{c}")
+    least = threshold / (1 + threshold) * (of(r, "weight") + of(m, "weight")) * (1 - 1e-9)
+    return (of(r, "bands").bitwiseAND(of(m, "bands")) != 0) & (of(r, "weight") - of(r, "before") >= least) & (of(m, "weight") - of(m, "before") >= least)
+
+
+def _pairs(rows: DataFrame, r: str, m: str) -> DataFrame:
+    """(a, b): the distinct pairs of the nodes of `r` and `m`, smaller first."""
+    r, m = F.col(f"{r}.node"), F.col(f"{m}.node")
+    return rows.select(F.least(r, m).alias("a"), F.greatest(r, m).alias("b")).distinct()
+
+
+def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of nodes with `label`, the smallest node of their class."""
+    labels = components(edges).withColumnRenamed("label", "least")
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("least", "node")).drop("least")
 
 
 def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -256,28 +296,45 @@ def links(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS
     bucket, least = ["band", "key"], (bands * rows + 1) // 2
     lead = placed.groupBy(*bucket).agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high").drop("high")
     # A leader's key names its bucket of a band, so a bit per band tells the buckets two members share.
-    inside = placed.join(lead, bucket).where("node > a").groupBy("a", "node").agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("bands"))
+    inside = placed.join(lead, bucket).groupBy("a", "node").agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("bands"))
     sig = nodes.select("node", "sig")
     inside = inside.join(sig, "node").join(sig.select(F.col("node").alias("a"), F.col("sig").alias("lead_sig")), "a")
-    inside = stored(inside.withColumn("alike", _agreeing("sig", "lead_sig", least)).drop("lead_sig"), "buckets")
-    pairs = inside.where("alike").select("a", F.col("node").alias("b"))
-    wanted = inside.select(F.explode(F.array("a", "node")).alias("node")).distinct()
-    bodies = stored(texts.select(F.struct("doc_id", "body").alias("node"), "text").join(wanted, "node", "left_semi"), "bodies")
+    inside = stored(inside.select("a", "node", "bands", _agreeing("sig", "lead_sig", least).alias("alike")), "buckets")
+    pairs = inside.where("alike and a < node").select("a", F.col("node").alias("b"))
+    wanted, _ = broadcast_if_small(inside.select("node").distinct())
+    # Rows of one id with equal texts are one row here.
+    bodies = texts.select(F.struct("doc_id", "body").alias("node"), "text").join(wanted, "node", "left_semi")
+    bodies = stored(bodies.groupBy("node").agg(F.first("text").alias("text")), "bodies")
     facing = stored(_compared(pairs, bodies, table, threshold), "facing")
 
-    # Equal rows of one id give several equal comparisons.
-    info = inside.join(facing.withColumnRenamed("b", "node"), ["a", "node"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
-    info = stored(info.select("a", "node", "sig", "bands", "hit", "up", "down", "weight", "news"), "members-of-buckets")
-    side = lambda df, x: df.select("a", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "sig", "bands", "hit", "up", "down", "weight", "news")))
-    bound = (1 - threshold) / (1 + threshold) + 1e-6
-    small = F.col("up_r") + F.col("up_m") + F.abs(F.col("down_r") - F.col("down_m")) <= bound * (F.col("weight_r") + F.col("weight_m"))
-    open_end = F.col("up_r").isNull() | F.col("up_m").isNull() | small | F.arrays_overlap("news_r", "news_m")
-    once = (F.col("node_r") != F.col("node_m")) & (F.col("hit_m") | (F.col("node_r") < F.col("node_m"))) & (F.col("bands_r").bitwiseAND(F.col("bands_m")) != 0)
-    pairs = side(info.where("not hit"), "r").join(side(info, "m"), "a").where(once & _agreeing("sig_r", "sig_m", int(0.58 * bands * rows)) & open_end)
-    pairs = pairs.select(F.least("node_r", "node_m").alias("a"), F.greatest("node_r", "node_m").alias("b")).distinct()
-    pairs = pairs.join(facing.select("a", "b"), ["a", "b"], "left_anti")
+    inside = _labelled(inside.drop("alike"), facing.where("hit"))
+    several = inside.groupBy("a").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("a")
+    open_buckets = stored(inside.join(several, "a", "left_semi"), "open-buckets")
+    inner, _ = broadcast_if_small(open_buckets.select("node").distinct())
+    prefixes = stored(_prefixes(bodies.join(inner, "node", "left_semi"), table, threshold), "prefixes")
+    entries = open_buckets.join(prefixes, "node").select("a", "node", "label", "bands", "weight", F.explode("prefix").alias("p"))
+    entries = entries.select(F.xxhash64("a.doc_id", "a.body", "p.shingle").alias("key"), "label", F.struct("node", "bands", "weight", F.col("p.before").alias("before")).alias("r"))
+    # Every member against the first and the last one that has the shingle, as far as they are of other classes.
+    at = Window.partitionBy("key")
+    for end in (F.min, F.max):
+        entries = entries.withColumn(end.__name__, end(F.struct("r", "label")).over(at))
+    mixed = entries.withColumns({"low": F.min("label").over(at), "high": F.max("label").over(at), "n": F.count(F.lit(1)).over(at)}).where("low < high")
+    mixed = stored(mixed.drop("low", "high"), "shared-shingles")
+    ends = [_pairs(mixed.where(F.col("label") != F.col(f"{end}.label")).where(_possible("r", f"{end}.r", threshold)), "r", f"{end}.r") for end in ("min", "max")]
+    pairs = stored(ends[0].unionByName(ends[1]).distinct().join(facing.select("a", "b"), ["a", "b"], "left_anti"), "pairs-of-ends")
+    ended = stored(_compared(pairs, bodies, table, threshold), "ends")
+    known = facing.unionByName(ended)
+
+    # What lies between the two and is still of several classes, each with each.
+    between = mixed.where("n > 3 and r.node != min.r.node and r.node != max.r.node")
+    mixed = _labelled(between.select("key", "r", F.col("r.node").alias("node")), known.where("hit")).drop("node")
+    mixed = mixed.withColumns({"low": F.min("label").over(at), "high": F.max("label").over(at)}).where("low < high")
+    mixed = stored(mixed.drop("high"), "mixed-shingles")
+    upper = mixed.where("low < label").select("key", F.col("r").alias("m"), F.col("label").alias("above"))
+    both = mixed.select("key", "label", "r").join(upper, "key").where((F.col("label") < F.col("above")) & _possible("r", "m", threshold))
+    pairs = stored(_pairs(both, "r", "m").join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs-between")
     rest = stored(_compared(pairs, bodies, table, threshold), "rest")
-    edges = facing.unionByName(rest).where("hit").select("a", "b").distinct()
+    edges = known.unionByName(rest).where("hit").select("a", "b")
     return members, stored(edges, "links")
 
 
@@ -296,18 +353,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _classed(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """The members with `label`, the smallest node of their class."""
-    labels = components(edges).withColumnRenamed("label", "least")
-    return members.join(labels, "node", "left").withColumn("label", F.coalesce("least", "node")).drop("least")
-
-
 def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Per document row: doc_id, class_id (the smallest doc_id of its class) and kept."""
     members, edges = links(documents, threshold, bands, rows)
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).where("a < high")
     of_one_id = members.join(several, "doc_id").where("node > a").select("a", F.col("node").alias("b")).distinct()
-    classes = _classed(members, edges.unionByName(of_one_id)).select("doc_id", F.col("label.doc_id").alias("class_id"))
+    classes = _labelled(members, edges.unionByName(of_one_id)).select("doc_id", F.col("label.doc_id").alias("class_id"))
     return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
@@ -316,7 +367,7 @@ def one_per_class(documents: DataFrame, threshold: float = THRESHOLD, bands: int
     smallest doc_id; of its rows, the one whose text hash is least); rows with a
     null doc_id stay."""
     members, edges = links(documents, threshold, bands, rows)
-    out = _classed(members, edges).where(F.struct("doc_id", "body") != F.col("label"))
+    out = _labelled(members, edges).where(F.struct("doc_id", "body") != F.col("label"))
     out = out.select(F.col("doc_id").alias("__id"), F.col("body").alias("__text")).distinct()
     known = documents.withColumns({"__id": id_column(documents), "__text": F.xxhash64(F.coalesce("text", F.lit("")))})
     rest = known.where("__id is not null").join(out, ["__id", "__text"], "left_anti")
