@@ -1,8 +1,11 @@
 import collections
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from tests.llm.conftest import clashing, frame, prose
 from tidewatch.llm import mixing_lm as lm
@@ -93,3 +96,35 @@ def test_slot_counts_grow_past_the_float32_integers(spark):
     rare = spark.createDataFrame([(c, bytearray(w), a, b) for c, w, a, b in rows], "cls int, word binary, a long, b long").coalesce(1).sortWithinPartitions("a", ascending=False)
     counts = lm.SpellModel._counts(rare)
     assert counts[0, 1] + counts[1, 1] == (1 << 24) + 20  # the first bit of the first byte
+
+
+def _peak_mb(count, *rest):
+    """Memory of the task that `count` runs on 6 MB of different words, and its longest batch."""
+
+    class Caught:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, task, schema):
+            self.task = task
+            raise StopIteration
+
+    caught = Caught()
+    with pytest.raises(StopIteration):
+        count(caught, *rest)
+    texts = [" ".join(f"w{i:05d}{j:05d}" for j in range(500)) for i in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "fold": [i % 2 for i in range(1000)]})
+    tracemalloc.start()
+    longest = words = 0
+    for out in caught.task(iter([batch])):
+        longest, words = max(longest, out.num_rows), words + out.num_rows
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert words >= 500_000
+    return peak, longest
+
+
+def test_counting_tasks_hold_little():
+    for count, rest in ((lm.token_counts, ()), (lm._class_counts, (lm.Lexicon([b"a", b"b"], [5, 4]),))):
+        peak, longest = _peak_mb(count, *rest)
+        assert peak < 60 and longest <= 1 << 15, (count.__name__, peak, longest)

@@ -43,6 +43,7 @@ word (none of them is frequent, so no key is hot) and summed per document.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +62,9 @@ _OFFSETS = np.concatenate(([0], np.cumsum([1 << s for s in _SIZES])))
 SLOTS = int(_OFFSETS[-1])
 _GATES = 8 * 8 * 4
 _CHUNK = 1 << 18  # decisions handled at once
+_TEXT = 1 << 20  # bytes of text whose tokens are Python objects at once
+_HELD = 50_000  # different tokens that a task counts before it hands them on
+_ROWS = 1 << 15  # rows of a batch
 _LN10 = np.log(10.0)
 
 
@@ -71,7 +75,7 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def _texts(batch: pa.RecordBatch):
-    for part, _, _ in blocks(batch):
+    for part, _, _ in blocks(batch, limit=_TEXT):
         yield part, part.column("text").to_pylist()
 
 
@@ -82,16 +86,18 @@ def token_counts(train: DataFrame) -> DataFrame:
         counts: Counter = Counter()
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            found = iter(counts.items())
+            while some := list(islice(found, _ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.binary()), pa.array([n for _, n in some], pa.int64())], ["word", "n"])
 
         for batch in batches:
             for _, texts in _texts(batch):
                 for t in texts:
                     counts.update(tokens_of(t))
-                if len(counts) > 250_000:  # bounded memory; the shuffle adds up
-                    yield out()
+                if len(counts) > 2 * _HELD:  # bounded memory; the shuffle adds up
+                    yield from out()
                     counts.clear()
-        yield out()
+        yield from out()
 
     return train.select("text").mapInArrow(task, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -200,8 +206,9 @@ def _class_counts(train: DataFrame, lexicon: Lexicon) -> DataFrame:
         rare: tuple[Counter, Counter] = (Counter(), Counter())
 
         def out():
-            keys = list({**rare[0], **rare[1]})
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([-1] * len(keys), pa.int32()), pa.array([k[1] for k in keys], pa.binary()), pa.array([rare[0][k] for k in keys], pa.int64()), pa.array([rare[1][k] for k in keys], pa.int64())], ["cls", "idx", "word", "a", "b"])
+            found = chain(rare[0], (k for k in rare[1] if k not in rare[0]))
+            while keys := list(islice(found, _ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([-1] * len(keys), pa.int32()), pa.array([k[1] for k in keys], pa.binary()), pa.array([rare[0][k] for k in keys], pa.int64()), pa.array([rare[1][k] for k in keys], pa.int64())], ["cls", "idx", "word", "a", "b"])
 
         for batch in batches:
             for part, texts in _texts(batch):
@@ -213,13 +220,15 @@ def _class_counts(train: DataFrame, lexicon: Lexicon) -> DataFrame:
                     own[f] += np.bincount(cls[at] * d + ids[at], minlength=own.shape[1])
                     at = np.flatnonzero((fold == f) & (ids < 0))
                     rare[f].update(zip(cls[at].tolist(), [words[i] for i in at.tolist()]))
-                if len(rare[0]) + len(rare[1]) > 150_000:
-                    yield out()
+                if len(rare[0]) + len(rare[1]) > _HELD:
+                    yield from out()
                     rare[0].clear()
                     rare[1].clear()
-        yield out()
-        at = np.flatnonzero(own.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(at // d, pa.int32()), pa.array(at % d, pa.int32()), pa.array([b""] * len(at), pa.binary()), pa.array(own[0, at]), pa.array(own[1, at])], ["cls", "idx", "word", "a", "b"])
+        yield from out()
+        seen = np.flatnonzero(own.any(0))
+        for i in range(0, len(seen), _ROWS):
+            at = seen[i:i + _ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(at // d, pa.int32()), pa.array(at % d, pa.int32()), pa.array([b""] * len(at), pa.binary()), pa.array(own[0, at]), pa.array(own[1, at])], ["cls", "idx", "word", "a", "b"])
 
     counted = train.select("text", "fold").mapInArrow(task, "cls int, idx int, word binary, a long, b long")
     return counted.groupBy("cls", "idx", "word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
@@ -421,10 +430,11 @@ class SpellModel:
                     mass = w[owner].astype(float)
                     for row in slots:
                         np.add.at(counts, (2 * k + bit) * SLOTS + row, mass)
-            seen = np.flatnonzero(counts)
-            cut = np.searchsorted(seen, np.arange(0, 4 * SLOTS + step, step))
-            parts = [(i, seen[x:y]) for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([(x % step).astype("<u2").tobytes() for _, x in parts], pa.binary()), pa.array([counts[x].astype("<f8").tobytes() for _, x in parts], pa.binary())], ["part", "slots", "counts"])
+            for i in range(0, 4 * SLOTS, step):
+                some = counts[i:i + step]
+                seen = np.flatnonzero(some)
+                if len(seen):
+                    yield pa.RecordBatch.from_arrays([pa.array([i // step], pa.int32()), pa.array([seen.astype("<u2").tobytes()], pa.binary()), pa.array([some[seen].astype("<f8").tobytes()], pa.binary())], ["part", "slots", "counts"])
 
         def add(batches):
             sums: dict[int, np.ndarray] = {}
