@@ -128,3 +128,31 @@ def test_counting_tasks_hold_little():
     for count, rest in ((lm.token_counts, ()), (lm._class_counts, (lm.Lexicon([b"a", b"b"], [5, 4]),))):
         peak, longest = _peak_mb(count, *rest)
         assert peak < 60 and longest <= 1 << 15, (count.__name__, peak, longest)
+
+
+def test_slot_counts_hold_four_bytes_a_slot_and_stay_exact():
+    class Rare:
+        sparkSession = type("Session", (), {"sparkContext": type("Context", (), {"defaultParallelism": 1})})
+
+        def coalesce(self, n):
+            return self
+
+        def mapInArrow(self, task, schema):
+            self.task = task
+            raise StopIteration
+
+    rare = Rare()
+    with pytest.raises(StopIteration):
+        lm.SpellModel._counts(rare)
+
+    def total(counts):
+        batches = [pa.RecordBatch.from_pydict({"word": [b"x"], "cls": [0], "a": [a], "b": [1]}) for a in counts]
+        tracemalloc.start()
+        got = sum(np.frombuffer(n, "<f8").sum() for out in rare.task(iter(batches)) for n in out.column("counts").to_pylist())
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        assert got == 5 * 16 * (sum(counts) + len(counts))
+        return peak
+
+    assert total([1 << 27] * 5) < 6 * lm.SLOTS * 4 / 1e6
+    total([3, 1 << 40, 1 << 27])

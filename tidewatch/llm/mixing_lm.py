@@ -423,18 +423,32 @@ class SpellModel:
         step = 1 << 16
 
         def task(batches):
-            counts = np.zeros(4 * SLOTS)  # whole numbers, exact below 2**53
-            for (a, b), words, cls in _spelled(batches, ["a", "b"]):
+            def pieces(counts):
+                for i in range(0, 4 * SLOTS, step):
+                    some = counts[i:i + step]
+                    seen = np.flatnonzero(some)
+                    if len(seen):
+                        yield pa.RecordBatch.from_arrays([pa.array([i // step], pa.int32()), pa.array([seen.astype("<u2").tobytes()], pa.binary()), pa.array([some[seen].astype("<f8").tobytes()], pa.binary())], ["part", "slots", "counts"])
+
+            counts, held = np.zeros(4 * SLOTS, np.uint32), 0
+            for masses, words, cls in _spelled(batches, ["a", "b"]):
                 slots, bit, _, _, owner = spell(words, cls)
-                for k, w in enumerate((a, b)):
-                    mass = w[owner].astype(float)
+                more = sum(float(w[owner].astype(float).sum()) for w in masses)
+                if held and held + more >= 1 << 32:
+                    yield from pieces(counts)
+                    counts[:], held = 0, 0
+                wide = more >= 1 << 32  # beyond 32 bits at once: whole numbers, exact below 2**53
+                into = np.zeros(4 * SLOTS) if wide else counts
+                for k, w in enumerate(masses):
+                    mass = w[owner].astype(into.dtype)
                     for row in slots:
-                        np.add.at(counts, (2 * k + bit) * SLOTS + row, mass)
-            for i in range(0, 4 * SLOTS, step):
-                some = counts[i:i + step]
-                seen = np.flatnonzero(some)
-                if len(seen):
-                    yield pa.RecordBatch.from_arrays([pa.array([i // step], pa.int32()), pa.array([seen.astype("<u2").tobytes()], pa.binary()), pa.array([some[seen].astype("<f8").tobytes()], pa.binary())], ["part", "slots", "counts"])
+                        np.add.at(into, (2 * k + bit) * SLOTS + row, mass)
+                if wide:
+                    yield from pieces(into)
+                    del into
+                else:
+                    held += more
+            yield from pieces(counts)
 
         def add(batches):
             sums: dict[int, np.ndarray] = {}
